@@ -1,14 +1,14 @@
-"""Column-level helpers; every one is a built-in Spark expression (no UDFs)."""
+"""Scalar expressions (SQL text builders and Column helpers); no UDFs."""
 
 from worklake.functions.scalar import (  # noqa: F401
     bool_label,
-    country_set,
-    empty_to_null_array,
     join_list,
-    last_segment,
-    null_to_false,
-    null_to_zero,
-    truthy,
-    truthy_or,
+    sql_country_set,
+    sql_empty_to_null,
+    sql_last_segment,
+    sql_null_to_false,
+    sql_null_to_zero,
+    sql_truthy,
+    sql_truthy_or,
     work_url,
 )

@@ -1,4 +1,10 @@
-"""Scalar Column expressions used by flatten, data quality and reports."""
+"""Scalar expressions used by flatten, data quality and reports.
+
+The ``sql_*`` builders return Spark SQL expression text over column paths:
+a wide projection is then parsed once on the JVM side (one call per
+column) instead of being assembled from many small Column objects.
+The Column helpers are used by the reports.
+"""
 
 from __future__ import annotations
 
@@ -9,48 +15,45 @@ from pyspark.sql import functions as F
 WORK_URL_PREFIX = "https://openalex.org/works/"
 
 
-def last_segment(c: Column) -> Column:
+def sql_last_segment(x: str) -> str:
     """Text after the last '/'; NULL or '' give NULL; no '/' gives the whole text.
 
     A trailing '/' gives '' (kept: only the work id treats '' as missing).
     """
-    return F.when(c != F.lit(""), F.substring_index(c, "/", -1))
+    return f"CASE WHEN {x} <> '' THEN substring_index({x}, '/', -1) END"
 
 
-def truthy(c: Column) -> Column:
+def sql_truthy(x: str) -> str:
     """NULL for NULL or the empty string (Python truthiness of a str)."""
-    return F.nullif(c, F.lit(""))
+    return f"nullif({x}, '')"
 
 
-def truthy_or(*cols: Column) -> Column:
+def sql_truthy_or(*xs: str) -> str:
     """First value that is neither NULL nor '' (``a or b``)."""
-    return F.coalesce(*[truthy(c) for c in cols])
+    return "coalesce(" + ", ".join(sql_truthy(x) for x in xs) + ")"
 
 
-def null_to_false(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
+def sql_null_to_false(x: str) -> str:
+    return f"coalesce({x}, false)"
 
 
-def null_to_zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
+def sql_null_to_zero(x: str) -> str:
+    return f"coalesce({x}, 0)"
 
 
-def country_set(authorships: Column) -> Column:
+def sql_country_set(authorships: str) -> str:
     """Distinct, ascending country codes over all authorships; NULL when none.
 
-    NULL authorship entries, NULL ``countries`` lists and NULL codes are skipped
-    (``flatten`` would turn the whole result NULL on one NULL element).
+    NULL authorship entries, NULL ``countries`` lists and NULL codes are
+    skipped (``flatten`` of arrays is NULL as soon as one element is NULL).
     """
-    per_author = F.transform(
-        F.coalesce(authorships, F.array()),
-        lambda a: F.coalesce(a.getField("countries"), F.array().cast("array<string>")),
-    )
-    codes = F.sort_array(F.array_distinct(F.array_compact(F.flatten(per_author))))
-    return empty_to_null_array(codes)
+    codes = (f"sort_array(array_distinct(array_compact(flatten(transform(coalesce({authorships}, array()), "
+             f"a -> coalesce(a.countries, CAST(array() AS ARRAY<STRING>)))))))")
+    return sql_empty_to_null(codes)
 
 
-def empty_to_null_array(c: Column) -> Column:
-    return F.when(F.size(c) > 0, c)
+def sql_empty_to_null(arr: str) -> str:
+    return f"CASE WHEN size({arr}) > 0 THEN {arr} END"
 
 
 def work_url(short_id: Column) -> Column:

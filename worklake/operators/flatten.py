@@ -6,83 +6,74 @@
   rules, tested in that order (the first that hits is reported);
 * ``bad_date`` / ``out_of_range:<col>`` / ``malformed`` — values the stored
   table's types cannot hold (a database would abort the whole batch; here the
-  row is quarantined, or ``strict=True`` raises).
+  row is quarantined, or ``assert_no_constraint_violations`` raises).
 
-Everything is one ``select`` over the scan, so Catalyst prunes the nested
-fields that are not needed and the projection stays inside whole-stage codegen.
+Everything is one projection over the scan, so Catalyst prunes the nested
+fields that are not needed and the projection stays in whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worklake.functions.scalar import (
-    country_set,
-    last_segment,
-    null_to_false,
-    null_to_zero,
-    truthy,
-    truthy_or,
+    sql_country_set,
+    sql_last_segment,
+    sql_null_to_false,
+    sql_null_to_zero,
+    sql_truthy,
+    sql_truthy_or,
 )
 from worklake.schema import FLAT_COLUMNS, ORDER_COLUMNS
 
 REJECT = "reject_reason"
 
 
-def _typed(expr: str) -> Column:
-    return F.expr(expr)
-
-
-def flat_columns(raw_prefix: str = "") -> dict[str, Column]:
-    """The 37 flat expressions, keyed by output name, before range checks."""
-    p = raw_prefix
-
-    def c(path: str) -> Column:
-        return F.col(p + path)
-
+def flat_sql() -> dict[str, str]:
+    """The 37 flat expressions (Spark SQL over raw column paths), by output name."""
     return {
-        "openalex_id": truthy(last_segment(c("id"))),
-        "doi": c("doi"),
-        "title": truthy_or(c("title"), c("display_name")),
-        "landing_page_url": c("primary_location.landing_page_url"),
-        "oa_url": c("open_access.oa_url"),
-        "publication_date": F.try_to_date(c("publication_date"), "yyyy-MM-dd"),
-        "publication_year": c("publication_year").try_cast("smallint"),
-        "work_type": c("type"),
-        "language": c("language"),
-        "is_oa": null_to_false(c("open_access.is_oa")),
-        "oa_status": c("open_access.oa_status"),
-        "is_retracted": null_to_false(c("is_retracted")),
-        "has_fulltext": null_to_false(c("has_fulltext")),
-        "primary_topic_id": last_segment(c("primary_topic.id")),
-        "primary_topic_name": c("primary_topic.display_name"),
-        "primary_topic_score": c("primary_topic.score").try_cast("decimal(6,5)"),
-        "subfield_id": last_segment(c("primary_topic.subfield.id")),
-        "subfield_name": c("primary_topic.subfield.display_name"),
-        "field_name": c("primary_topic.field.display_name"),
-        "domain_name": c("primary_topic.domain.display_name"),
-        "source_id": last_segment(c("primary_location.source.id")),
-        "source_name": c("primary_location.source.display_name"),
-        "source_type": c("primary_location.source.type"),
-        "host_organization": c("primary_location.source.host_organization_name"),
-        "is_core_source": c("primary_location.source.is_core"),
-        "cited_by_count": null_to_zero(c("cited_by_count")),
-        "fwci": c("fwci").try_cast("decimal(8,4)"),
-        "citation_percentile": c("citation_normalized_percentile.value").try_cast("decimal(8,6)"),
-        "is_top_1_percent": c("citation_normalized_percentile.is_in_top_1_percent"),
-        "is_top_10_percent": c("citation_normalized_percentile.is_in_top_10_percent"),
-        "referenced_works_count": null_to_zero(c("referenced_works_count")),
-        "author_count": F.coalesce(F.size(c("authorships")), F.lit(0)).try_cast("smallint"),
-        "countries_count": null_to_zero(c("countries_distinct_count")).try_cast("smallint"),
-        "institutions_count": null_to_zero(c("institutions_distinct_count")).try_cast("smallint"),
-        "locations_count": null_to_zero(c("locations_count")).try_cast("smallint"),
-        "country_codes": country_set(c("authorships")),
-        "openalex_updated_at": F.try_to_timestamp(c("updated_date")),
+        "openalex_id": sql_truthy(sql_last_segment("id")),
+        "doi": "doi",
+        "title": sql_truthy_or("title", "display_name"),
+        "landing_page_url": "primary_location.landing_page_url",
+        "oa_url": "open_access.oa_url",
+        "publication_date": "try_to_date(publication_date, 'yyyy-MM-dd')",
+        "publication_year": "try_cast(publication_year AS SMALLINT)",
+        "work_type": "type",
+        "language": "language",
+        "is_oa": sql_null_to_false("open_access.is_oa"),
+        "oa_status": "open_access.oa_status",
+        "is_retracted": sql_null_to_false("is_retracted"),
+        "has_fulltext": sql_null_to_false("has_fulltext"),
+        "primary_topic_id": sql_last_segment("primary_topic.id"),
+        "primary_topic_name": "primary_topic.display_name",
+        "primary_topic_score": "try_cast(primary_topic.score AS DECIMAL(6,5))",
+        "subfield_id": sql_last_segment("primary_topic.subfield.id"),
+        "subfield_name": "primary_topic.subfield.display_name",
+        "field_name": "primary_topic.field.display_name",
+        "domain_name": "primary_topic.domain.display_name",
+        "source_id": sql_last_segment("primary_location.source.id"),
+        "source_name": "primary_location.source.display_name",
+        "source_type": "primary_location.source.type",
+        "host_organization": "primary_location.source.host_organization_name",
+        "is_core_source": "primary_location.source.is_core",
+        "cited_by_count": sql_null_to_zero("cited_by_count"),
+        "fwci": "try_cast(fwci AS DECIMAL(8,4))",
+        "citation_percentile": "try_cast(citation_normalized_percentile.value AS DECIMAL(8,6))",
+        "is_top_1_percent": "citation_normalized_percentile.is_in_top_1_percent",
+        "is_top_10_percent": "citation_normalized_percentile.is_in_top_10_percent",
+        "referenced_works_count": sql_null_to_zero("referenced_works_count"),
+        "author_count": "try_cast(coalesce(size(authorships), 0) AS SMALLINT)",
+        "countries_count": f"try_cast({sql_null_to_zero('countries_distinct_count')} AS SMALLINT)",
+        "institutions_count": f"try_cast({sql_null_to_zero('institutions_distinct_count')} AS SMALLINT)",
+        "locations_count": f"try_cast({sql_null_to_zero('locations_count')} AS SMALLINT)",
+        "country_codes": sql_country_set("authorships"),
+        "openalex_updated_at": "try_to_timestamp(updated_date)",
     }
 
 
-# Source values that must survive the typed columns; a NULL after the cast
+# Typed columns whose source value must survive the cast: NULL after the cast
 # where the source had a value means the stored type cannot hold it.
 _RANGE_CHECKED = {
     "primary_topic_score": "primary_topic.score",
@@ -90,29 +81,22 @@ _RANGE_CHECKED = {
     "citation_percentile": "citation_normalized_percentile.value",
     "publication_year": "publication_year",
 }
-_SMALLINT_COUNTS = {
-    "author_count": None,  # from size(authorships)
-    "countries_count": "countries_distinct_count",
-    "institutions_count": "institutions_distinct_count",
-    "locations_count": "locations_count",
-}
+_SMALLINT_COUNTS = ("author_count", "countries_count", "institutions_count", "locations_count")
 
 
-def _reject_reason(raw: dict[str, Column], flat: dict[str, Column]) -> Column:
-    raw_date = truthy(raw["publication_date"])
-    reason = (
-        F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed"))
-        .when(flat["openalex_id"].isNull(), F.lit("missing_id"))
-        .when(flat["title"].isNull(), F.lit("missing_title"))
-        .when(raw_date.isNull() | raw["publication_year"].isNull(), F.lit("missing_date"))
-        .when(flat["publication_date"].isNull(), F.lit("bad_date"))
-    )
-    for name, src in _RANGE_CHECKED.items():
-        reason = reason.when(raw[src].isNotNull() & flat[name].isNull(),
-                             F.lit("out_of_range:" + name))
-    for name in _SMALLINT_COUNTS:
-        reason = reason.when(flat[name].isNull(), F.lit("out_of_range:" + name))
-    return reason
+def reject_sql(flat: dict[str, str]) -> str:
+    """CASE over the rules, first hit wins."""
+    whens = [
+        ("_corrupt_record IS NOT NULL", "malformed"),
+        (f"({flat['openalex_id']}) IS NULL", "missing_id"),
+        (f"({flat['title']}) IS NULL", "missing_title"),
+        (f"{sql_truthy('publication_date')} IS NULL OR publication_year IS NULL", "missing_date"),
+        (f"({flat['publication_date']}) IS NULL", "bad_date"),
+    ]
+    whens += [(f"{src} IS NOT NULL AND ({flat[name]}) IS NULL", "out_of_range:" + name)
+              for name, src in _RANGE_CHECKED.items()]
+    whens += [(f"({flat[name]}) IS NULL", "out_of_range:" + name) for name in _SMALLINT_COUNTS]
+    return "CASE " + " ".join(f"WHEN {cond} THEN '{label}'" for cond, label in whens) + " END"
 
 
 def flatten(raw: DataFrame, keep: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
@@ -121,17 +105,14 @@ def flatten(raw: DataFrame, keep: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
     ``keep`` lists raw columns carried through unchanged (first-wins order).
     Rows without a ``_corrupt_record`` column are treated as well-formed.
     """
-    if "_corrupt_record" not in raw.columns:
-        raw = raw.withColumn("_corrupt_record", F.lit(None).cast("string"))
-    flat = flat_columns()
-    raw_cols = {p: F.col(p) for p in set(_RANGE_CHECKED.values()) | {"publication_date"}}
-    raw_cols["publication_year"] = F.col("publication_year")
-    kept = [F.col(k) for k in keep if k in raw.columns]
-    return raw.select(
-        *kept,
-        *[flat[name].alias(name) for name in FLAT_COLUMNS],
-        _reject_reason(raw_cols, flat).alias(REJECT),
-    )
+    cols = raw.columns
+    flat = flat_sql()
+    corrupt = [] if "_corrupt_record" in cols else ["CAST(NULL AS STRING) AS _corrupt_record"]
+    kept = [k for k in keep if k in cols]
+    exprs = kept + [f"{flat[n]} AS {n}" for n in FLAT_COLUMNS] + [f"{reject_sql(flat)} AS {REJECT}"]
+    if corrupt:
+        raw = raw.selectExpr("*", *corrupt)
+    return raw.selectExpr(*exprs)
 
 
 def accepted(flat: DataFrame) -> DataFrame:

@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 # narrow dimensions. The check reads at most ``max_rows + 1`` rows.
 DEFAULT_BROADCAST_ROWS = 100_000
 
+# Outcome of earlier checks of the very same plan in this process (a plan over
+# the same files and columns has the same semantic hash).
+_checked: dict[tuple[int, int], bool] = {}
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    key = (df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if ``df`` has at most ``max_rows`` rows, else leave it.
@@ -17,5 +28,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     AQE may still convert at run time or split when a key is skewed.
     Callers project the side to the few columns the join needs first.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -81,33 +81,39 @@ def _stored_schema():
 
 
 def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
-                 n_buckets: int = DEFAULT_BUCKETS) -> int:
+                 n_buckets: int = DEFAULT_BUCKETS, max_broadcast_keys: int = 2_000_000) -> int:
     """Upsert accepted, de-duplicated rows into the table at ``path``.
 
     Returns the number of rows sent (inserted + updated), like the source.
+    ``n_buckets`` is fixed for the life of a table; size it so one bucket of
+    the full table is a comfortable rewrite unit (at 100 TB: thousands).
     """
-    from worklake.session import ensure_checkpoint_dir
+    from worklake.operators.joins import broadcast_if_small
+    from worklake.session import stage
 
-    ensure_checkpoint_dir(spark)
     if loaded_at is None:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    inc_b = inc_b.checkpoint()  # the increment is read twice below; fix it once
-    sent = inc_b.count()
     if not table_exists(spark, path):
+        # Empty table: every row is an insert, written in one pass.
         (with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
          .write.mode("append").partitionBy(BUCKET).parquet(path))
-        return sent
+        return read_table(spark, path).count()
+    inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
+    sent = inc_b.count()
     stored = read_table(spark, path)
+    # Stored keys stream through a probe of the batch keys (broadcast when the
+    # batch is small enough, else a shuffle join); only bucket ids come back.
+    batch_keys = broadcast_if_small(inc_b.select(KEY, BUCKET), max_broadcast_keys)
     hits = [r[BUCKET] for r in
-            inc_b.select(KEY, BUCKET).join(stored.select(KEY, BUCKET), [KEY, BUCKET], "left_semi")
+            stored.select(KEY, BUCKET).join(batch_keys, [KEY, BUCKET], "left_semi")
             .select(BUCKET).distinct().collect()]  # at most n_buckets values
     if hits:
         old_part = stored.filter(F.col(BUCKET).isin(hits))
         new_part = inc_b.filter(F.col(BUCKET).isin(hits))
-        merged = (merge(old_part, new_part, loaded_at)
-                  .withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-                  .checkpoint())  # lineage must not read the files being replaced
+        merged = stage(merge(old_part, new_part, loaded_at)
+                       .withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets)),
+                       "upsert-merged")  # lineage must not read the files being replaced
         (merged.repartition(BUCKET).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     inserts = inc_b.filter(~F.col(BUCKET).isin(hits)) if hits else inc_b

@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Static: skip capturing the Python call site of every Column (plan
+    # building is ~10x faster; only error messages lose the origin line).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -62,3 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the plan once and
+    stores columnar, compressed files in the shared folder, so a lost
+    executor re-reads them instead of recomputing the upstream plan.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -20,7 +20,7 @@ Fixed values (mapping): order priority 1→gold 2→green 3→hybrid 4→NULL 5
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worklake.operators.joins import broadcast_if_small
@@ -34,12 +34,17 @@ DUP_EVERY = 19
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# The driver's tables are read-only: one scan definition per application and
+# path is reused (saves the file listing and footer read per query build).
+_tables: dict[tuple[str, str], DataFrame] = {}
 
 
-def _k_mod(n: int) -> Column:
-    return F.col("k") % F.lit(n) == 0
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def authorships_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,63 +85,51 @@ def authorships_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _work_struct_columns() -> list[Column]:
-    """Raw work fields from the joined order row (column ``k`` = order key)."""
-    k = F.col("k").cast("string")
-    prio = F.substring("o_orderpriority", 1, 1)
-    price = F.col("o_totalprice")
+def _work_fields() -> list[str]:
+    """Raw work fields as SQL expressions over the joined order row.
+
+    ``k`` = order key, ``_copy`` = 1 for a planted copy. One ``selectExpr``
+    builds the whole nested record (parsed once on the JVM side).
+    """
+    ks = "CAST(k AS STRING)"
+    price = "o_totalprice"
     return [
-        F.when(_k_mod(211), F.lit(None).cast("string"))
-         .when(_k_mod(223), F.concat(F.lit(ID_BASE + "X"), k))
-         .otherwise(F.concat(F.lit(ID_BASE + "W"), k)).alias("id"),
-        F.concat(F.lit(DOI_BASE), k).alias("doi"),
-        F.when(~_k_mod(101), F.concat(F.col("c_name"), F.lit(" / "), k)).alias("title"),
-        F.when(~_k_mod(303), F.concat(F.lit("Order "), k)).alias("display_name"),
-        F.when(~_k_mod(307), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("publication_date"),
-        (F.year("o_orderdate") + F.when(_k_mod(97), 1).otherwise(0)).alias("publication_year"),
-        F.lit("article").alias("type"),
-        F.lit(None).cast("string").alias("language"),
-        F.lit(False).alias("is_retracted"),
-        F.lit(None).cast("boolean").alias("has_fulltext"),
-        F.struct(
-            (F.col("o_orderstatus") != "O").alias("is_oa"),
-            F.when(prio == "1", "gold").when(prio == "2", "green").when(prio == "3", "hybrid")
-             .when(prio == "5", "closed").alias("oa_status"),
-            F.lit(None).cast("string").alias("oa_url"),
-        ).alias("open_access"),
-        F.struct(
-            F.lit(None).cast("string").alias("landing_page_url"),
-            F.struct(
-                F.concat(F.lit(ID_BASE + "S"), F.col("c_custkey").cast("string")).alias("id"),
-                F.when(~_k_mod(31), F.col("c_name")).alias("display_name"),
-                F.lit("journal").alias("type"),
-                F.lit(None).cast("string").alias("host_organization_name"),
-                F.lit(None).cast("boolean").alias("is_core"),
-            ).alias("source"),
-        ).alias("primary_location"),
-        F.struct(
-            F.concat(F.lit(ID_BASE + "T"), F.col("n_nationkey").cast("string")).alias("id"),
-            F.when(~_k_mod(53), F.col("n_name")).alias("display_name"),
-            F.lit(None).cast("double").alias("score"),
-            F.struct(F.concat(F.lit(SUBFIELD_BASE), F.col("c_mktsegment")).alias("id"),
-                     F.col("c_mktsegment").alias("display_name")).alias("subfield"),
-            F.struct(F.col("r_name").alias("display_name")).alias("field"),
-            F.struct(F.lit(None).cast("string").alias("display_name")).alias("domain"),
-        ).alias("primary_topic"),
-        F.struct(
-            (F.floor(price / 2) / 200000).alias("value"),
-            (price > 480000).alias("is_in_top_1_percent"),
-            F.when(~_k_mod(7), price > 450000).alias("is_in_top_10_percent"),
-        ).alias("citation_normalized_percentile"),
-        F.col("authorships"),
-        F.when(_k_mod(113), F.lit(-1)).otherwise(F.col("qty")).alias("cited_by_count"),
-        (F.floor(price / 10) / 10000).alias("fwci"),
-        F.lit(None).cast("int").alias("referenced_works_count"),
-        (F.coalesce(F.col("n_countries"), F.lit(0))
-         + F.when(_k_mod(89), 1).otherwise(0)).alias("countries_distinct_count"),
-        F.lit(None).cast("int").alias("institutions_distinct_count"),
-        F.lit(None).cast("int").alias("locations_count"),
-        F.lit(None).cast("string").alias("updated_date"),
+        f"CASE WHEN k % 211 = 0 THEN NULL WHEN k % 223 = 0 THEN concat('{ID_BASE}X', {ks}) "
+        f"ELSE concat('{ID_BASE}W', {ks}) END AS id",
+        f"concat('{DOI_BASE}', {ks}) AS doi",
+        f"CASE WHEN k % 101 <> 0 THEN concat(c_name, ' / ', {ks}, "
+        f"CASE WHEN _copy = 1 THEN ' (dup)' ELSE '' END) END AS title",
+        f"CASE WHEN k % 303 <> 0 THEN concat('Order ', {ks}) END AS display_name",
+        "CASE WHEN k % 307 <> 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') END AS publication_date",
+        "year(o_orderdate) + CASE WHEN k % 97 = 0 THEN 1 ELSE 0 END AS publication_year",
+        "'article' AS type",
+        "CAST(NULL AS STRING) AS language",
+        "false AS is_retracted",
+        "CAST(NULL AS BOOLEAN) AS has_fulltext",
+        "named_struct('is_oa', o_orderstatus <> 'O', "
+        "'oa_status', CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'gold' WHEN '2' THEN 'green' "
+        "WHEN '3' THEN 'hybrid' WHEN '5' THEN 'closed' END, "
+        "'oa_url', CAST(NULL AS STRING)) AS open_access",
+        "named_struct('landing_page_url', CAST(NULL AS STRING), 'source', named_struct("
+        f"'id', concat('{ID_BASE}S', CAST(c_custkey AS STRING)), "
+        "'display_name', CASE WHEN k % 31 <> 0 THEN c_name END, 'type', 'journal', "
+        "'host_organization_name', CAST(NULL AS STRING), 'is_core', CAST(NULL AS BOOLEAN))) AS primary_location",
+        f"named_struct('id', concat('{ID_BASE}T', CAST(n_nationkey AS STRING)), "
+        "'display_name', CASE WHEN k % 53 <> 0 THEN n_name END, 'score', CAST(NULL AS DOUBLE), "
+        f"'subfield', named_struct('id', concat('{SUBFIELD_BASE}', c_mktsegment), 'display_name', c_mktsegment), "
+        "'field', named_struct('display_name', r_name), "
+        "'domain', named_struct('display_name', CAST(NULL AS STRING))) AS primary_topic",
+        f"named_struct('value', floor({price} / 2) / 200000, 'is_in_top_1_percent', {price} > 480000, "
+        f"'is_in_top_10_percent', CASE WHEN k % 7 <> 0 THEN {price} > 450000 END) "
+        "AS citation_normalized_percentile",
+        "authorships",
+        "CASE WHEN k % 113 = 0 THEN -1 ELSE qty END AS cited_by_count",
+        f"floor({price} / 10) / 10000 AS fwci",
+        "CAST(NULL AS INT) AS referenced_works_count",
+        "coalesce(n_countries, 0) + CASE WHEN k % 89 = 0 THEN 1 ELSE 0 END AS countries_distinct_count",
+        "CAST(NULL AS INT) AS institutions_distinct_count",
+        "CAST(NULL AS INT) AS locations_count",
+        "CAST(NULL AS STRING) AS updated_date",
     ]
 
 
@@ -164,18 +157,8 @@ def works_from_testdata(spark: SparkSession, sf_dir: str, with_copies: bool = Tr
     )
     # Each order yields one record, or two for the planted copies; a generator
     # in the same projection, so the joined plan is computed once.
-    copy = F.explode(F.when(_k_mod(DUP_EVERY), F.array(F.lit(0), F.lit(1)))
-                     .otherwise(F.array(F.lit(0)))).alias("_copy")
-    if not with_copies:
-        copy = F.lit(0).alias("_copy")
-    works = base.select("*", copy)
-    works = works.select(
-        F.concat(F.lit("part-"), F.col("_copy").cast("string")).alias("_src"),
-        F.col("k").alias("_pos"),
-        "_copy",
-        *_work_struct_columns(),
-    )
-    works = works.withColumn(
-        "title", F.when(F.col("_copy") == 1, F.concat(F.col("title"), F.lit(" (dup)")))
-        .otherwise(F.col("title")))
-    return works.select("_src", "_pos", *WORK_SCHEMA.fieldNames())
+    copies = (f"explode(CASE WHEN k % {DUP_EVERY} = 0 THEN array(0, 1) ELSE array(0) END)"
+              if with_copies else "0")
+    works = base.selectExpr("*", f"{copies} AS _copy")
+    return works.selectExpr("concat('part-', CAST(_copy AS STRING)) AS _src", "k AS _pos",
+                            *_work_fields())
