@@ -336,4 +336,5 @@ UNION ALL
 SELECT CAST((SELECT MAX(id) FROM runs) + 1 AS INTEGER), {_LOAD}, {_d(D.FULL_FROM)}, {_d(D.FULL_TO)},
        '{_SUB_URL}{D.EXPECTED_SUBFIELD}', CAST((SELECT COUNT(*) FROM rawf) AS INTEGER), {_LOAD}"""
     q["export_round_trip"] = q["flatten_papers"]
+    q["incremental_ingest"] = W + f"SELECT {_flat_cols()}, ingested_at FROM papers"
     return q

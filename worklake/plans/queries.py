@@ -218,6 +218,26 @@ def run_log_append(spark, sf):
     return runs.unionByName(next_run_row(runs, header, count, created_at=D.LOAD_TS))
 
 
+def incremental_ingest(spark, sf):
+    """Land the raw works as JSON Lines files, stream them in file by
+    file with foreachBatch upserts, read the resulting table.
+
+    Files are cut by key, so every copy of a work lands in the same file (the
+    first-wins order holds inside a micro-batch; across micro-batches the
+    later file overwrites, as a later export would).
+    """
+    from worklake.session import ensure_checkpoint_dir
+    from worklake.streaming.incremental import incremental_ingest as run
+    import uuid
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    raw = D.raw_works(spark, sf)
+    raw.repartition(4, "id").write.option("ignoreNullFields", "false").json(f"{root}/landing")
+    run(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS,
+        max_files_per_trigger=1, n_buckets=8)
+    return arrays_as_text(upsert.read_table(spark, f"{root}/table").drop(upsert.BUCKET))
+
+
 QUERIES: dict[str, QueryFn] = {
     "flatten_papers": flatten_papers,
     "flatten_rejects": flatten_rejects,
@@ -259,4 +279,5 @@ QUERIES: dict[str, QueryFn] = {
     "run_log_append": run_log_append,
     "recent_runs": recent_runs,
     "export_round_trip": export_round_trip,
+    "incremental_ingest": incremental_ingest,
 }
