@@ -38,6 +38,18 @@ def bucket_of(key: Column, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
 
 
+def layout(df: DataFrame, files_per_bucket: int = 1) -> DataFrame:
+    """Shuffle rows so each task writes whole (bucket, sub-bucket) groups.
+
+    One file per bucket and sub-bucket instead of one per task and bucket;
+    ``files_per_bucket`` splits a large bucket over several tasks and files
+    (at 100 TB size it so a file is a few hundred MB). AQE coalesces the
+    shuffle partitions when the data is small.
+    """
+    sub = F.pmod(F.xxhash64(F.col(KEY), F.lit(1)), F.lit(files_per_bucket))
+    return df.repartition(F.col(BUCKET), sub)
+
+
 def _loaded_at(loaded_at) -> Column:
     if loaded_at is None:
         return F.current_timestamp()
@@ -81,7 +93,8 @@ def _stored_schema():
 
 
 def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
-                 n_buckets: int = DEFAULT_BUCKETS, max_broadcast_keys: int = 2_000_000) -> int:
+                 n_buckets: int = DEFAULT_BUCKETS, max_broadcast_keys: int = 2_000_000,
+                 files_per_bucket: int = 1) -> int:
     """Upsert accepted, de-duplicated rows into the table at ``path``.
 
     Returns the number of rows sent (inserted + updated), like the source.
@@ -96,8 +109,8 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
     if not table_exists(spark, path):
         # Empty table: every row is an insert, written in one pass.
-        (with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-         .write.mode("append").partitionBy(BUCKET).parquet(path))
+        first = with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
+        layout(first, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
         return read_table(spark, path).count()
     inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
     sent = inc_b.count()
@@ -114,9 +127,9 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
         merged = stage(merge(old_part, new_part, loaded_at)
                        .withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets)),
                        "upsert-merged")  # lineage must not read the files being replaced
-        (merged.repartition(BUCKET).write.mode("overwrite")
+        (layout(merged, files_per_bucket).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     inserts = inc_b.filter(~F.col(BUCKET).isin(hits)) if hits else inc_b
-    (with_ingested_at(inserts, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-     .write.mode("append").partitionBy(BUCKET).parquet(path))
+    inserts = with_ingested_at(inserts, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
+    layout(inserts, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
     return sent
