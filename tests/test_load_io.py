@@ -111,3 +111,14 @@ def test_subfield_lookup_errors(spark):
         W.resolve_subfield(dim, "chemistry")
     with pytest.raises(W.SubfieldLookupError, match="Top result was 'Artificial Intelligence'"):
         W.resolve_subfield(dim, "artificial")
+
+
+def test_ensure_tables_idempotent(spark, tmp_path):
+    from worklake.sources.tables import ensure_tables
+
+    p, r = str(tmp_path / "papers"), str(tmp_path / "runs")
+    assert ensure_tables(spark, p, r) == ["papers", "runs"]
+    assert ensure_tables(spark, p, r) == []
+    assert upsert.read_table(spark, p).count() == 0
+    assert upsert.upsert_table(spark, p, _inc(spark, [work(B + "W1")]), T1, n_buckets=4) == 1
+    assert ensure_tables(spark, p, r) == []

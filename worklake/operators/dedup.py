@@ -31,13 +31,13 @@ def fetch_dedup(raw: DataFrame) -> DataFrame:
 
     Records without an id (NULL or '') are all kept; they are rejected later.
     """
-    has_id = F.col("id").isNotNull() & (F.col("id") != "")
-    return first_wins(raw.filter(has_id), "id").unionByName(raw.filter(~has_id | F.col("id").isNull()))
+    has_id = F.coalesce(F.col("id") != "", F.lit(False))
+    return first_wins(raw.filter(has_id), "id").unionByName(raw.filter(~has_id))
 
 
 def fetch_duplicates_skipped(raw: DataFrame) -> DataFrame:
     """Number of raw records M1 drops (one-row DataFrame)."""
-    has_id = F.col("id").isNotNull() & (F.col("id") != "")
+    has_id = F.coalesce(F.col("id") != "", F.lit(False))
     return raw.filter(has_id).agg(
         (F.count(F.lit(1)) - F.count_distinct("id")).alias("duplicates_skipped"))
 
@@ -64,16 +64,25 @@ def prepare_rows(raw: DataFrame) -> DataFrame:
 
 
 def ingest_counters(raw: DataFrame) -> DataFrame:
-    """(papers, upserted, skipped_invalid, duplicates_in_file) in one pass.
+    """(papers, upserted, skipped_invalid, duplicates_in_file) in one shuffle.
 
-    Duplicates = valid rows − distinct valid keys, so no per-row ranking (and
-    no sort of a hot key) is needed just to count.
+    Rows are counted per (key, valid) with a partial aggregate before the
+    exchange (a key with many copies is combined map-side), then one small
+    global aggregate: duplicates = valid rows − distinct valid keys, so no
+    per-row ranking is needed just to count.
     """
-    flat = flatten(raw)
+    return counters_of_flat(flatten(raw))
+
+
+def counters_of_flat(flat: DataFrame) -> DataFrame:
+    """A13 over already flattened rows (with ``reject_reason``)."""
     valid = F.col(REJECT).isNull()
-    return flat.agg(
-        F.count(F.lit(1)).alias("papers"),
-        F.count_distinct(F.when(valid, F.col(KEY))).alias("upserted"),
-        F.count_if(~valid).alias("skipped_invalid"),
-        (F.count_if(valid) - F.count_distinct(F.when(valid, F.col(KEY)))).alias("duplicates_in_file"),
+    per_key = (flat.select(F.when(valid, F.col(KEY)).alias("k"), valid.alias("v"))
+               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
+    return per_key.agg(
+        F.sum("n").alias("papers"),
+        F.count_if(F.col("v")).alias("upserted"),
+        F.coalesce(F.sum(F.when(~F.col("v"), F.col("n"))), F.lit(0)).alias("skipped_invalid"),
+        (F.coalesce(F.sum(F.when(F.col("v"), F.col("n"))), F.lit(0))
+         - F.count_if(F.col("v"))).alias("duplicates_in_file"),
     )

@@ -64,7 +64,7 @@ def append_run(spark: SparkSession, path: str, header: dict, paper_count: DataFr
     """M4: append the run row to the log at ``path``; returns the new id."""
     from worklake.operators.upsert import table_exists
 
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(path) if table_exists(spark, path) else None
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(path) if table_exists(spark, path, RUNS_SCHEMA) else None
     first = next_run_row(runs, header, paper_count, created_at).first()  # one row
     spark.createDataFrame([first], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return first["id"]

@@ -75,14 +75,25 @@ def merge(old: DataFrame, inc: DataFrame, loaded_at=None) -> DataFrame:
     return o.join(i, F.col("o." + KEY) == F.col("i." + KEY), "full_outer").select(*cols)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
+    """True when ``path`` holds a readable Parquet table (possibly empty).
+
+    With ``schema`` an existing folder without data files (a freshly created
+    empty table) also counts.
+    """
     try:
-        spark.read.parquet(path).limit(0).collect()
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        reader.parquet(path).limit(0).collect()
         return True
     except Exception:  # noqa: BLE001 - missing path / no files yet
         return False
 
 
+def is_empty(spark: SparkSession, path: str) -> bool:
+    return (not table_exists(spark, path, _stored_schema())
+            or read_table(spark, path).limit(1).count() == 0)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_stored_schema()).parquet(path)
 
@@ -107,7 +118,7 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     if loaded_at is None:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    if not table_exists(spark, path):
+    if is_empty(spark, path):
         # Empty table: every row is an insert, written in one pass.
         first = with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
         layout(first, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)

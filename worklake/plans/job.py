@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worklake.operators import dedup, dq, runlog, upsert
-from worklake.operators.flatten import REJECT, flatten
+from worklake.operators.flatten import flatten
 from worklake.schema import RUNS_SCHEMA
 from worklake.sources import works as W
 
@@ -72,7 +72,8 @@ class PipelineResult:
 
 
 def _runs(spark: SparkSession, cfg: JobConfig) -> DataFrame | None:
-    return spark.read.schema(RUNS_SCHEMA).parquet(cfg.runs) if upsert.table_exists(spark, cfg.runs) else None
+    exists = upsert.table_exists(spark, cfg.runs, RUNS_SCHEMA)
+    return spark.read.schema(RUNS_SCHEMA).parquet(cfg.runs) if exists else None
 
 
 def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
@@ -83,18 +84,17 @@ def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
     """
     from worklake.session import stage
 
+    from worklake.sources.tables import ensure_tables
+
     runlog.validate_header(header)  # the run row is required: fail before writing facts
+    ensure_tables(spark, cfg.table, cfg.runs)
     flat = stage(flatten(raw), "ingest-flat")
-    valid = F.col(REJECT).isNull()
-    c = flat.agg(F.count(F.lit(1)).alias("papers"),
-                 F.count_if(~valid).alias("invalid"),
-                 F.count_if(valid).alias("valid"),
-                 F.count_distinct(F.when(valid, F.col("openalex_id"))).alias("keys")).first()
+    c = dedup.counters_of_flat(flat).first()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     sent = upsert.upsert_table(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, cfg.n_buckets)
     count = spark.range(1).select(F.lit(c["papers"]).alias("paper_count"))
     run_id = runlog.append_run(spark, cfg.runs, header, count, created_at=loaded_at)
-    return IngestResult(run_id, sent, c["invalid"], c["valid"] - c["keys"], c["papers"])
+    return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"])
 
 
 def run_quality(spark: SparkSession, cfg: JobConfig, subfield_name: str | None = None) -> list:

@@ -56,17 +56,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh scratch folder is created.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+        configured = _dirs.get(session_key(spark))
     if not configured:
         configured = tempfile.mkdtemp(prefix="worklake-ckpt-",
                                       dir=os.environ.get("WORKLAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - core conf not settable at run time
+            pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    _dirs[session_key(spark)] = configured
     return configured
 
 
+_dirs: dict[str, str] = {}
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-application memos)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def stage(df, name: str = "stage"):
     """Write ``df`` once as Parquet under the checkpoint folder and read it back.
 

@@ -41,7 +41,9 @@ _tables: dict[tuple[str, str], DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    from worklake.session import session_key
+
+    key = (session_key(spark), path)
     if key not in _tables:
         _tables[key] = spark.read.parquet(path)
     return _tables[key]
