@@ -1,8 +1,9 @@
 """Benchmark: the works pipeline at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Stages, each timed on its own:
-  ingest_load      raw works (derived from the test tables) → flatten → reject
-                   → first-wins → bucket-partitioned Parquet table
+  bind_landing     raw nested works derived from the test tables, landed as Parquet
+  ingest_load      landing → flatten → reject → first-wins → bucket-partitioned
+                   Parquet table, plus the run log
   upsert_batch2    second, overlapping snapshot upserted into that table
   reports / DQ     every dashboard report and the fused DQ pass, reading the
                    stored table (filters reach the Parquet scan)
@@ -51,15 +52,28 @@ def main() -> None:
     QUERIES["top_topics"](spark, sf_dir).collect()
 
     runs_path = f"{scratch}/runs"
+    landing_path = f"{scratch}/landing"
+
+    def bind():
+        # The synthetic source: nested works derived from the test tables,
+        # landed once as Parquet (as if delivered by the catalogue).
+        D.raw_works(spark, sf_dir).write.mode("overwrite").parquet(landing_path)
+
+    timed("bind_landing", bind)
+    landing = spark.read.parquet(landing_path)
 
     def ingest():
-        inc = dedup.batch_dedup(flatten(D.raw_works(spark, sf_dir)))
+        inc = dedup.batch_dedup(flatten(landing))
         upsert.upsert_table(spark, table, inc, D.LOAD_TS)
-        D.runs(spark, sf_dir).write.mode("overwrite").parquet(runs_path)  # run log: one row per year
+        D.runs_of(landing).write.mode("overwrite").parquet(runs_path)  # run log: one row per year
+
+    def second_batch():
+        inc = dedup.batch_dedup(flatten(D.second_snapshot(D.in_window(landing, D.BATCH2))))
+        upsert.upsert_table(spark, table, inc, D.LOAD2_TS)
 
     timed("ingest_load", ingest)
-    timed("ingest_counters", lambda: dedup.ingest_counters(D.raw_works(spark, sf_dir)).collect())
-    timed("upsert_batch2", lambda: upsert.upsert_table(spark, table, D.batch(spark, sf_dir, 2), D.LOAD2_TS))
+    timed("ingest_counters", lambda: dedup.ingest_counters(landing).collect())
+    timed("upsert_batch2", second_batch)
 
     papers = upsert.read_table(spark, table)
     runs = spark.read.parquet(runs_path)

@@ -118,19 +118,21 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     if loaded_at is None:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    if is_empty(spark, path):
+    stored = read_table(spark, path) if table_exists(spark, path, _stored_schema()) else None
+    if stored is None or stored.isEmpty():
         # Empty table: every row is an insert, written in one pass.
         first = with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
         layout(first, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
         return read_table(spark, path).count()
     inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
+    batch_buckets = {r[BUCKET] for r in inc_b.select(BUCKET).distinct().collect()}  # ≤ n_buckets
     sent = inc_b.count()
-    stored = read_table(spark, path)
     # Stored keys stream through a probe of the batch keys (broadcast when the
     # batch is small enough, else a shuffle join); only bucket ids come back.
     batch_keys = broadcast_if_small(inc_b.select(KEY, BUCKET), max_broadcast_keys)
     hits = [r[BUCKET] for r in
-            stored.select(KEY, BUCKET).join(batch_keys, [KEY, BUCKET], "left_semi")
+            stored.filter(F.col(BUCKET).isin(sorted(batch_buckets))).select(KEY, BUCKET)
+            .join(batch_keys, [KEY, BUCKET], "left_semi")
             .select(BUCKET).distinct().collect()]  # at most n_buckets values
     if hits:
         old_part = stored.filter(F.col(BUCKET).isin(hits))
@@ -140,7 +142,8 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
                        "upsert-merged")  # lineage must not read the files being replaced
         (layout(merged, files_per_bucket).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-    inserts = inc_b.filter(~F.col(BUCKET).isin(hits)) if hits else inc_b
-    inserts = with_ingested_at(inserts, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    layout(inserts, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
+    if batch_buckets - set(hits):  # buckets that only receive inserts
+        inserts = inc_b.filter(~F.col(BUCKET).isin(hits)) if hits else inc_b
+        inserts = with_ingested_at(inserts, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
+        layout(inserts, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
     return sent

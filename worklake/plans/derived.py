@@ -55,13 +55,18 @@ def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run log: one run per publication year of the raw works.
+    """Run log: one run per publication year of the raw works."""
+    return runs_of(raw_works(spark, sf_dir))
+
+
+def runs_of(raw: DataFrame) -> DataFrame:
+    """One run per publication year of ``raw``; paper_count = raw batch size.
 
     The group-by is partial-aggregated; the numbering window then runs over
     one row per year (bounded by the calendar, not by the data).
     """
     d = F.try_to_date(F.col("publication_date"), "yyyy-MM-dd")
-    per_year = (raw_works(spark, sf_dir).select(F.year(d).alias("y")).filter(F.col("y").isNotNull())
+    per_year = (raw.select(F.year(d).alias("y")).filter(F.col("y").isNotNull())
                 .groupBy("y").agg(F.count(F.lit(1)).alias("paper_count")))
     fetched = F.make_timestamp(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     return per_year.select(
