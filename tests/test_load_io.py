@@ -122,3 +122,36 @@ def test_ensure_tables_idempotent(spark, tmp_path):
     assert upsert.read_table(spark, p).count() == 0
     assert upsert.upsert_table(spark, p, _inc(spark, [work(B + "W1")]), T1, n_buckets=4) == 1
     assert ensure_tables(spark, p, r) == []
+
+
+def _files(root):
+    import os
+
+    out = {}
+    for d, _, fs in os.walk(root):
+        for f in fs:
+            if f.endswith(".parquet"):
+                p = os.path.join(d, f)
+                out[p] = os.stat(p).st_mtime_ns
+    return out
+
+
+def test_upsert_rewrites_only_units_with_updates(spark, tmp_path):
+    path = str(tmp_path / "papers")
+    first = [work(B + f"W{i}") for i in range(1, 41)]
+    upsert.upsert_table(spark, path, _inc(spark, first), T1, n_buckets=8)
+    before = _files(path)
+    # new keys only: nothing is rewritten, files are added under the new day
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W100"), work(B + "W101")]), T2, n_buckets=8)
+    after = _files(path)
+    assert all(after.get(p) == m for p, m in before.items())
+    assert all("ingest_day=2026-06-16" in p for p in set(after) - set(before))
+    # one updated key: exactly one (day, bucket) unit is replaced
+    unit = upsert.read_table(spark, path).filter("openalex_id = 'W7'").select("ingest_day", "bucket").first()
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W7", title="new")]), T2, n_buckets=8)
+    final = _files(path)
+    changed = {p for p in set(before) | set(final) if before.get(p) != final.get(p)} - (set(after) - set(before))
+    prefix = f"ingest_day={unit['ingest_day']}/bucket={unit['bucket']}/"
+    assert changed and all(prefix in p for p in changed)
+    t = _table(spark, path)
+    assert t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1 and len(t) == 42

@@ -1,4 +1,4 @@
-"""Keyed upsert on a bucket-partitioned Parquet table (no MERGE needed).
+"""Keyed upsert on a partitioned Parquet table (no MERGE needed).
 
 ``merge(old, inc)`` is the semantics as one DataFrame expression: a full
 outer equi-join on the key; a key present in the increment takes ALL of the
@@ -6,18 +6,24 @@ increment's columns (NULLs overwrite, no recency guard); ``ingested_at`` is
 set on first insert only.
 
 ``upsert_table`` applies it to a stored table laid out as
-``<path>/bucket=<pmod(xxhash64(key), N)>/`` so an update of a key always
-lands in the same partition, whatever its date:
-
-1. the increment's keys are semi-joined with the stored key column only
-   (column-pruned scan) to find the buckets that hold updates (≤ N values);
-2. those buckets are merged, written to the reliable checkpoint folder to cut
-   the lineage, and rewritten with dynamic partition overwrite;
-3. increment rows of all other buckets are pure inserts and are appended.
-
-Work and rewrite volume follow the updates, not the table size. Re-running a
-batch converges to the same table (idempotent), which is also the recovery
-path after a failure between steps.
+``<path>/ingest_day=<first load day>/bucket=<pmod(xxhash64(key), N)>/``.
+Both partition values are fixed for the life of a key (``ingested_at`` never
+changes after the first insert), so an update always lands where the old row
+is, whatever happens to its dates. The source re-fetches recent windows, so
+updates concentrate on recently ingested keys, i.e. on a few recent days:
+
+1. the batch is staged once (Parquet in the checkpoint folder);
+2. the stored key column (only the batch's buckets, column-pruned) is probed
+   with the batch keys — broadcast below a checked bound, else a shuffle
+   join — giving each updated key's partition;
+3. only the (day, bucket) units holding updated keys are merged (old rows
+   with the batch's new versions of them), staged to cut the lineage, and
+   rewritten with dynamic partition overwrite;
+4. new keys are then appended to today's units.
+
+Rewrite volume follows the updated keys' units, not the table size. Re-running
+a batch converges to the same table (idempotent), which is also the recovery
+path after a failure between the rewrite and the append.
 """
 
 from __future__ import annotations
@@ -26,28 +32,36 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from worklake.schema import FLAT_COLUMNS, KEY, PAPERS_SCHEMA
 
+DAY = "ingest_day"
 BUCKET = "bucket"
-DEFAULT_BUCKETS = 64
+PARTITIONS = (DAY, BUCKET)
+DEFAULT_BUCKETS = 16
 _HIT = "_in_batch"
+_OLD_DAY = "_old_day"
 
 
 def bucket_of(key: Column, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
 
 
+def _with_partitions(df: DataFrame, n_buckets: int) -> DataFrame:
+    return df.withColumns({DAY: F.to_date(F.col("ingested_at")), BUCKET: bucket_of(F.col(KEY), n_buckets)})
+
+
 def layout(df: DataFrame, files_per_bucket: int = 1) -> DataFrame:
-    """Shuffle rows so each task writes whole (bucket, sub-bucket) groups.
+    """Shuffle rows so each task writes whole (day, bucket, sub-bucket) groups.
 
-    One file per bucket and sub-bucket instead of one per task and bucket;
-    ``files_per_bucket`` splits a large bucket over several tasks and files
+    One file per unit and sub-bucket instead of one per task and unit;
+    ``files_per_bucket`` splits a large unit over several tasks and files
     (at 100 TB size it so a file is a few hundred MB). AQE coalesces the
     shuffle partitions when the data is small.
     """
     sub = F.pmod(F.xxhash64(F.col(KEY), F.lit(1)), F.lit(files_per_bucket))
-    return df.repartition(F.col(BUCKET), sub)
+    return df.repartition(F.col(DAY), F.col(BUCKET), sub)
 
 
 def _loaded_at(loaded_at) -> Column:
@@ -75,6 +89,11 @@ def merge(old: DataFrame, inc: DataFrame, loaded_at=None) -> DataFrame:
     return o.join(i, F.col("o." + KEY) == F.col("i." + KEY), "full_outer").select(*cols)
 
 
+def stored_schema() -> T.StructType:
+    return T.StructType(PAPERS_SCHEMA.fields + [T.StructField(DAY, T.DateType()),
+                                                T.StructField(BUCKET, T.IntegerType())])
+
+
 def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
     """True when ``path`` holds a readable Parquet table (possibly empty).
 
@@ -89,18 +108,15 @@ def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
         return False
 
 
-def is_empty(spark: SparkSession, path: str) -> bool:
-    return (not table_exists(spark, path, _stored_schema())
-            or read_table(spark, path).limit(1).count() == 0)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_stored_schema()).parquet(path)
+    """The stored papers (38 columns plus the two partition columns)."""
+    return spark.read.schema(stored_schema()).parquet(path)
 
 
-def _stored_schema():
-    from pyspark.sql import types as T
-    return T.StructType(PAPERS_SCHEMA.fields + [T.StructField(BUCKET, T.IntegerType())])
+def _write(df: DataFrame, path: str, files_per_bucket: int, overwrite: bool = False) -> None:
+    w = layout(df, files_per_bucket).write
+    w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if overwrite else w.mode("append")
+    w.partitionBy(*PARTITIONS).parquet(path)
 
 
 def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
@@ -109,8 +125,8 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     """Upsert accepted, de-duplicated rows into the table at ``path``.
 
     Returns the number of rows sent (inserted + updated), like the source.
-    ``n_buckets`` is fixed for the life of a table; size it so one bucket of
-    the full table is a comfortable rewrite unit (at 100 TB: thousands).
+    ``n_buckets`` is fixed for the life of a table; size it so one day's unit
+    is a comfortable rewrite (and file) size.
     """
     from worklake.operators.joins import broadcast_if_small
     from worklake.session import stage
@@ -118,32 +134,37 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     if loaded_at is None:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    stored = read_table(spark, path) if table_exists(spark, path, _stored_schema()) else None
+    stored = read_table(spark, path) if table_exists(spark, path, stored_schema()) else None
     if stored is None or stored.isEmpty():
         # Empty table: every row is an insert, written in one pass.
-        first = with_ingested_at(inc_b, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-        layout(first, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
+        _write(_with_partitions(with_ingested_at(inc_b, loaded_at), n_buckets), path, files_per_bucket)
         return read_table(spark, path).count()
+
     inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
-    batch_buckets = {r[BUCKET] for r in inc_b.select(BUCKET).distinct().collect()}  # ≤ n_buckets
     sent = inc_b.count()
-    # Stored keys stream through a probe of the batch keys (broadcast when the
-    # batch is small enough, else a shuffle join); only bucket ids come back.
+    batch_buckets = sorted(r[BUCKET] for r in inc_b.select(BUCKET).distinct().collect())  # ≤ N
+    # Updated keys with their stored partition: the stored key column streams
+    # through a probe of the batch keys; at most one row per batch key.
     batch_keys = broadcast_if_small(inc_b.select(KEY, BUCKET), max_broadcast_keys)
-    hits = [r[BUCKET] for r in
-            stored.filter(F.col(BUCKET).isin(sorted(batch_buckets))).select(KEY, BUCKET)
-            .join(batch_keys, [KEY, BUCKET], "left_semi")
-            .select(BUCKET).distinct().collect()]  # at most n_buckets values
-    if hits:
-        old_part = stored.filter(F.col(BUCKET).isin(hits))
-        new_part = inc_b.filter(F.col(BUCKET).isin(hits))
-        merged = stage(merge(old_part, new_part, loaded_at)
-                       .withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets)),
+    probe = stage(stored.filter(F.col(BUCKET).isin(batch_buckets)).select(KEY, BUCKET, DAY)
+                  .join(batch_keys, [KEY, BUCKET], "left_semi"), "upsert-probe")
+    units = [(r[DAY], r[BUCKET]) for r in probe.select(DAY, BUCKET).distinct().collect()]
+
+    # Batch rows: updates (key already stored, carrying its stored day) vs. inserts.
+    tagged = inc_b.join(broadcast_if_small(probe.select(KEY, F.col(DAY).alias(_OLD_DAY)),
+                                           max_broadcast_keys), KEY, "left")
+    is_update = F.col(_OLD_DAY).isNotNull()
+    if units:
+        unit = F.struct(F.col(DAY).alias(DAY), F.col(BUCKET).alias(BUCKET))
+        wanted = [F.struct(F.lit(d).alias(DAY), F.lit(b).alias(BUCKET)) for d, b in units]
+        old_part = (stored.filter(F.col(DAY).isin(sorted({d for d, _ in units}))
+                                  & F.col(BUCKET).isin(sorted({b for _, b in units})))  # pruning
+                    .filter(unit.isin(wanted)))
+        merged = stage(_with_partitions(merge(old_part, tagged.filter(is_update), loaded_at), n_buckets),
                        "upsert-merged")  # lineage must not read the files being replaced
-        (layout(merged, files_per_bucket).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-    if batch_buckets - set(hits):  # buckets that only receive inserts
-        inserts = inc_b.filter(~F.col(BUCKET).isin(hits)) if hits else inc_b
-        inserts = with_ingested_at(inserts, loaded_at).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-        layout(inserts, files_per_bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
+        _write(merged, path, files_per_bucket, overwrite=True)
+    # New keys go to today's units, appended after the rewrite.
+    inserts = tagged.filter(~is_update)
+    if not inserts.isEmpty():
+        _write(_with_partitions(with_ingested_at(inserts, loaded_at), n_buckets), path, files_per_bucket)
     return sent

@@ -235,7 +235,7 @@ def incremental_ingest(spark, sf):
     raw.repartition(4, "id").write.option("ignoreNullFields", "false").json(f"{root}/landing")
     run(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS,
         max_files_per_trigger=1, n_buckets=8)
-    return arrays_as_text(upsert.read_table(spark, f"{root}/table").drop(upsert.BUCKET))
+    return arrays_as_text(upsert.read_table(spark, f"{root}/table").drop(*upsert.PARTITIONS))
 
 
 QUERIES: dict[str, QueryFn] = {

@@ -8,18 +8,16 @@ first-wins before the upsert) and verified by the DQ checks.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
-
-from worklake.operators.upsert import BUCKET, table_exists
-from worklake.schema import PAPERS_SCHEMA, RUNS_SCHEMA
+from worklake.operators.upsert import PARTITIONS, stored_schema, table_exists
+from worklake.schema import RUNS_SCHEMA
 
 
 def ensure_tables(spark: SparkSession, papers_path: str, runs_path: str) -> list[str]:
     """Create missing tables; returns the names of the tables created."""
     created = []
-    schema = T.StructType(PAPERS_SCHEMA.fields + [T.StructField(BUCKET, T.IntegerType())])
+    schema = stored_schema()
     if not table_exists(spark, papers_path, schema):
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(BUCKET).parquet(papers_path)
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*PARTITIONS).parquet(papers_path)
         created.append("papers")
     if not table_exists(spark, runs_path, RUNS_SCHEMA):
         spark.createDataFrame([], RUNS_SCHEMA).write.mode("append").parquet(runs_path)
