@@ -64,7 +64,8 @@ def flat_sql() -> dict[str, str]:
         "is_top_1_percent": "citation_normalized_percentile.is_in_top_1_percent",
         "is_top_10_percent": "citation_normalized_percentile.is_in_top_10_percent",
         "referenced_works_count": sql_null_to_zero("referenced_works_count"),
-        "author_count": "try_cast(coalesce(size(authorships), 0) AS SMALLINT)",
+        # explicit NULL test: size(NULL) is -1 when a session runs without ANSI
+        "author_count": "try_cast(CASE WHEN authorships IS NULL THEN 0 ELSE size(authorships) END AS SMALLINT)",
         "countries_count": f"try_cast({sql_null_to_zero('countries_distinct_count')} AS SMALLINT)",
         "institutions_count": f"try_cast({sql_null_to_zero('institutions_distinct_count')} AS SMALLINT)",
         "locations_count": f"try_cast({sql_null_to_zero('locations_count')} AS SMALLINT)",
