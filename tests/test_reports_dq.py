@@ -164,3 +164,19 @@ def test_classification_check(spark, sf_small):
     assert "1215 papers" in str(e.value) and str(e.value).count("'id'") == 3
     only = raw.filter(F.col("primary_topic.subfield.display_name") == "BUILDING")
     dq.assert_classification(only, "building")
+
+
+def test_local_frames_and_labels(spark, sf_small):
+    papers = D.papers(spark, sf_small)
+    full = reports.FilterState.make(D.FULL_FROM, D.FULL_TO)
+    pdf = reports.to_local(reports.top_topics(papers, full), max_rows=10)
+    assert list(pdf.columns) == ["topic", "papers"] and len(pdf) == 10
+    with pytest.raises(reports.ResultTooLarge):
+        reports.to_local(reports.paper_list(papers, full), max_rows=100)
+    labels = reports.kpi_labels(reports.kpis(papers, full).first())
+    assert labels == {"Publications": "1,484", "Open access": "65.6%", "Median citations": "94",
+                      "Topics": "25", "Avg authors": "4.0"}
+    assert reports.kpi_labels({"publications": 3, "oa_pct": 0.25, "median_citations": 2.5,
+                               "topics": 1, "avg_authors": 0.25})["Median citations"] == "2"
+    t = reports.trend_kpi_labels(reports.trend_kpis(papers, full).first())
+    assert t["Total in range"] == "1,484" and len(t["Peak day"]) == 10

@@ -202,3 +202,44 @@ def ingest_runs(runs: DataFrame, n: int = 5) -> DataFrame:
     """S6 + P4 + T4: the n most recent runs."""
     return (runs.select("id", "fetched_at", "from_date", "to_date", "paper_count", "created_at")
             .orderBy(F.desc("id")).limit(n))
+
+
+class ResultTooLarge(RuntimeError):
+    """A result meant for the driver exceeded its bound."""
+
+
+def to_local(df: DataFrame, max_rows: int = 100_000):
+    """A bounded result as a pandas frame; refuses to pull more than ``max_rows``.
+
+    Reads at most ``max_rows + 1`` rows, so an unexpectedly large result
+    fails fast instead of flooding the driver.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows; write it out instead")
+    return pdf
+
+
+def kpi_labels(k) -> dict[str, str]:
+    """Display strings for a ``kpis`` row (numbers stay numbers elsewhere).
+
+    Python's float formatting rounds half-even on the exact binary value, so
+    ``0.25`` shows as ``0.2`` and ``2.5`` as ``2`` (not Spark's half-up).
+    """
+    return {
+        "Publications": f"{k['publications']:,}",
+        "Open access": f"{k['oa_pct']:.1f}%",
+        "Median citations": f"{k['median_citations']:.0f}",
+        "Topics": f"{k['topics']:,}",
+        "Avg authors": f"{k['avg_authors']:.1f}",
+    }
+
+
+def trend_kpi_labels(k) -> dict[str, str]:
+    """Display strings for a ``trend_kpis`` row."""
+    return {
+        "Total in range": f"{k['total']:,}",
+        "Avg per day": f"{k['avg_per_day']:.1f}",
+        "Peak day": k["peak_day"].strftime("%Y-%m-%d"),
+        "Peak count": f"{k['peak_count']:,}",
+    }
