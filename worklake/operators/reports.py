@@ -158,11 +158,8 @@ def kpis(papers: DataFrame, state: FilterState) -> DataFrame:
     )
 
 
-def calendar(state: FilterState) -> DataFrame:
+def calendar(spark, state: FilterState) -> DataFrame:
     """One row per day of the filter window (bounded by the calendar)."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
     return spark.range(1).select(F.explode(F.sequence(
         F.lit(state.from_date), F.lit(state.to_date), F.expr("INTERVAL 1 DAY"))).alias("publication_date"))
 
@@ -175,7 +172,7 @@ def trend(papers: DataFrame, state: FilterState) -> DataFrame:
     of the filter window, never over paper rows.
     """
     counts = by_date(papers, state)
-    daily = (calendar(state).join(counts, "publication_date", "left")
+    daily = (calendar(papers.sparkSession, state).join(counts, "publication_date", "left")
              .select("publication_date",
                      F.coalesce(F.col("papers"), F.lit(0)).cast("bigint").alias("daily_papers")))
     w = Window.orderBy("publication_date").rowsBetween(-(ROLLING_DAYS - 1), 0)
