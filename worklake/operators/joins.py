@@ -29,3 +29,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     Callers project the side to the few columns the join needs first.
     """
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def broadcast_if_known_small(df: DataFrame, known_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast when a row count already established for ``df`` (or an upper
+    bound of it) is within ``max_rows``; no extra job."""
+    return F.broadcast(df) if known_rows <= max_rows else df

@@ -128,7 +128,7 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     ``n_buckets`` is fixed for the life of a table; size it so one day's unit
     is a comfortable rewrite (and file) size.
     """
-    from worklake.operators.joins import broadcast_if_small
+    from worklake.operators.joins import broadcast_if_known_small
     from worklake.session import stage
 
     if loaded_at is None:
@@ -136,23 +136,32 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
     stored = read_table(spark, path) if table_exists(spark, path, stored_schema()) else None
     if stored is None or stored.isEmpty():
-        # Empty table: every row is an insert, written in one pass.
-        _write(_with_partitions(with_ingested_at(inc_b, loaded_at), n_buckets), path, files_per_bucket)
-        return read_table(spark, path).count()
+        # Empty table: every row is an insert, written in one pass; the row
+        # count is observed during the write (no second job).
+        from pyspark.sql import Observation
+
+        obs = Observation("upsert_first_load")
+        first = _with_partitions(with_ingested_at(inc_b, loaded_at), n_buckets)
+        _write(first.observe(obs, F.count(F.lit(1)).alias("rows")), path, files_per_bucket)
+        return obs.get["rows"]
 
     inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
-    sent = inc_b.count()
-    batch_buckets = sorted(r[BUCKET] for r in inc_b.select(BUCKET).distinct().collect())  # ≤ N
-    # Updated keys with their stored partition: the stored key column streams
-    # through a probe of the batch keys; at most one row per batch key.
-    batch_keys = broadcast_if_small(inc_b.select(KEY, BUCKET), max_broadcast_keys)
-    probe = stage(stored.filter(F.col(BUCKET).isin(batch_buckets)).select(KEY, BUCKET, DAY)
+    per_bucket = {r[BUCKET]: r["count"] for r in inc_b.groupBy(BUCKET).count().collect()}  # ≤ N rows
+    sent = sum(per_bucket.values())
+    # Updated keys with their stored partition: the stored key column of the
+    # batch's buckets streams through a probe of the batch keys (broadcast when
+    # the batch is within the bound, else a shuffle join).
+    batch_keys = broadcast_if_known_small(inc_b.select(KEY, BUCKET), sent, max_broadcast_keys)
+    probe = stage(stored.filter(F.col(BUCKET).isin(sorted(per_bucket))).select(KEY, BUCKET, DAY)
                   .join(batch_keys, [KEY, BUCKET], "left_semi"), "upsert-probe")
-    units = [(r[DAY], r[BUCKET]) for r in probe.select(DAY, BUCKET).distinct().collect()]
+    per_unit = {(r[DAY], r[BUCKET]): r["count"] for r in probe.groupBy(DAY, BUCKET).count().collect()}
+    units = sorted(per_unit)
+    updated = sum(per_unit.values())
 
     # Batch rows: updates (key already stored, carrying its stored day) vs. inserts.
-    tagged = inc_b.join(broadcast_if_small(probe.select(KEY, F.col(DAY).alias(_OLD_DAY)),
-                                           max_broadcast_keys), KEY, "left")
+    # The probe holds at most one row per batch key, so ``sent`` bounds it.
+    tagged = inc_b.join(broadcast_if_known_small(probe.select(KEY, F.col(DAY).alias(_OLD_DAY)),
+                                                 updated, max_broadcast_keys), KEY, "left")
     is_update = F.col(_OLD_DAY).isNotNull()
     if units:
         unit = F.struct(F.col(DAY).alias(DAY), F.col(BUCKET).alias(BUCKET))
@@ -164,7 +173,7 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
                        "upsert-merged")  # lineage must not read the files being replaced
         _write(merged, path, files_per_bucket, overwrite=True)
     # New keys go to today's units, appended after the rewrite.
-    inserts = tagged.filter(~is_update)
-    if not inserts.isEmpty():
+    if sent > updated:
+        inserts = tagged.filter(~is_update)
         _write(_with_partitions(with_ingested_at(inserts, loaded_at), n_buckets), path, files_per_bucket)
     return sent
