@@ -8,7 +8,7 @@ sends one row per task across the network, never the whole group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from worklake.operators.flatten import REJECT, flatten
@@ -26,13 +26,22 @@ def first_wins(df: DataFrame, key: str | list[str], order: tuple[str, ...] = ORD
     return out if keep_rank else out.drop(RANK)
 
 
+def _own_group() -> Column:
+    """A partition value unique to the row (its source position); always used
+    together with a flag column, so it cannot collide with a real key."""
+    return F.concat_ws("#", *[F.col(c).cast("string") for c in ORDER_COLUMNS])
+
+
 def fetch_dedup(raw: DataFrame) -> DataFrame:
     """M1: de-duplicate raw works on the *full* raw id, before any validation.
 
-    Records without an id (NULL or '') are all kept; they are rejected later.
+    Records without an id (NULL or '') are all kept (rejected later): each is
+    ranked in a group of its own, so one pass serves both kinds of rows.
     """
     has_id = F.coalesce(F.col("id") != "", F.lit(False))
-    return first_wins(raw.filter(has_id), "id").unionByName(raw.filter(~has_id))
+    keyed = raw.withColumns({"_has_id": has_id,
+                             "_fetch_key": F.when(has_id, F.col("id")).otherwise(_own_group())})
+    return first_wins(keyed, ["_has_id", "_fetch_key"]).drop("_has_id", "_fetch_key")
 
 
 def fetch_duplicates_skipped(raw: DataFrame) -> DataFrame:
@@ -52,15 +61,16 @@ def prepare_rows(raw: DataFrame) -> DataFrame:
     """Flatten + reject + M2, tagging every raw row with its fate.
 
     Output keeps all rows with ``state`` in {accepted, invalid, duplicate};
-    counters (A13) are one aggregate over it and the accepted rows are the load.
+    rejected rows are ranked in groups of their own (one pass, no union).
     """
     flat = flatten(raw)
-    w = Window.partitionBy(KEY).orderBy(*[F.col(c).asc() for c in ORDER_COLUMNS])
-    valid = flat.filter(F.col(REJECT).isNull())
-    ranked = valid.withColumn(RANK, F.row_number().over(w))
-    return (ranked.withColumn("state", F.when(F.col(RANK) == 1, "accepted").otherwise("duplicate"))
-            .drop(RANK)
-            .unionByName(flat.filter(F.col(REJECT).isNotNull()).withColumn("state", F.lit("invalid"))))
+    valid = F.col(REJECT).isNull()
+    group = F.when(valid, F.col(KEY)).otherwise(_own_group())
+    w = Window.partitionBy(valid, group).orderBy(*[F.col(c).asc() for c in ORDER_COLUMNS])
+    return (flat.withColumn(RANK, F.row_number().over(w))
+            .withColumn("state", F.when(~valid, "invalid")
+                        .when(F.col(RANK) == 1, "accepted").otherwise("duplicate"))
+            .drop(RANK))
 
 
 def ingest_counters(raw: DataFrame) -> DataFrame:
