@@ -125,6 +125,10 @@ def test_run_checks_samples_and_gate(spark, sf_small):
     with pytest.raises(dq.DataQualityError) as e:
         dq.gate(results, fail_on_warnings=True)
     assert "missing_topic_hierarchy" in str(e.value)
+    lines = dq.report_lines(results)
+    assert "FAIL [error] openalex_id_format: 6 violation(s)" in lines
+    assert "PASS [error] duplicate_openalex_id: 0 violation(s)" in lines
+    assert sum(1 for ln in lines if ln.startswith("    sample:")) >= 5
     warn_only = [r for r in results if r.check.severity == "warning"]
     dq.gate([r for r in results if r.violation_count == 0])
     assert dq.failing(warn_only) == []

@@ -201,9 +201,8 @@ def main(argv: list[str] | None = None) -> int:
     i = res.ingest
     print(f"run {i.ingest_run_id}: upserted {i.upserted}, invalid {i.skipped_invalid}, "
           f"duplicates {i.duplicates_in_file}")
-    for r in res.data_quality:
-        status = "PASS" if r.violation_count == 0 else "FAIL"
-        print(f"{status} [{r.check.severity}] {r.check.name}: {r.violation_count}")
+    for line in dq.report_lines(res.data_quality):
+        print(line)
     return 0
 
 
