@@ -70,3 +70,29 @@ def test_report_scans_prune_columns(stored):
     text = plan(reports.top_topics(stored, FULL))
     schema = [line for line in text.splitlines() if "ReadSchema" in line][0]
     assert "primary_topic_name" in schema and "title" not in schema
+
+
+def _unpartitioned_windows(text: str) -> list[str]:
+    """Window nodes without a partition spec (one list after the expressions)."""
+    out = []
+    for m in re.finditer(r"\(\d+\) Window\n.*?\nArguments: (.*?)\n", text, re.S):
+        if m.group(1).rsplit(" AS ", 1)[-1].count("], [") == 1:
+            out.append(m.group(1))
+    return out
+
+
+def test_unpartitioned_windows_only_over_bounded_rows(spark, sf_small):
+    """Single-partition windows appear only over calendar days (trend) or the
+    per-year run rows (run numbering), never over paper rows."""
+    found = {}
+    for key, fn in QUERIES.items():
+        if key in ("export_round_trip", "incremental_ingest"):
+            continue
+        wins = _unpartitioned_windows(plan(fn(spark, sf_small)))
+        if wins:
+            found[key] = wins
+    assert set(found) == {"trend_7d", "run_log_append", "recent_runs"}
+    assert all("publication_date" in w for w in found["trend_7d"])
+    assert "Range" in plan(QUERIES["trend_7d"](spark, sf_small))  # the calendar
+    for key in ("run_log_append", "recent_runs"):
+        assert all(re.search(r"\[y#\d+ ASC", w) for w in found[key])  # one row per year
