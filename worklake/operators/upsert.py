@@ -17,8 +17,8 @@ updates concentrate on recently ingested keys, i.e. on a few recent days:
    with the batch keys — broadcast below a checked bound, else a shuffle
    join — giving each updated key's partition;
 3. only the (day, bucket) units holding updated keys are merged (old rows
-   with the batch's new versions of them), staged to cut the lineage, and
-   rewritten with dynamic partition overwrite;
+   with the batch's new versions of them) and rewritten with dynamic
+   partition overwrite (swapped in at job commit, after all reads);
 4. new keys are then appended to today's units.
 
 Rewrite volume follows the updated keys' units, not the table size. Re-running
@@ -169,8 +169,10 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
         old_part = (stored.filter(F.col(DAY).isin(sorted({d for d, _ in units}))
                                   & F.col(BUCKET).isin(sorted({b for _, b in units})))  # pruning
                     .filter(unit.isin(wanted)))
-        merged = stage(_with_partitions(merge(old_part, tagged.filter(is_update), loaded_at), n_buckets),
-                       "upsert-merged")  # lineage must not read the files being replaced
+        # Read-and-replace in one job is safe: dynamic partition overwrite writes
+        # to a staging folder and swaps the units in only at job commit, after
+        # every task (and any retry after a lost executor) has read the old files.
+        merged = _with_partitions(merge(old_part, tagged.filter(is_update), loaded_at), n_buckets)
         _write(merged, path, files_per_bucket, overwrite=True)
     # New keys go to today's units, appended after the rewrite.
     if sent > updated:
