@@ -155,3 +155,18 @@ def test_upsert_rewrites_only_units_with_updates(spark, tmp_path):
     assert changed and all(prefix in p for p in changed)
     t = _table(spark, path)
     assert t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1 and len(t) == 42
+
+
+def test_bucket_count_may_change_between_loads(spark, tmp_path):
+    path = str(tmp_path / "papers")
+    backfill = [work(B + f"W{i}") for i in range(1, 201)]
+    upsert.upsert_table(spark, path, _inc(spark, backfill), T1, n_buckets=32)
+    before = {r["openalex_id"]: (r["ingest_day"], r["bucket"]) for r in upsert.read_table(spark, path).collect()}
+    daily = [work(B + "W5", title="u5"), work(B + "W150", title="u150"), work(B + "W900")]
+    assert upsert.upsert_table(spark, path, _inc(spark, daily), T2, n_buckets=4) == 3
+    rows = upsert.read_table(spark, path).collect()
+    by = {r["openalex_id"]: r for r in rows}
+    assert len(rows) == len(by) == 201
+    for k in ("W5", "W150"):
+        assert (by[k]["ingest_day"], by[k]["bucket"]) == before[k] and by[k]["title"] == "u" + k[1:]
+    assert str(by["W900"]["ingest_day"]) == "2026-06-16" and 0 <= by["W900"]["bucket"] < 4

@@ -13,9 +13,10 @@ is, whatever happens to its dates. The source re-fetches recent windows, so
 updates concentrate on recently ingested keys, i.e. on a few recent days:
 
 1. the batch is staged once (Parquet in the checkpoint folder);
-2. the stored key column (only the batch's buckets, column-pruned) is probed
-   with the batch keys — broadcast below a checked bound, else a shuffle
-   join — giving each updated key's partition;
+2. the stored key column (column-pruned) is probed with the batch keys —
+   broadcast below a known bound, else a shuffle join — giving each updated
+   key's unit (looked up, not recomputed: each load may choose its own
+   bucket count, e.g. many more for a backfill day);
 3. only the (day, bucket) units holding updated keys are merged (old rows
    with the batch's new versions of them) and rewritten with dynamic
    partition overwrite (swapped in at job commit, after all reads);
@@ -125,8 +126,9 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
     """Upsert accepted, de-duplicated rows into the table at ``path``.
 
     Returns the number of rows sent (inserted + updated), like the source.
-    ``n_buckets`` is fixed for the life of a table; size it so one day's unit
-    is a comfortable rewrite (and file) size.
+    ``n_buckets`` applies to the units this load creates (new keys, today);
+    size it so one unit is a comfortable rewrite size — a backfill of years
+    of data in one load wants far more buckets than a daily increment.
     """
     from worklake.operators.joins import broadcast_if_known_small
     from worklake.session import stage
@@ -146,20 +148,19 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
         return obs.get["rows"]
 
     inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
-    per_bucket = {r[BUCKET]: r["count"] for r in inc_b.groupBy(BUCKET).count().collect()}  # ≤ N rows
-    sent = sum(per_bucket.values())
-    # Updated keys with their stored partition: the stored key column of the
-    # batch's buckets streams through a probe of the batch keys (broadcast when
-    # the batch is within the bound, else a shuffle join).
-    batch_keys = broadcast_if_known_small(inc_b.select(KEY, BUCKET), sent, max_broadcast_keys)
-    probe = stage(stored.filter(F.col(BUCKET).isin(sorted(per_bucket))).select(KEY, BUCKET, DAY)
-                  .join(batch_keys, [KEY, BUCKET], "left_semi"), "upsert-probe")
+    sent = inc_b.count()
+    # Updated keys with their stored unit: the stored key column streams through
+    # a probe of the batch keys (broadcast when the batch is within the bound,
+    # else a shuffle join). Units are looked up, never recomputed, so each load
+    # may use its own bucket count (e.g. many more for a backfill day).
+    batch_keys = broadcast_if_known_small(inc_b.select(KEY), sent, max_broadcast_keys)
+    probe = stage(stored.select(KEY, DAY, BUCKET).join(batch_keys, KEY, "left_semi"), "upsert-probe")
     per_unit = {(r[DAY], r[BUCKET]): r["count"] for r in probe.groupBy(DAY, BUCKET).count().collect()}
     units = sorted(per_unit)
     updated = sum(per_unit.values())
 
-    # Batch rows: updates (key already stored, carrying its stored day) vs. inserts.
-    # The probe holds at most one row per batch key, so ``sent`` bounds it.
+    # Batch rows: updates (key already stored) vs. inserts. The probe holds at
+    # most one row per batch key, so ``updated`` bounds it.
     tagged = inc_b.join(broadcast_if_known_small(probe.select(KEY, F.col(DAY).alias(_OLD_DAY)),
                                                  updated, max_broadcast_keys), KEY, "left")
     is_update = F.col(_OLD_DAY).isNotNull()
@@ -172,10 +173,25 @@ def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
         # Read-and-replace in one job is safe: dynamic partition overwrite writes
         # to a staging folder and swaps the units in only at job commit, after
         # every task (and any retry after a lost executor) has read the old files.
-        merged = _with_partitions(merge(old_part, tagged.filter(is_update), loaded_at), n_buckets)
-        _write(merged, path, files_per_bucket, overwrite=True)
+        _write(merge_in_place(old_part, tagged.filter(is_update)), path, files_per_bucket, overwrite=True)
     # New keys go to today's units, appended after the rewrite.
     if sent > updated:
         inserts = tagged.filter(~is_update)
         _write(_with_partitions(with_ingested_at(inserts, loaded_at), n_buckets), path, files_per_bucket)
     return sent
+
+
+def merge_in_place(old_part: DataFrame, updates: DataFrame) -> DataFrame:
+    """Stored rows of the rewritten units with the batch's versions of updated
+    keys (every update key is among them): old LEFT JOIN updates. Columns come
+    from the update when the key matched (NULLs overwrite); ``ingested_at``
+    and the unit (day, bucket) stay those of the stored row.
+    """
+    o = old_part.alias("o")
+    u = updates.select(*FLAT_COLUMNS).withColumn(_HIT, F.lit(True)).alias("u")
+    hit = F.col("u." + _HIT).isNotNull()
+    cols = [F.col("o." + KEY).alias(KEY)]
+    cols += [F.when(hit, F.col("u." + c)).otherwise(F.col("o." + c)).alias(c)
+             for c in FLAT_COLUMNS if c != KEY]
+    cols += [F.col("o.ingested_at"), F.col("o." + DAY), F.col("o." + BUCKET)]
+    return o.join(u, F.col("o." + KEY) == F.col("u." + KEY), "left").select(*cols)
