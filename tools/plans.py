@@ -51,7 +51,7 @@ def main() -> None:
     from worklake.operators.joins import broadcast_if_known_small
     batch = dedup.batch_dedup(flatten(D.second_snapshot(D.in_window(raw, D.BATCH2)))).select(upsert.KEY)
     probe = papers.select(upsert.KEY, upsert.DAY, upsert.BUCKET).join(
-        broadcast_if_known_small(batch, 10**9, 2_000_000), upsert.KEY, "left_semi")
+        broadcast_if_known_small(batch, batch.count(), 2_000_000), upsert.KEY, "left_semi")
     units = [(r[0], r[1]) for r in probe.select(upsert.DAY, upsert.BUCKET).distinct().collect()][:4]
     old_part = papers.filter(F.col(upsert.DAY).isin(sorted({d for d, _ in units}))
                              & F.col(upsert.BUCKET).isin(sorted({b for _, b in units})))

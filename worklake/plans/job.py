@@ -44,7 +44,8 @@ class JobConfig:
     run_data_quality: bool = True
     fail_on_dq_errors: bool = True
     fail_on_dq_warnings: bool = False
-    n_buckets: int = upsert.DEFAULT_BUCKETS
+    n_buckets: int = upsert.DEFAULT_BUCKETS      # buckets for the units this load creates
+    files_per_bucket: int = 1                    # files (tasks) per unit written
     as_of: dt.date | None = None
     dq_report: str | None = None
 
@@ -91,7 +92,8 @@ def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
     flat = stage(flatten(raw), "ingest-flat")
     c = dedup.counters_of_flat(flat).first()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    sent = upsert.upsert_table(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, cfg.n_buckets)
+    sent = upsert.upsert_table(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, cfg.n_buckets,
+                               files_per_bucket=cfg.files_per_bucket)
     count = spark.range(1).select(F.lit(c["papers"]).alias("paper_count"))
     run_id = runlog.append_run(spark, cfg.runs, header, count, created_at=loaded_at)
     return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"])
@@ -187,11 +189,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--skip-dq", action="store_true", help="only with --from-export")
     ap.add_argument("--fail-on-warnings", action="store_true")
     ap.add_argument("--dq-report")
+    ap.add_argument("--buckets", type=int, default=upsert.DEFAULT_BUCKETS,
+                    help="buckets for the units this load creates (more for a backfill)")
+    ap.add_argument("--files-per-bucket", type=int, default=1)
     a = ap.parse_args(argv)
     cfg = JobConfig(table=a.table, runs=a.runs, landing=a.landing, days_back=a.days_back,
                     subfield_search=a.subfield, export_dir=a.export_dir, save_export=a.save_export,
                     run_data_quality=not (a.skip_dq and a.export_path),
-                    fail_on_dq_warnings=a.fail_on_warnings, dq_report=a.dq_report)
+                    fail_on_dq_warnings=a.fail_on_warnings, dq_report=a.dq_report,
+                    n_buckets=a.buckets, files_per_bucket=a.files_per_bucket)
     spark = build_session()
     try:
         res = run_from_export(spark, a.export_path, cfg) if a.export_path else run_batch(spark, cfg)
