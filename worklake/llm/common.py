@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklake.session import ensure_checkpoint_dir, stage
 
-__all__ = ["ensure_checkpoint_dir", "read_table", "stage", "text_or_empty", "tree_sum", "folder"]
+__all__ = ["ensure_checkpoint_dir", "folder", "read_table", "release", "stage", "text_or_empty", "tree_sum"]
 
 #: Python source of the white space that separates words: space and 0x09-0x0D.
 #: ``bytes.split()`` splits at exactly these bytes.
@@ -22,6 +22,18 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of steps that are over.
+
+    They go when the driver collects its garbage, which a job of many steps
+    would otherwise reach only after all of them lie on disk.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     import uuid

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from worklake.llm import license_scan, packing, quality_rules, token_counts, warc
+from worklake.llm import (decontaminate, license_scan, line_dedup, ngram_join, packing, quality_model, quality_rules,
+                          token_counts, warc)
 from worklake.llm.common import ensure_checkpoint_dir, read_table
 
 
@@ -19,6 +20,18 @@ def byte_bpe() -> tuple:
     return (_tokenizer("byte_bpe_50k.json"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op1_ngram_join(spark, sf):
+    return ngram_join.link_components(read_table(spark, sf, "documents"), n=4, percent=85)
+
+
+def op2_quality_classifier(spark, sf):
+    return quality_model.classify(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
+def op4_decontamination(spark, sf):
+    return decontaminate.find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def op5_packing(spark, sf):
     return packing.pack(read_table(spark, sf, "documents"), byte_bpe())
 
@@ -39,6 +52,11 @@ def op9_warc(spark, sf):
     return warc.archive_round_trip(spark, read_table(spark, sf, "pages"))
 
 
+def op10_line_dedup(spark, sf):
+    return line_dedup.dedup_lines(read_table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op5_packing, op6_quality_rules, op7_license_scan, op8_token_counts, op9_warc)}
+    op1_ngram_join, op2_quality_classifier, op4_decontamination, op5_packing, op6_quality_rules,
+    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
