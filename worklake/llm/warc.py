@@ -17,12 +17,13 @@ the input are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklake.llm.common import folder, text_or_empty
+from worklake.llm.common import folder, stage, text_or_empty
 
 #: Archive files hold at most about this many bytes, so that one fits a task.
 FILE_BYTES = 128 << 20
@@ -87,14 +88,16 @@ def write_archive(spark: SparkSession, pages: DataFrame, path: str, min_payload:
     """Write the deduplicated archive; a record's closing blank lines are the line separator."""
     heads = headers(pages, id_col, url_col, payload_col)
     largest = heads.agg(F.max("payload_bytes")).first()[0] or 0
-    copies = revisits(heads, min_payload).select(
+    # Kept as a table, its size is known: Spark then moves payloads only if it is large.
+    copies = stage(revisits(heads, min_payload), "revisits").select(
         F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), "refers_to")
     rows = heads.join(copies, F.col("page_id").eqNullSafe(F.col("r_id"))
                       & (F.col("payload_digest") == F.col("r_digest")), "left")
     rows = rows.withColumn("is_revisit", F.col("refers_to").isNotNull())
     per_file = max(1, min(MAX_RECORDS, FILE_BYTES // (largest + 1024)))
     (rows.select(record_text(min_payload).alias("value")).write
-     .option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", per_file).text(path))
+     .option("lineSep", CRLF + CRLF).option("compression", "gzip")
+     .option("maxRecordsPerFile", per_file).text(path))
     return path
 
 
@@ -129,7 +132,7 @@ def _parse_files(batches, with_payload: bool):
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for head, block in parse_records(content.as_buffer()):
+            for head, block in parse_records(gzip.decompress(content.as_buffer())):
                 digest = head["warc-payload-digest"].removeprefix("sha256:")
                 http, _, payload = block.partition(b"\r\n\r\n")
                 kind = head["warc-type"]
