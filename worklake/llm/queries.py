@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from worklake.llm import (decontaminate, license_scan, line_dedup, ngram_join, packing, quality_model, quality_rules,
-                          token_counts, warc)
+from worklake.llm import (decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
+                          quality_model, quality_rules, token_counts, warc)
 from worklake.llm.common import ensure_checkpoint_dir, read_table
 
 
@@ -28,6 +28,10 @@ def op2_quality_classifier(spark, sf):
     return quality_model.classify(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+def op3_html_extraction(spark, sf):
+    return html_extract.extract_text(read_table(spark, sf, "pages"))
+
+
 def op4_decontamination(spark, sf):
     return decontaminate.find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
@@ -57,6 +61,6 @@ def op10_line_dedup(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op2_quality_classifier, op4_decontamination, op5_packing, op6_quality_rules,
+    op1_ngram_join, op2_quality_classifier, op3_html_extraction, op4_decontamination, op5_packing, op6_quality_rules,
     op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
