@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklake.session import ensure_checkpoint_dir, stage
 
-__all__ = ["ensure_checkpoint_dir", "folder", "read_table", "release", "stage", "text_or_empty", "tree_sum"]
+__all__ = ["ensure_checkpoint_dir", "folder", "fresh", "read_table", "release", "stage", "text_or_empty", "tree_sum"]
 
 #: Python source of the white space that separates words: space and 0x09-0x0D.
 #: ``bytes.split()`` splits at exactly these bytes.
@@ -34,6 +34,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     import uuid

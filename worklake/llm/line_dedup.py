@@ -22,13 +22,12 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import release, stage, text_or_empty
+from worklake.llm.common import fresh, release, stage, text_or_empty
 
 #: Words of an aligned block at least, for it to be deleted.
 MIN_WORDS = 8
 
 _SPACES = " \t\x0b\x0c\r"
-KEY = "struct<doc_id:bigint,v:bigint>"
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -158,15 +157,17 @@ def without_lines(text: str, numbers: set[int]) -> str:
 
 
 def without_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
-    """All columns and rows of ``docs``; ``_numbers`` and ``_sources`` tell what was deleted."""
+                         text_col: str = "text") -> tuple[DataFrame, str, str]:
+    """All columns and rows of ``docs``, and two more: the numbers of the deleted lines and the ids
+    they were copied from. Returns the frame and the two columns' names."""
     gone = stage(copied_lines(docs, min_words, id_col, text_col), "copied")
     release(docs.sparkSession)
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("v").alias("_v"), F.col("numbers").alias("_numbers"),
-                       F.col("sources").alias("_sources"))
-    keyed = docs.join(gone, (F.col(id_col).cast("long") == F.col("_id"))
-                      & (F.xxhash64(text_or_empty(text_col)) == F.col("_v")), "left").drop("_id", "_v")
-    at, numbers_at = keyed.columns.index(text_col), keyed.columns.index("_numbers")
+    key, v, numbers, sources = (fresh(c, docs) for c in ("copy_id", "copy_v", "copy_numbers", "copy_sources"))
+    gone = gone.select(F.col("doc_id").alias(key), F.col("v").alias(v), F.col("numbers").alias(numbers),
+                       F.col("sources").alias(sources))
+    keyed = docs.join(gone, (F.col(id_col).cast("long") == F.col(key))
+                      & (F.xxhash64(text_or_empty(text_col)) == F.col(v)), "left").drop(key, v)
+    at, numbers_at = keyed.columns.index(text_col), keyed.columns.index(numbers)
 
     def run(batches):
         import pyarrow as pa
@@ -176,20 +177,20 @@ def without_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: st
                      for t, n in zip(batch.column(at), batch.column(numbers_at), strict=True)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return keyed.mapInArrow(run, keyed.schema)
+    return keyed.mapInArrow(run, keyed.schema), numbers, sources
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text without copied lines, removed_lines and the ids the lines were copied from."""
-    out = without_copied_lines(docs.select("doc_id", "text"), min_words)
+    out, numbers, sources = without_copied_lines(docs.select("doc_id", "text"), min_words)
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"),
-                      F.coalesce(F.size("_numbers"), F.lit(0)).cast("int").alias("removed_lines"),
-                      F.coalesce("_sources", F.array().cast("array<bigint>")).alias("sources"))
+                      F.when(F.col(numbers).isNull(), 0).otherwise(F.size(numbers)).cast("int").alias("removed_lines"),
+                      F.coalesce(sources, F.array().cast("array<bigint>")).alias("sources"))
 
 
 def keep_own_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Columns of ``docs``: texts without copied lines; documents of copied lines alone go."""
-    out = without_copied_lines(docs, min_words, id_col, text_col)
+    out, numbers, _ = without_copied_lines(docs, min_words, id_col, text_col)
     empty = F.regexp_replace(text_or_empty(text_col), "\\s+", "") == ""
-    return out.where(F.col("_numbers").isNull() | ~empty).select(*docs.columns)
+    return out.where(F.col(numbers).isNull() | ~empty).select(*docs.columns)

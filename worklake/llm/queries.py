@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from worklake.llm import (decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
                           quality_model, quality_rules, token_counts, warc)
-from worklake.llm.common import ensure_checkpoint_dir, read_table
+from worklake.llm.common import read_table
 
 
 def _tokenizer(name: str) -> str:
