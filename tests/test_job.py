@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from worklake.operators import dq, upsert
 from worklake.plans import derived as D
 from worklake.plans import job
+from worklake.sources import commits
 from worklake.sources import works as W
 
 
@@ -22,8 +23,7 @@ def landing(spark, sf_small, tmp_path_factory):
 
 
 def _cfg(root, name, **kw):
-    base = dict(table=str(root / name / "papers"), runs=str(root / name / "runs"),
-                subfield_search="building", as_of=dt.date(2001, 8, 1), days_back=3000)
+    base = dict(table=str(root / name / "papers"), subfield_search="building", as_of=dt.date(2001, 8, 1), days_back=3000)
     base.update(kw)
     return job.JobConfig(**base)
 
@@ -38,7 +38,7 @@ def test_run_batch_gates_on_errors(spark, landing):
     stored = upsert.read_table(spark, cfg.table)
     assert stored.count() > 0
     assert stored.filter(F.col("subfield_name") != "BUILDING").count() == 0
-    runs = spark.read.parquet(cfg.runs).collect()
+    runs = commits.read_runs(spark, cfg.table).collect()
     assert len(runs) == 1 and runs[0]["subfield_id"].endswith("BUILDING")
 
 
@@ -69,6 +69,5 @@ def test_run_from_export_idempotent(spark, landing):
 
 def test_main_cli(spark, landing, capsys):
     root, folder = landing
-    rc = job.main(["--table", str(root / "d" / "papers"), "--runs", str(root / "d" / "runs"),
-                   "--from-export", folder, "--skip-dq"])
+    rc = job.main(["--table", str(root / "d" / "papers"), "--from-export", folder, "--skip-dq"])
     assert rc == 0 and "upserted 1484" in capsys.readouterr().out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rawworks import B, frame, work
 from worklake.operators import dedup, runlog, upsert
 from worklake.operators.flatten import flatten
+from worklake.sources import commits
 from worklake.sources import works as W
 
 T1 = dt.datetime(2026, 6, 15)
@@ -26,15 +27,15 @@ def _table(spark, path):
 def test_upsert_pairs(spark, tmp_path):
     path = str(tmp_path / "papers")
     first = [work(B + "W1", doi="d1", updated_date="2026-06-10"), work(B + "W2"), work(B + "W3")]
-    assert upsert.upsert_table(spark, path, _inc(spark, first), T1, n_buckets=4) == 3
+    assert upsert.upsert_table(spark, path, _inc(spark, first), T1) == 3
     # Same batch again → same facts
-    upsert.upsert_table(spark, path, _inc(spark, first), T2, n_buckets=4)
+    upsert.upsert_table(spark, path, _inc(spark, first), T2)
     t = _table(spark, path)
     assert len(t) == 3 and all(r["ingested_at"] == T1 for r in t.values())
     # U2 + U3 + U4: NULL doi overwrites, older record still wins, date change keeps one row
     second = [work(B + "W1", doi=None, date="2025-01-01", year=2025, updated_date="2020-01-01"),
               work(B + "W9")]
-    assert upsert.upsert_table(spark, path, _inc(spark, second), T2, n_buckets=4) == 2
+    assert upsert.upsert_table(spark, path, _inc(spark, second), T2) == 2
     t = _table(spark, path)
     assert len(t) == 4
     w1 = t["W1"]
@@ -43,26 +44,17 @@ def test_upsert_pairs(spark, tmp_path):
     assert upsert.read_table(spark, path).filter("openalex_id = 'W1'").count() == 1
 
 
-def test_merge_is_idempotent(spark, sf_small):
-    from worklake.plans import derived as D
-
-    b1 = D.batch(spark, sf_small, 1)
-    once = upsert.with_ingested_at(b1, D.LOAD_TS)
-    twice = upsert.merge(once, D.batch(spark, sf_small, 1), D.LOAD2_TS)
-    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
-
-
 def test_run_log_append(spark, tmp_path):
-    path = str(tmp_path / "runs")
-    count = spark.range(7).agg(F.count(F.lit(1)).alias("paper_count"))
+    path = str(tmp_path / "table")
     header = {"fetched_at": T1, "from_date": dt.date(2026, 6, 12), "to_date": dt.date(2026, 6, 15),
               "subfield_id": "S1"}
-    assert runlog.append_run(spark, path, header, count, created_at=T1) == 1
-    assert runlog.append_run(spark, path, header, count, created_at=T2) == 2
+    assert runlog.append_run(spark, path, header, 7, created_at=T1) == 1
+    assert runlog.append_run(spark, path, header, 2**33, created_at=T2) == 2
     with pytest.raises(runlog.RunHeaderError):
-        runlog.append_run(spark, path, dict(header, subfield_id=None), count)
-    rows = spark.read.parquet(path).orderBy("id").collect()
-    assert [r["paper_count"] for r in rows] == [7, 7]
+        runlog.append_run(spark, path, dict(header, subfield_id=None), 7)
+    rows = sorted(commits.read_runs(spark, path).collect())
+    assert [(r["id"], r["paper_count"], r["created_at"], r["from_date"]) for r in rows] == [
+        (1, 7, T1, dt.date(2026, 6, 12)), (2, 2**33, T2, dt.date(2026, 6, 12))]
 
 
 def test_envelope_read_keeps_positions(spark, tmp_path):
@@ -107,21 +99,21 @@ def test_subfield_lookup_errors(spark):
     dim = spark.createDataFrame([("s1", "Artificial Intelligence"), ("s2", "Artificial Life")],
                                 "id string, display_name string")
     assert W.resolve_subfield(dim, "artificial intelligence")["id"] == "s1"
-    with pytest.raises(W.SubfieldLookupError, match="No subfields"):
+    with pytest.raises(W.SubfieldLookupError, match="names that contain it: none"):
         W.resolve_subfield(dim, "chemistry")
-    with pytest.raises(W.SubfieldLookupError, match="Top result was 'Artificial Intelligence'"):
+    with pytest.raises(W.SubfieldLookupError, match="'Artificial Intelligence', 'Artificial Life'"):
         W.resolve_subfield(dim, "artificial")
 
 
 def test_ensure_tables_idempotent(spark, tmp_path):
     from worklake.sources.tables import ensure_tables
 
-    p, r = str(tmp_path / "papers"), str(tmp_path / "runs")
-    assert ensure_tables(spark, p, r) == ["papers", "runs"]
-    assert ensure_tables(spark, p, r) == []
-    assert upsert.read_table(spark, p).count() == 0
-    assert upsert.upsert_table(spark, p, _inc(spark, [work(B + "W1")]), T1, n_buckets=4) == 1
-    assert ensure_tables(spark, p, r) == []
+    p = str(tmp_path / "papers")
+    assert ensure_tables(spark, p) == ["papers", "runs"]
+    assert ensure_tables(spark, p) == []
+    assert upsert.read_table(spark, p).count() == 0 and commits.read_runs(spark, p).count() == 0
+    assert upsert.upsert_table(spark, p, _inc(spark, [work(B + "W1")]), T1) == 1
+    assert ensure_tables(spark, p) == []
 
 
 def _files(root):
@@ -136,37 +128,109 @@ def _files(root):
     return out
 
 
-def test_upsert_rewrites_only_units_with_updates(spark, tmp_path):
+def test_a_load_rewrites_nothing(spark, tmp_path):
     path = str(tmp_path / "papers")
-    first = [work(B + f"W{i}") for i in range(1, 41)]
-    upsert.upsert_table(spark, path, _inc(spark, first), T1, n_buckets=8)
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}") for i in range(1, 201)]), T1)
     before = _files(path)
-    # new keys only: nothing is rewritten, files are added under the new day
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W100"), work(B + "W101")]), T2, n_buckets=8)
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}", title="new") for i in range(1, 61)]), T2)
     after = _files(path)
-    assert all(after.get(p) == m for p, m in before.items())
-    assert all("ingest_day=2026-06-16" in p for p in set(after) - set(before))
-    # one updated key: exactly one (day, bucket) unit is replaced
-    unit = upsert.read_table(spark, path).filter("openalex_id = 'W7'").select("ingest_day", "bucket").first()
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W7", title="new")]), T2, n_buckets=8)
-    final = _files(path)
-    changed = {p for p in set(before) | set(final) if before.get(p) != final.get(p)} - (set(after) - set(before))
-    prefix = f"ingest_day={unit['ingest_day']}/bucket={unit['bucket']}/"
-    assert changed and all(prefix in p for p in changed)
+    assert all(after.get(p) == m for p, m in before.items()) and len(after) > len(before)
     t = _table(spark, path)
-    assert t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1 and len(t) == 42
+    assert len(t) == 200 and t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1
+
 
+def test_compaction_and_vacuum_keep_the_rows(spark, tmp_path):
+    path = str(tmp_path / "papers")
+    for k in range(5):
+        rows = [work(B + f"W{i}", title=f"t{k}") for i in range(k, 10)]
+        upsert.upsert_table(spark, path, _inc(spark, rows), T1 + dt.timedelta(days=k), compact_after=3)
+    expected = {f"W{i}": (f"t{min(i, 4)}", T1) for i in range(10)}
+    rows = lambda: {k: (r["title"], r["ingested_at"]) for k, r in _table(spark, path).items()}
+    assert rows() == expected and len(commits.live_loads(spark, path)) <= 3
+    upsert.compact(spark, path)
+    assert rows() == expected and len(commits.live_loads(spark, path)) == 1
+    gone = upsert.vacuum(spark, path, older_than_hours=0)
+    assert gone and rows() == expected and upsert.vacuum(spark, path, older_than_hours=0) == []
+
+
+def test_a_load_published_during_compaction_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "papers")
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1", title="a"), work(B + "W2")]), T1)
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1", title="b")]), T2)
+    write, other = upsert._write, _inc(spark, [work(B + "W1", title="c"), work(B + "W3")])
+
+    def slow(df, folder):
+        monkeypatch.setattr(upsert, "_write", write)
+        rows = write(df, folder)
+        upsert.upsert_table(spark, path, other, T2)
+        return rows
+
+    monkeypatch.setattr(upsert, "_write", slow)
+    upsert.compact(spark, path)
+    t = _table(spark, path)
+    assert t["W1"]["title"] == "c" and sorted(t) == ["W1", "W2", "W3"] and t["W1"]["ingested_at"] == T1
 
-def test_bucket_count_may_change_between_loads(spark, tmp_path):
+
+def test_a_broken_load_shows_the_old_state(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "papers")
+    run = {"fetched_at": T1, "from_date": T1.date(), "to_date": T1.date(), "subfield_id": "s", "paper_count": 1, "created_at": T1}
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1")]), T1, run)
+    inc = _inc(spark, [work(B + "W1", title="x"), work(B + "W2")])
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    for name in ("_write", "commits.publish"):
+        with monkeypatch.context() as m:
+            m.setattr(f"worklake.operators.upsert.{name}", lost)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                upsert.upsert_table(spark, path, inc, T2, run)
+        t = _table(spark, path)
+        assert sorted(t) == ["W1"] and t["W1"]["title"] == "T" and commits.read_runs(spark, path).count() == 1
+    upsert.upsert_table(spark, path, inc, T2, run)
+    t = _table(spark, path)
+    assert sorted(t) == ["W1", "W2"] and t["W1"]["title"] == "x"
+    assert sorted(r["id"] for r in commits.read_runs(spark, path).collect()) == [1, 2]
+
+
+def test_stray_folders_and_errors(spark, tmp_path):
+    path = str(tmp_path / "papers")
+    inc = _inc(spark, [work(B + f"W{i}") for i in range(5)])
+    upsert.upsert_table(spark, path, inc, T1)
+    inc.write.parquet(f"{path}/loads/stray")
+    inc.write.parquet(f"{path}/elsewhere/x=1")
+    upsert.upsert_table(spark, path, inc, T2)
+    assert upsert.read_table(spark, path).count() == 5
+    (tmp_path / "papers" / "commits" / "0000000000.json").write_text("{broken")
+    with pytest.raises(Exception):  # noqa: B017 - an unreadable log is no empty table
+        upsert.upsert_table(spark, path, inc, T2)
+
+
+def test_commit_numbers_are_never_given_twice(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "papers")
-    backfill = [work(B + f"W{i}") for i in range(1, 201)]
-    upsert.upsert_table(spark, path, _inc(spark, backfill), T1, n_buckets=32)
-    before = {r["openalex_id"]: (r["ingest_day"], r["bucket"]) for r in upsert.read_table(spark, path).collect()}
-    daily = [work(B + "W5", title="u5"), work(B + "W150", title="u150"), work(B + "W900")]
-    assert upsert.upsert_table(spark, path, _inc(spark, daily), T2, n_buckets=4) == 3
-    rows = upsert.read_table(spark, path).collect()
-    by = {r["openalex_id"]: r for r in rows}
-    assert len(rows) == len(by) == 201
-    for k in ("W5", "W150"):
-        assert (by[k]["ingest_day"], by[k]["bucket"]) == before[k] and by[k]["title"] == "u" + k[1:]
-    assert str(by["W900"]["ingest_day"]) == "2026-06-16" and 0 <= by["W900"]["bucket"] < 4
+    commits.publish(spark, path, lambda seq: {"load": "a", "rows": 0, "run": None})
+    taken, numbers = [], commits._numbers
+
+    def late(spark, table):  # another writer is faster, twice
+        seq = numbers(spark, table)
+        if len(taken) < 2:
+            taken.append(seq)
+            (tmp_path / "papers" / "commits" / f"{seq:010d}.json").write_text('{"seq": %d}\n' % seq)
+        return seq
+
+    monkeypatch.setattr(commits, "_numbers", late)
+    assert commits.publish(spark, path, lambda seq: {"load": "b", "rows": 0, "run": None})["seq"] == 3
+    assert [load for _, load in commits.live_loads(spark, path)] == ["a", "b"]
+
+
+def test_writer_count_follows_the_data(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        path = str(tmp_path / "papers")
+        rows = spark.range(40_000).selectExpr(
+            *[("concat('W', id)" if c == "openalex_id" else "concat('t', sha2(CAST(id AS STRING), 256))" if c == "title"
+               else f"CAST(NULL AS {upsert.PAPERS_SCHEMA[c].dataType.simpleString()})") + f" AS {c}" for c in upsert.FLAT_COLUMNS])
+        upsert.upsert_table(spark, path, rows.repartition(1), T1)
+        assert len(_files(path)) >= 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -45,8 +45,7 @@ def stored(spark, sf_small, tmp_path_factory):
     from worklake.operators.flatten import flatten
 
     path = str(tmp_path_factory.mktemp("tbl") / "papers")
-    upsert.upsert_table(spark, path, batch_dedup(flatten(D.raw_works(spark, sf_small))), D.LOAD_TS,
-                        n_buckets=4)
+    upsert.upsert_table(spark, path, batch_dedup(flatten(D.raw_works(spark, sf_small))), D.LOAD_TS)
     return upsert.read_table(spark, path)
 
 

@@ -22,18 +22,18 @@ def test_incremental_ingest_restart_and_update(spark, tmp_path):
     landing, table, ckpt = tmp_path / "landing", str(tmp_path / "table"), str(tmp_path / "ckpt")
     _land(landing, "a.json", [work(B + "W1", doi="d1"), work(B + "W2"), work(B + "W1", title="late copy")])
     _land(landing, "b.json", [work(B + "W3"), work(None)])
-    incremental_ingest(spark, str(landing), table, ckpt, T1, max_files_per_trigger=1, n_buckets=4)
+    incremental_ingest(spark, str(landing), table, ckpt, T1, max_files_per_trigger=1)
     rows = {r["openalex_id"]: r for r in upsert.read_table(spark, table).collect()}
     assert sorted(rows) == ["W1", "W2", "W3"] and rows["W1"]["title"] == "T"  # first copy wins in a file
 
     # restart with nothing new: the checkpoint marks both files done
-    incremental_ingest(spark, str(landing), table, ckpt, T2, max_files_per_trigger=1, n_buckets=4)
+    incremental_ingest(spark, str(landing), table, ckpt, T2, max_files_per_trigger=1)
     again = {r["openalex_id"]: r for r in upsert.read_table(spark, table).collect()}
     assert again == rows
 
     # a later file updates W1 (NULL doi overwrites) and adds W4
     _land(landing, "c.json", [work(B + "W1", doi=None, title="v2"), work(B + "W4")])
-    incremental_ingest(spark, str(landing), table, ckpt, T2, max_files_per_trigger=1, n_buckets=4)
+    incremental_ingest(spark, str(landing), table, ckpt, T2, max_files_per_trigger=1)
     final = {r["openalex_id"]: r for r in upsert.read_table(spark, table).collect()}
     assert sorted(final) == ["W1", "W2", "W3", "W4"]
     assert final["W1"]["title"] == "v2" and final["W1"]["doi"] is None

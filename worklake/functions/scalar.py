@@ -41,15 +41,29 @@ def sql_null_to_zero(x: str) -> str:
     return f"coalesce({x}, 0)"
 
 
+def sql_int(x: str, kind: str = "INT") -> str:
+    """A whole number from text or a number; NULL if it is none or doesn't fit.
+
+    Exact for whole numbers; values written with a fraction are rounded.
+    """
+    return f"coalesce(try_cast({x} AS {kind}), try_cast(round(try_cast({x} AS DOUBLE)) AS {kind}))"
+
+
+def sql_bool(x: str) -> str:
+    """``true`` / ``false`` from text or a boolean; NULL for anything else."""
+    return f"CASE lower(CAST({x} AS STRING)) WHEN 'true' THEN true WHEN 'false' THEN false END"
+
+
 def sql_country_set(authorships: str) -> str:
     """Distinct, ascending country codes over all authorships; NULL when none.
 
     NULL authorship entries, NULL ``countries`` lists and NULL codes are
-    skipped (``flatten`` of arrays is NULL as soon as one element is NULL).
+    skipped. Field access on the array (no lambda) keeps the projection in
+    whole-stage codegen; ``array_except`` against a NULL element drops NULLs
+    before ``flatten`` (which is NULL as soon as one list is) and after it.
     """
-    codes = (f"sort_array(array_distinct(array_compact(flatten(transform(coalesce({authorships}, array()), "
-             f"a -> coalesce(a.countries, CAST(array() AS ARRAY<STRING>)))))))")
-    return sql_empty_to_null(codes)
+    lists = f"array_except({authorships}.countries, array(CAST(NULL AS ARRAY<STRING>)))"
+    return sql_empty_to_null(f"sort_array(array_except(flatten({lists}), array(CAST(NULL AS STRING))))")
 
 
 def sql_empty_to_null(arr: str) -> str:

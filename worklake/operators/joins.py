@@ -5,33 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is shipped whole to every executor; keep it to small,
-# narrow dimensions. The check reads at most ``max_rows + 1`` rows.
-DEFAULT_BROADCAST_ROWS = 100_000
+#: A hinted side is shipped whole to every executor: at most this many bytes of text form.
+BROADCAST_BYTES = 8 << 20
+_ROW_BYTES = 64
 
-# Outcome of earlier checks of the very same plan in this process (a plan over
-# the same files and columns has the same semantic hash).
-_checked: dict[tuple[int, int], bool] = {}
 
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows, at their text length plus a fixed cost each, stay within ``max_bytes``.
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    key = (df.semanticHash(), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
+    Looked up at each call (the folder may have grown since) and reads at most
+    as many rows as the bound can hold.
+    """
+    most = max_bytes // _ROW_BYTES
+    size = df.limit(most + 1).select((F.length(F.to_json(F.struct(*df.columns))) + _ROW_BYTES).alias("b")).agg(
+        F.sum("b").alias("b")).first()["b"]
+    return (size or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if ``df`` has at most ``max_rows`` rows, else leave it.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if ``df`` is small, else leave the join to the optimizer.
 
-    Above the bound the join falls back to a shuffle (sort-merge) join, which
+    Above the bound the join is a shuffle (sort-merge) join, which
     AQE may still convert at run time or split when a key is skewed.
     Callers project the side to the few columns the join needs first.
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def broadcast_if_known_small(df: DataFrame, known_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast when a row count already established for ``df`` (or an upper
-    bound of it) is within ``max_rows``; no extra job."""
-    return F.broadcast(df) if known_rows <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_bytes) else df

@@ -143,19 +143,28 @@ def topic_list(papers: DataFrame) -> DataFrame:
 
 
 def kpis(papers: DataFrame, state: FilterState) -> DataFrame:
-    """A8 in one aggregate: count, OA %, exact median citations, topics, mean authors.
+    """Count, OA %, exact median citations, topics, mean authors, in one row.
 
-    The exact median keeps a value→count map per task (citations have few
-    distinct values), so its memory follows distinct values, not rows.
+    The topics are a group-by of their own: a distinct count beside the median
+    would group all rows by topic with a median state each. The median is taken
+    over the histogram of citation counts (partially aggregated, one row per
+    distinct count).
     Empty selection → 0, 0.0, 0, 0, 0.0.
     """
-    return filtered(papers, state).agg(
-        F.count(F.lit(1)).alias("publications"),
-        F.coalesce(F.avg(F.col("is_oa").cast("int")) * 100, F.lit(0.0)).alias("oa_pct"),
-        F.coalesce(F.median("cited_by_count"), F.lit(0.0)).alias("median_citations"),
-        F.count_distinct("primary_topic_name").alias("topics"),
-        F.coalesce(F.avg("author_count"), F.lit(0.0)).alias("avg_authors"),
-    )
+    rows = filtered(papers, state)
+    known = F.count
+    histogram = rows.groupBy("cited_by_count").agg(
+        known(F.lit(1)).alias("n"), F.sum(F.col("is_oa").cast("int")).alias("oa"), known("is_oa").alias("n_oa"),
+        F.sum("author_count").alias("authors"), known("author_count").alias("n_authors"))
+    one = histogram.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("publications"),
+        F.coalesce(F.sum("oa") / F.sum("n_oa") * 100, F.lit(0.0)).alias("oa_pct"),
+        F.coalesce(F.expr("percentile(cited_by_count, 0.5D, n)"), F.lit(0.0)).alias("median_citations"),
+        F.coalesce(F.sum("authors") / F.sum("n_authors"), F.lit(0.0)).alias("avg_authors"))
+    topics = rows.select("primary_topic_name").distinct().agg(known("primary_topic_name").alias("topics"))
+    both = one.unionByName(topics, allowMissingColumns=True)  # two rows
+    return both.agg(*[F.max(c).alias(c) for c in (
+        "publications", "oa_pct", "median_citations", "topics", "avg_authors")])
 
 
 def calendar(spark, state: FilterState) -> DataFrame:
@@ -205,8 +214,9 @@ class ResultTooLarge(RuntimeError):
     """A result meant for the driver exceeded its bound."""
 
 
-def to_local(df: DataFrame, max_rows: int = 100_000):
-    """A bounded result as a pandas frame; refuses to pull more than ``max_rows``.
+def to_local(df: DataFrame, max_rows: int):
+    """A bounded result as a pandas frame; refuses to pull more than ``max_rows``,
+    the natural bound of the report (its n, its days), which the caller states.
 
     Reads at most ``max_rows + 1`` rows, so an unexpectedly large result
     fails fast instead of flooding the driver.

@@ -1,4 +1,4 @@
-"""Run log: one appended row per load (id = max + 1), the load's commit marker."""
+"""Run log: one row per load (id = max + 1), part of the load's commit record."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklake.schema import RUNS_SCHEMA
+from worklake.sources import commits
 
 HEADER_FIELDS = ("fetched_at", "from_date", "to_date", "subfield_id")
 
@@ -16,15 +16,15 @@ class RunHeaderError(ValueError):
     """The export header misses a field the run log requires (all NOT NULL)."""
 
 
-def header_from_envelope(envelope: DataFrame) -> dict:
-    """P5: pull the run fields from an envelope row; missing parents give None."""
-    row = envelope.select(
+def envelope_headers(envelopes: DataFrame) -> DataFrame:
+    """P5: the run fields of every envelope; missing parents give NULL."""
+    return envelopes.select(
+        "_src",
         F.try_to_timestamp("fetched_at").alias("fetched_at"),
         F.try_to_date(F.col("date_range.from"), "yyyy-MM-dd").alias("from_date"),
         F.try_to_date(F.col("date_range.to"), "yyyy-MM-dd").alias("to_date"),
         F.col("subfield.id").alias("subfield_id"),
-    ).first()
-    return row.asDict() if row else {k: None for k in HEADER_FIELDS}
+        F.col("subfield.display_name").alias("subfield_name"))
 
 
 def validate_header(header: dict) -> dict:
@@ -34,37 +34,17 @@ def validate_header(header: dict) -> dict:
     return header
 
 
-def next_run_row(runs: DataFrame | None, header: dict, paper_count: DataFrame,
-                 created_at: dt.datetime | None = None) -> DataFrame:
-    """One-row DataFrame for the next run.
-
-    ``paper_count`` is a one-row frame with column ``paper_count`` (the raw
-    batch size, computed on the executors); the next id comes from the small
-    run log. Both are single rows, so nothing unbounded reaches the driver.
-    """
+def run_fields(header: dict, paper_count: int, created_at: dt.datetime) -> dict:
+    """The run-log row of a load without its id, which the commit gives."""
     validate_header(header)
-    next_id = 1
-    if runs is not None:
-        top = runs.agg(F.max("id").alias("m")).first()
-        next_id = (top["m"] or 0) + 1
-    created = F.lit(created_at).cast("timestamp") if created_at else F.current_timestamp()
-    return paper_count.select(
-        F.lit(next_id).cast("int").alias("id"),
-        F.lit(header["fetched_at"]).cast("timestamp").alias("fetched_at"),
-        F.lit(header["from_date"]).cast("date").alias("from_date"),
-        F.lit(header["to_date"]).cast("date").alias("to_date"),
-        F.lit(header["subfield_id"]).cast("string").alias("subfield_id"),
-        F.col("paper_count").cast("int").alias("paper_count"),
-        created.alias("created_at"),
-    )
+    return {**{k: header[k] for k in HEADER_FIELDS}, "paper_count": paper_count, "created_at": created_at}
 
 
-def append_run(spark: SparkSession, path: str, header: dict, paper_count: DataFrame,
+def append_run(spark: SparkSession, table: str, header: dict, paper_count: int,
                created_at: dt.datetime | None = None) -> int:
-    """M4: append the run row to the log at ``path``; returns the new id."""
-    from worklake.operators.upsert import table_exists
-
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(path) if table_exists(spark, path, RUNS_SCHEMA) else None
-    first = next_run_row(runs, header, paper_count, created_at).first()  # one row
-    spark.createDataFrame([first], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    return first["id"]
+    """M4 alone: publish a run row without a load; returns its id."""
+    created_at = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    run = run_fields(header, paper_count, created_at)
+    record = commits.publish(spark, table, lambda seq: {
+        "load": None, "rows": 0, "run": {"id": commits.next_run_id(spark, table), **run}})
+    return record["run"]["id"]

@@ -1,68 +1,35 @@
-"""Keyed upsert on a partitioned Parquet table (no MERGE needed).
-
-``merge(old, inc)`` is the semantics as one DataFrame expression: a full
-outer equi-join on the key; a key present in the increment takes ALL of the
-increment's columns (NULLs overwrite, no recency guard); ``ingested_at`` is
-set on first insert only.
-
-``upsert_table`` applies it to a stored table laid out as
-``<path>/ingest_day=<first load day>/bucket=<pmod(xxhash64(key), N)>/``.
-Both partition values are fixed for the life of a key (``ingested_at`` never
-changes after the first insert), so an update always lands where the old row
-is, whatever happens to its dates. The source re-fetches recent windows, so
-updates concentrate on recently ingested keys, i.e. on a few recent days:
-
-1. the batch is staged once (Parquet in the checkpoint folder);
-2. the stored key column (column-pruned) is probed with the batch keys —
-   broadcast below a known bound, else a shuffle join — giving each updated
-   key's unit (looked up, not recomputed: each load may choose its own
-   bucket count, e.g. many more for a backfill day);
-3. only the (day, bucket) units holding updated keys are merged (old rows
-   with the batch's new versions of them) and rewritten with dynamic
-   partition overwrite (swapped in at job commit, after all reads);
-4. new keys are then appended to today's units.
-
-Rewrite volume follows the updated keys' units, not the table size. Re-running
-a batch converges to the same table (idempotent), which is also the recovery
-path after a failure between the rewrite and the append.
+"""Keyed upsert on Parquet as a sequence of published loads (no MERGE needed).
+
+A load writes its rows to a folder of its own and publishes them, with the
+load's run-log row, by one commit record (``sources.commits``). Stored rows
+are never rewritten by a load: its cost is the batch's, however large the
+table is. ``read_table`` resolves versions: a key present in several loads takes ALL
+columns of the latest (NULLs overwrite, no recency guard), while
+``ingested_at`` is that of the first. Rows of the base whose key no later load
+holds are passed through by an anti join with the later keys, which Spark
+broadcasts while they are small; only the others are grouped. ``compact``
+writes the resolved rows as a new base, published the same way, and a load
+calls it after ``COMPACT_AFTER`` loads; ``vacuum`` deletes folders that the
+log no longer needs.
+
+Loading a batch again leaves the same rows (idempotent), and a load that broke
+off before its commit leaves the table as it was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from worklake.schema import FLAT_COLUMNS, KEY, PAPERS_SCHEMA
+from worklake.sources import commits
 
-DAY = "ingest_day"
-BUCKET = "bucket"
-PARTITIONS = (DAY, BUCKET)
-DEFAULT_BUCKETS = 16
-_HIT = "_in_batch"
-_OLD_DAY = "_old_day"
-
-
-def bucket_of(key: Column, n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
-
-
-def _with_partitions(df: DataFrame, n_buckets: int) -> DataFrame:
-    return df.withColumns({DAY: F.to_date(F.col("ingested_at")), BUCKET: bucket_of(F.col(KEY), n_buckets)})
-
-
-def layout(df: DataFrame, files_per_bucket: int = 1) -> DataFrame:
-    """Shuffle rows so each task writes whole (day, bucket, sub-bucket) groups.
-
-    One file per unit and sub-bucket instead of one per task and unit;
-    ``files_per_bucket`` splits a large unit over several tasks and files
-    (at 100 TB size it so a file is a few hundred MB). AQE coalesces the
-    shuffle partitions when the data is small.
-    """
-    sub = F.pmod(F.xxhash64(F.col(KEY), F.lit(1)), F.lit(files_per_bucket))
-    return df.repartition(F.col(DAY), F.col(BUCKET), sub)
+#: Loads after the base from which on a load compacts the table.
+COMPACT_AFTER = 16
+_SEQ = "_load_seq"
 
 
 def _loaded_at(loaded_at) -> Column:
@@ -74,132 +41,96 @@ def _loaded_at(loaded_at) -> Column:
 
 
 def with_ingested_at(inc: DataFrame, loaded_at=None) -> DataFrame:
-    """First load of a batch into an empty table: every row is an insert."""
+    """The rows of a load as they are stored."""
     return inc.select(*FLAT_COLUMNS, _loaded_at(loaded_at).alias("ingested_at"))
 
 
-def merge(old: DataFrame, inc: DataFrame, loaded_at=None) -> DataFrame:
-    """Stored rows ``old`` (38 columns) upserted with accepted rows ``inc`` (37)."""
-    o = old.select(*FLAT_COLUMNS, "ingested_at").alias("o")
-    i = inc.select(*FLAT_COLUMNS).withColumn(_HIT, F.lit(True)).alias("i")
-    hit = F.col("i." + _HIT).isNotNull()
-    cols = [F.coalesce(F.col("i." + KEY), F.col("o." + KEY)).alias(KEY)]
-    cols += [F.when(hit, F.col("i." + c)).otherwise(F.col("o." + c)).alias(c)
-             for c in FLAT_COLUMNS if c != KEY]
-    cols.append(F.coalesce(F.col("o.ingested_at"), _loaded_at(loaded_at)).alias("ingested_at"))
-    return o.join(i, F.col("o." + KEY) == F.col("i." + KEY), "full_outer").select(*cols)
-
-
-def stored_schema() -> T.StructType:
-    return T.StructType(PAPERS_SCHEMA.fields + [T.StructField(DAY, T.DateType()),
-                                                T.StructField(BUCKET, T.IntegerType())])
+def _write(df: DataFrame, path: str) -> int:
+    """Write rows in evenly sized files, as many as the data needs; returns their number."""
+    counted = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+    # The hint lets AQE both merge small and split large partitions on write.
+    df.hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return counted.get["rows"]
 
 
-def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
-    """True when ``path`` holds a readable Parquet table (possibly empty).
+def resolve(base: DataFrame, later: DataFrame) -> DataFrame:
+    """The newest version of every key with its first ``ingested_at``.
 
-    With ``schema`` an existing folder without data files (a freshly created
-    empty table) also counts.
+    ``later`` has a column ``_load_seq``, of which each load holds a key at most once.
     """
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        reader.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path / no files yet
-        return False
+    columns = [f.name for f in PAPERS_SCHEMA.fields]
+    keys = later.select(KEY).distinct()
+    versions = base.join(keys, KEY, "left_semi").select(*columns, F.lit(-1).cast("long").alias(_SEQ)).unionByName(later)
+    values = [c for c in columns if c not in (KEY, "ingested_at")]
+    newest = versions.groupBy(KEY).agg(
+        F.max_by(F.struct(*values), _SEQ).alias("v"), F.min_by("ingested_at", _SEQ).alias("ingested_at"))
+    return (base.join(keys, KEY, "left_anti").select(*columns)
+            .unionByName(newest.select(KEY, *[F.col(f"v.{c}").alias(c) for c in values], "ingested_at").select(*columns)))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored papers (38 columns plus the two partition columns)."""
-    return spark.read.schema(stored_schema()).parquet(path)
-
+    """The stored papers (38 columns) as of the commits published so far."""
+    loads = commits.live_loads(spark, path)
+    frames = [spark.read.schema(PAPERS_SCHEMA).parquet(commits.load_folder(path, load)) for _, load in loads]
+    if not frames:
+        return spark.createDataFrame([], PAPERS_SCHEMA)
+    if len(frames) == 1:
+        return frames[0]
+    later = None
+    for (seq, _), frame in zip(loads[1:], frames[1:], strict=True):
+        frame = frame.withColumn(_SEQ, F.lit(seq).cast("long"))
+        later = frame if later is None else later.unionByName(frame)
+    return resolve(frames[0], later)
+
+
+def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
+                 compact_after: int = COMPACT_AFTER) -> int:
+    """Upsert accepted, de-duplicated rows into the table at ``path``.
 
-def try_read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None when ``path`` does not exist (one file listing)."""
-    try:
-        return read_table(spark, path)
-    except Exception:  # noqa: BLE001 - path not found
-        return None
+    Returns the number of rows sent (inserted and updated). ``run`` is the
+    load's run-log row without its id, which is given at the commit.
+    """
+    return load(spark, path, inc, loaded_at, run, compact_after)[0]
 
 
-def _write(df: DataFrame, path: str, files_per_bucket: int, overwrite: bool = False) -> None:
-    w = layout(df, files_per_bucket).write
-    w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if overwrite else w.mode("append")
-    w.partitionBy(*PARTITIONS).parquet(path)
+def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
+         compact_after: int = COMPACT_AFTER) -> tuple[int, int | None]:
+    """``upsert_table``, returning the run's id, too."""
+    if loaded_at is None:
+        loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    name = uuid.uuid4().hex
+    sent = _write(with_ingested_at(inc, loaded_at), commits.load_folder(path, name))
+    record = commits.publish(spark, path, lambda seq: {
+        "load": name, "rows": sent,
+        "run": None if run is None else {"id": commits.next_run_id(spark, path), **run}})
+    if len(commits.live_loads(spark, path)) > compact_after:
+        compact(spark, path)
+    return sent, record["run"]["id"] if run is not None else None
 
 
-def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None,
-                 n_buckets: int = DEFAULT_BUCKETS, max_broadcast_keys: int = 2_000_000,
-                 files_per_bucket: int = 1) -> int:
-    """Upsert accepted, de-duplicated rows into the table at ``path``.
+def compact(spark: SparkSession, path: str) -> None:
+    """Write the resolved rows of the loads so far as the new base.
 
-    Returns the number of rows sent (inserted + updated), like the source.
-    ``n_buckets`` applies to the units this load creates (new keys, today);
-    size it so one unit is a comfortable rewrite size — a backfill of years
-    of data in one load wants far more buckets than a daily increment.
+    Loads published meanwhile stay in force: the base covers those it has read.
     """
-    from worklake.operators.joins import broadcast_if_known_small
-    from worklake.session import stage
+    loads = commits.live_loads(spark, path)
+    if len(loads) < 2:
+        return
+    name = uuid.uuid4().hex
+    rows = _write(read_table(spark, path), commits.load_folder(path, name))
+    commits.publish(spark, path, lambda seq: {"load": name, "rows": rows, "covers": loads[-1][0], "run": None})
 
-    if loaded_at is None:
-        loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    inc_b = inc.select(*FLAT_COLUMNS).withColumn(BUCKET, bucket_of(F.col(KEY), n_buckets))
-    stored = try_read_table(spark, path)
-    if stored is None or stored.isEmpty():
-        # Empty table: every row is an insert, written in one pass; the row
-        # count is observed during the write (no second job).
-        from pyspark.sql import Observation
-
-        obs = Observation("upsert_first_load")
-        first = _with_partitions(with_ingested_at(inc_b, loaded_at), n_buckets)
-        _write(first.observe(obs, F.count(F.lit(1)).alias("rows")), path, files_per_bucket)
-        return obs.get["rows"]
-
-    inc_b = stage(inc_b, "upsert-batch")  # computed once, read by the steps below
-    sent = inc_b.count()
-    # Updated keys with their stored unit: the stored key column streams through
-    # a probe of the batch keys (broadcast when the batch is within the bound,
-    # else a shuffle join). Units are looked up, never recomputed, so each load
-    # may use its own bucket count (e.g. many more for a backfill day).
-    batch_keys = broadcast_if_known_small(inc_b.select(KEY), sent, max_broadcast_keys)
-    probe = stage(stored.select(KEY, DAY, BUCKET).join(batch_keys, KEY, "left_semi"), "upsert-probe")
-    per_unit = {(r[DAY], r[BUCKET]): r["count"] for r in probe.groupBy(DAY, BUCKET).count().collect()}
-    units = sorted(per_unit)
-    updated = sum(per_unit.values())
-
-    # Batch rows: updates (key already stored) vs. inserts. The probe holds at
-    # most one row per batch key, so ``updated`` bounds it.
-    tagged = inc_b.join(broadcast_if_known_small(probe.select(KEY, F.col(DAY).alias(_OLD_DAY)),
-                                                 updated, max_broadcast_keys), KEY, "left")
-    is_update = F.col(_OLD_DAY).isNotNull()
-    if units:
-        unit = F.struct(F.col(DAY).alias(DAY), F.col(BUCKET).alias(BUCKET))
-        wanted = [F.struct(F.lit(d).alias(DAY), F.lit(b).alias(BUCKET)) for d, b in units]
-        old_part = (stored.filter(F.col(DAY).isin(sorted({d for d, _ in units}))
-                                  & F.col(BUCKET).isin(sorted({b for _, b in units})))  # pruning
-                    .filter(unit.isin(wanted)))
-        # Read-and-replace in one job is safe: dynamic partition overwrite writes
-        # to a staging folder and swaps the units in only at job commit, after
-        # every task (and any retry after a lost executor) has read the old files.
-        _write(merge_in_place(old_part, tagged.filter(is_update)), path, files_per_bucket, overwrite=True)
-    # New keys go to today's units, appended after the rewrite.
-    if sent > updated:
-        inserts = tagged.filter(~is_update)
-        _write(_with_partitions(with_ingested_at(inserts, loaded_at), n_buckets), path, files_per_bucket)
-    return sent
-
-
-def merge_in_place(old_part: DataFrame, updates: DataFrame) -> DataFrame:
-    """Stored rows of the rewritten units with the batch's versions of updated
-    keys (every update key is among them): old LEFT JOIN updates. Columns come
-    from the update when the key matched (NULLs overwrite); ``ingested_at``
-    and the unit (day, bucket) stay those of the stored row.
+
+def vacuum(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
+    """Delete load folders that no reader needs: covered by the base, or never committed.
+
+    Folders younger than ``older_than_hours`` stay, for loads and readers that are under way.
     """
-    o = old_part.alias("o")
-    u = updates.select(*FLAT_COLUMNS).withColumn(_HIT, F.lit(True)).alias("u")
-    hit = F.col("u." + _HIT).isNotNull()
-    cols = [F.col("o." + KEY).alias(KEY)]
-    cols += [F.when(hit, F.col("u." + c)).otherwise(F.col("o." + c)).alias(c)
-             for c in FLAT_COLUMNS if c != KEY]
-    cols += [F.col("o.ingested_at"), F.col("o." + DAY), F.col("o." + BUCKET)]
-    return o.join(u, F.col("o." + KEY) == F.col("u." + KEY), "left").select(*cols)
+    live = {load for _, load in commits.live_loads(spark, path)}
+    folder = commits.load_folder(path, "")
+    if not commits.exists(spark, folder):
+        return []
+    gone = [n for n, age in commits.children(spark, folder) if n not in live and age >= 3600 * older_than_hours]
+    for name in gone:
+        commits.delete(spark, commits.load_folder(path, name))
+    return gone

@@ -33,6 +33,9 @@ BATCH1 = (dt.date(1995, 1, 1), dt.date(1998, 12, 31))
 BATCH2 = (dt.date(1998, 1, 1), dt.date(2001, 12, 31))
 LOAD2_TS = dt.datetime(2026, 6, 16, 0, 0, 0)
 
+# Window of the job keys.
+JOB_FROM, JOB_TO = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
+
 
 def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return works_from_testdata(spark, sf_dir)
@@ -75,7 +78,7 @@ def runs_of(raw: DataFrame) -> DataFrame:
         F.make_date(F.col("y"), F.lit(1), F.lit(1)).alias("from_date"),
         F.make_date(F.col("y"), F.lit(12), F.lit(31)).alias("to_date"),
         F.lit(SUBFIELD_BASE + EXPECTED_SUBFIELD).alias("subfield_id"),
-        F.col("paper_count").cast("int").alias("paper_count"),
+        F.col("paper_count").cast("long").alias("paper_count"),
         fetched.alias("created_at"),
     )
 
@@ -97,3 +100,23 @@ def batch(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
     if which == 1:
         return batch_dedup(flatten(in_window(raw, BATCH1)))
     return batch_dedup(flatten(second_snapshot(in_window(raw, BATCH2))))
+
+
+def spoilt_lines(raw: DataFrame) -> DataFrame:
+    """The works as JSON lines (``value``, ``_pos``), some of them spoilt by the order key k = ``_pos``.
+
+    Fixed values: no JSON if k%131=0; else a date that isn't if k%137=0; cited_by_count a word if
+    k%139=0, beyond its column if k%149=0, 3.0 if k%151=0; is_retracted 'maybe' if k%157=0, the
+    text "FALSE" if k%163=0.
+    """
+    from worklake.schema import ORDER_COLUMNS, WORK_SCHEMA
+    from worklake.sources.works import json_line
+
+    k, line = F.col("_pos"), json_line([*ORDER_COLUMNS, *WORK_SCHEMA.fieldNames()])
+    cited = lambda v: F.regexp_replace(line, '"cited_by_count":(null|-?[0-9]+)', f'"cited_by_count":{v}')
+    flag = lambda v: F.regexp_replace(line, '"is_retracted":(true|false)', f'"is_retracted":"{v}"')
+    date = F.regexp_replace(line, '"publication_date":"[^"]*"', '"publication_date":"1998-02-30"')
+    spoilt = (F.when(k % 131 == 0, F.lit('"no work"')).when(k % 137 == 0, date).when(k % 139 == 0, cited('"many"'))
+              .when(k % 149 == 0, cited("3000000000")).when(k % 151 == 0, cited("3.0"))
+              .when(k % 157 == 0, flag("maybe")).when(k % 163 == 0, flag("FALSE")).otherwise(line))
+    return raw.select("_pos", spoilt.alias("value"))

@@ -1,13 +1,14 @@
 """Job entry points: batch run, load from export, ingest, recent selection.
 
-    spark-submit -m worklake.plans.job --landing <dir> --table <dir> --runs <dir> [...]
+    spark-submit -m worklake.plans.job --landing <dir> --table <dir> [...]
 
 Paths are folders (HDFS / object store on a cluster). A run:
 
   ensure tables → scan landing (S1) → resolve subfield (S2) → source filter
   (F6) → fetch-time dedup (M1) → classification check (Q15) → optional
-  export (S4) → flatten / reject / first-wins (P1 F7 M2) → upsert (M3) →
-  run-log row as commit marker (M4/M5) → DQ (Q12) → gate (Q13/Q14).
+  export (S4) → flatten / reject / first-wins (P1 F7 M2) → upsert (M3),
+  published with its run-log row by one commit record (M4/M5) → DQ (Q12) →
+  gate (Q13/Q14).
 
 DQ results are always returned (and may be persisted) before the gate
 raises, so a failing run still leaves its full report.
@@ -19,13 +20,15 @@ import argparse
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from worklake.operators import dedup, dq, runlog, upsert
-from worklake.operators.flatten import flatten
-from worklake.schema import RUNS_SCHEMA
+from worklake.operators.flatten import assert_no_constraint_violations, flatten
+from worklake.session import stage, unstage
+from worklake.sources import commits
 from worklake.sources import works as W
+from worklake.sources.tables import ensure_tables
 
 # Job defaults (days back, searched subfield).
 DEFAULT_DAYS_BACK = 3
@@ -35,7 +38,6 @@ DEFAULT_SUBFIELD_SEARCH = "Artificial Intelligence"
 @dataclass
 class JobConfig:
     table: str
-    runs: str
     landing: str | None = None
     days_back: int = DEFAULT_DAYS_BACK
     subfield_search: str = DEFAULT_SUBFIELD_SEARCH
@@ -44,8 +46,8 @@ class JobConfig:
     run_data_quality: bool = True
     fail_on_dq_errors: bool = True
     fail_on_dq_warnings: bool = False
-    n_buckets: int = upsert.DEFAULT_BUCKETS      # buckets for the units this load creates
-    files_per_bucket: int = 1                    # files (tasks) per unit written
+    strict: bool = False                         # fail on values that the table can't store
+    compact_after: int = upsert.COMPACT_AFTER    # loads after which one compacts the table
     as_of: dt.date | None = None
     dq_report: str | None = None
 
@@ -72,40 +74,33 @@ class PipelineResult:
     duplicates_skipped: int = 0
 
 
-def _runs(spark: SparkSession, cfg: JobConfig) -> DataFrame | None:
-    exists = upsert.table_exists(spark, cfg.runs, RUNS_SCHEMA)
-    return spark.read.schema(RUNS_SCHEMA).parquet(cfg.runs) if exists else None
-
-
 def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
            loaded_at: dt.datetime | None = None) -> IngestResult:
-    """Flatten, reject, de-duplicate, upsert, then append the run row (E3 inner).
+    """Flatten, reject, de-duplicate, then publish facts and run row together (E3 inner).
 
-    The batch is staged once; counters come from one aggregate over it.
+    The flattened batch is staged once for the counters and the load, and deleted afterwards.
     """
-    from worklake.session import stage
-
-    from worklake.sources.tables import ensure_tables
-
     runlog.validate_header(header)  # the run row is required: fail before writing facts
-    ensure_tables(spark, cfg.table, cfg.runs)
+    ensure_tables(spark, cfg.table)
     flat = stage(flatten(raw), "ingest-flat")
-    c = dedup.counters_of_flat(flat).first()
-    loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    sent = upsert.upsert_table(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, cfg.n_buckets,
-                               files_per_bucket=cfg.files_per_bucket)
-    count = spark.range(1).select(F.lit(c["papers"]).alias("paper_count"))
-    run_id = runlog.append_run(spark, cfg.runs, header, count, created_at=loaded_at)
-    return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"])
+    try:
+        if cfg.strict:
+            assert_no_constraint_violations(flat)
+        c = dedup.counters_of_flat(flat).first()
+        loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        run = runlog.run_fields(header, c["papers"] or 0, loaded_at)
+        sent, run_id = upsert.load(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, run, cfg.compact_after)
+    finally:
+        unstage(flat)
+    return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"] or 0)
 
 
 def run_quality(spark: SparkSession, cfg: JobConfig, subfield_name: str | None = None) -> list:
     papers = upsert.read_table(spark, cfg.table)
     checks = dq.default_checks(subfield_name or cfg.subfield_search, cfg.as_of)
-    results = dq.run_checks(papers, _runs(spark, cfg), checks)
+    results = dq.run_checks(papers, commits.read_runs(spark, cfg.table), checks)
     if cfg.dq_report:
-        dq.summary(papers, _runs(spark, cfg), checks).withColumn(
-            "run_at", F.current_timestamp()).write.mode("append").parquet(cfg.dq_report)
+        dq.result_frame(spark, results).withColumn("run_at", F.current_timestamp()).write.mode("append").parquet(cfg.dq_report)
     return results
 
 
@@ -115,13 +110,20 @@ def _gate(cfg: JobConfig, results: list) -> None:
 
 
 def select_recent(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, dict, int]:
-    """Subfield lookup, date window, M1 dedup and classification check."""
+    """Subfield lookup, date window, M1 dedup and classification check.
+
+    Besides the subfield list the landing is read once: the window's records are
+    staged, and all later steps read the staged copy.
+    """
     raw = W.read_works(spark, cfg.landing)
     sub = W.resolve_subfield(W.subfields(raw), cfg.subfield_search)
     start, end = cfg.date_range()
-    selected = W.source_filter(raw, sub["id"], start, end)
-    skipped = dedup.fetch_duplicates_skipped(selected).first()["duplicates_skipped"]
-    selected = dedup.fetch_dedup(selected)
+    found = Observation("selected")
+    has_id = F.coalesce(F.col("id") != "", F.lit(False))
+    window = W.source_filter(raw, sub["id"], start, end).observe(found, F.count_if(has_id).alias("n"))
+    selected = stage(dedup.fetch_dedup(window), "selected")
+    # Records with an id that the first-wins step dropped: those it read less those it kept.
+    skipped = found.get["n"] - selected.where(has_id).count()
     dq.assert_classification(selected, cfg.subfield_search)
     header = {"fetched_at": dt.datetime.now().replace(microsecond=0),
               "subfield": sub, "from_date": start, "to_date": end, "subfield_id": sub["id"]}
@@ -132,42 +134,52 @@ def run_batch(spark: SparkSession, cfg: JobConfig) -> PipelineResult:
     """The full run from the landing folder."""
     selected, header, skipped = select_recent(spark, cfg)
     export_path = None
-    if cfg.save_export and cfg.export_dir:
-        export_path = W.write_export(W.select_recent(selected, header["subfield_id"], header["from_date"],
-                                                     header["to_date"]), cfg.export_dir, {
-            "fetched_at": header["fetched_at"].isoformat(timespec="seconds"),
-            "subfield": header["subfield"],
-            "date_range": {"from": header["from_date"].isoformat(), "to": header["to_date"].isoformat()},
-        }, duplicates_skipped=skipped)
-    result = ingest(spark, selected, header, cfg)
+    try:
+        if cfg.save_export and cfg.export_dir:
+            newest_first = W.select_recent(selected, header["subfield_id"], header["from_date"], header["to_date"])
+            export_path = W.write_export(newest_first, cfg.export_dir, {
+                "fetched_at": header["fetched_at"].isoformat(timespec="seconds"),
+                "subfield": header["subfield"],
+                "date_range": {"from": header["from_date"].isoformat(), "to": header["to_date"].isoformat()},
+            }, duplicates_skipped=skipped)
+        result = ingest(spark, selected, header, cfg)
+    finally:
+        unstage(selected)
     dq_results = run_quality(spark, cfg, header["subfield"]["display_name"])
     _gate(cfg, dq_results)
     return PipelineResult(result, dq_results, export_path, skipped)
 
 
-def ingest_export(spark: SparkSession, path: str, cfg: JobConfig) -> IngestResult:
-    """Load an export envelope (or an export folder) without DQ."""
+def _export_parts(spark: SparkSession, path: str) -> list[tuple[DataFrame, dict]]:
+    """(raw works, header) of an export folder, or of each envelope at ``path`` in order."""
     if path.rstrip("/").split("/")[-1].startswith("run="):
-        raw = W.read_export_folder(spark, path)
-        m = W.read_manifest(spark, path).first()
-        hdr_src = {"fetched_at": m["fetched_at"], "date_range": m["date_range"], "subfield": m["subfield"]}
-        header = {
-            "fetched_at": dt.datetime.fromisoformat(hdr_src["fetched_at"]) if hdr_src["fetched_at"] else None,
-            "from_date": dt.date.fromisoformat(m["date_range"]["from"]) if m["date_range"] else None,
-            "to_date": dt.date.fromisoformat(m["date_range"]["to"]) if m["date_range"] else None,
-            "subfield_id": m["subfield"]["id"] if m["subfield"] else None,
-        }
-    else:
-        envelopes = W.read_envelopes(spark, path)
-        raw = W.papers_of(envelopes)
-        header = runlog.header_from_envelope(envelopes)
-    return ingest(spark, raw, header, cfg)
+        m = W.read_manifest(spark, path)
+        header = runlog.envelope_headers(m.withColumn("_src", F.lit(path))).first()
+        return [(W.read_export_folder(spark, path), header.asDict())]
+    envelopes = W.read_envelopes(spark, path)
+    W.check_envelopes(envelopes)
+    # One header per envelope file: rows in the number of files, not of papers.
+    headers = runlog.envelope_headers(envelopes).orderBy("fetched_at", "_src").collect()
+    return [(W.papers_of(envelopes.where(F.col("_src") == h["_src"])), h.asDict()) for h in headers]
+
+
+def ingest_exports(spark: SparkSession, path: str, cfg: JobConfig) -> list[tuple[IngestResult, dict]]:
+    """Load an export folder, or each envelope with a run row of its own, oldest first."""
+    parts = _export_parts(spark, path)
+    for _, header in parts:
+        runlog.validate_header(header)
+    return [(ingest(spark, raw, header, cfg), header) for raw, header in parts]
+
+
+def ingest_export(spark: SparkSession, path: str, cfg: JobConfig) -> IngestResult:
+    """E3 without DQ; for several envelopes the last one's result."""
+    return ingest_exports(spark, path, cfg)[-1][0]
 
 
 def run_from_export(spark: SparkSession, path: str, cfg: JobConfig) -> PipelineResult:
-    """Ingest an export, then optional DQ and gate."""
-    result = ingest_export(spark, path, cfg)
-    dq_results = run_quality(spark, cfg) if cfg.run_data_quality else []
+    """Ingest an export, then optional DQ and gate. The expected subfield is the export's own."""
+    result, header = ingest_exports(spark, path, cfg)[-1]
+    dq_results = run_quality(spark, cfg, header.get("subfield_name")) if cfg.run_data_quality else []
     if cfg.run_data_quality:
         _gate(cfg, dq_results)
     return PipelineResult(result, dq_results, path)
@@ -179,7 +191,6 @@ def main(argv: list[str] | None = None) -> int:
 
     ap = argparse.ArgumentParser(prog="worklake")
     ap.add_argument("--table", required=True)
-    ap.add_argument("--runs", required=True)
     ap.add_argument("--landing")
     ap.add_argument("--from-export", dest="export_path")
     ap.add_argument("--days-back", type=int, default=DEFAULT_DAYS_BACK)
@@ -189,15 +200,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--skip-dq", action="store_true", help="only with --from-export")
     ap.add_argument("--fail-on-warnings", action="store_true")
     ap.add_argument("--dq-report")
-    ap.add_argument("--buckets", type=int, default=upsert.DEFAULT_BUCKETS,
-                    help="buckets for the units this load creates (more for a backfill)")
-    ap.add_argument("--files-per-bucket", type=int, default=1)
+    ap.add_argument("--strict", action="store_true", help="fail on values that the table can't store")
     a = ap.parse_args(argv)
-    cfg = JobConfig(table=a.table, runs=a.runs, landing=a.landing, days_back=a.days_back,
+    cfg = JobConfig(table=a.table, landing=a.landing, days_back=a.days_back,
                     subfield_search=a.subfield, export_dir=a.export_dir, save_export=a.save_export,
                     run_data_quality=not (a.skip_dq and a.export_path),
                     fail_on_dq_warnings=a.fail_on_warnings, dq_report=a.dq_report,
-                    n_buckets=a.buckets, files_per_bucket=a.files_per_bucket)
+                    strict=a.strict)
     spark = build_session()
     try:
         res = run_from_export(spark, a.export_path, cfg) if a.export_path else run_batch(spark, cfg)

@@ -42,8 +42,8 @@ rawf AS (
   SELECT *,
     CASE WHEN k % 211 = 0 THEN NULL WHEN k % 223 = 0 THEN 'https://openalex.org/X' || k
          ELSE 'https://openalex.org/W' || k END AS raw_id,
-    CASE WHEN k % 101 = 0 THEN NULL ELSE c_name || ' / ' || k END
-      || CASE WHEN cp = 1 THEN ' (dup)' ELSE '' END AS raw_title,
+    CASE WHEN k % 101 = 0 THEN NULL WHEN k % 103 = 0 THEN ''
+         ELSE c_name || ' / ' || k || CASE WHEN cp = 1 THEN ' (dup)' ELSE '' END END AS raw_title,
     CASE WHEN k % 303 = 0 THEN NULL ELSE 'Order ' || k END AS raw_display_name,
     CASE WHEN k % 307 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS pub_date
   FROM raw)"""
@@ -57,45 +57,46 @@ def _flat_select(snapshot: int = 1) -> str:
   SELECT _src, _pos,
     CASE WHEN k % 211 = 0 THEN NULL WHEN k % 223 = 0 THEN 'X' || k ELSE 'W' || k END AS openalex_id,
     {doi} AS doi,
-    COALESCE(raw_title, raw_display_name) AS title,
-    CAST(NULL AS VARCHAR) AS landing_page_url,
-    CAST(NULL AS VARCHAR) AS oa_url,
+    COALESCE(NULLIF(raw_title, ''), raw_display_name) AS title,
+    CASE WHEN k % 59 <> 0 THEN 'https://example.org/' || k END AS landing_page_url,
+    CASE WHEN o_orderstatus = 'F' THEN 'https://oa.example.org/' || k END AS oa_url,
     pub_date AS publication_date,
     CAST(YEAR(o_orderdate) + CASE WHEN k % 97 = 0 THEN 1 ELSE 0 END AS SMALLINT) AS publication_year,
-    'article' AS work_type,
-    CAST(NULL AS VARCHAR) AS language,
+    CASE k % 4 WHEN 0 THEN 'article' WHEN 1 THEN 'review' WHEN 2 THEN 'preprint' ELSE 'dataset' END AS work_type,
+    CASE WHEN n_nationkey % 5 <> 0 THEN 'l' || n_nationkey END AS language,
     o_orderstatus <> 'O' AS is_oa,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'gold' WHEN '2' THEN 'green'
          WHEN '3' THEN 'hybrid' WHEN '5' THEN 'closed' END AS oa_status,
-    FALSE AS is_retracted,
-    FALSE AS has_fulltext,
-    'T' || n_nationkey AS primary_topic_id,
+    k % 29 = 0 AS is_retracted,
+    k % 5 <> 0 AND k % 2 = 0 AS has_fulltext,
+    CASE WHEN k % 61 = 0 THEN '' ELSE 'T' || n_nationkey END AS primary_topic_id,
     CASE WHEN k % 53 = 0 THEN NULL ELSE n_name END AS primary_topic_name,
-    CAST(NULL AS DECIMAL(6,5)) AS primary_topic_score,
+    CAST(CAST(k % 1000 AS DECIMAL(9,5)) / 1000 AS DECIMAL(6,5)) AS primary_topic_score,
     c_mktsegment AS subfield_id,
     c_mktsegment AS subfield_name,
     r_name AS field_name,
-    CAST(NULL AS VARCHAR) AS domain_name,
-    'S' || c_custkey AS source_id,
-    CASE WHEN k % 31 = 0 THEN NULL ELSE c_name END AS source_name,
-    'journal' AS source_type,
-    CAST(NULL AS VARCHAR) AS host_organization,
-    CAST(NULL AS BOOLEAN) AS is_core_source,
+    CASE WHEN n_nationkey % 2 = 0 THEN 'Domain ' || r_name END AS domain_name,
+    CASE WHEN k % 59 <> 0 THEN 'S' || c_custkey END AS source_id,
+    CASE WHEN k % 59 <> 0 AND k % 31 <> 0 THEN c_name END AS source_name,
+    CASE WHEN k % 59 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'journal' ELSE 'repository' END END AS source_type,
+    CASE WHEN k % 59 <> 0 THEN r_name END AS host_organization,
+    CASE WHEN k % 59 <> 0 AND k % 3 <> 1 THEN k % 3 = 0 END AS is_core_source,
     CAST({cited} AS INTEGER) AS cited_by_count,
-    CAST(FLOOR(o_totalprice / 10) / 10000 AS DECIMAL(8,4)) AS fwci,
+    CASE WHEN k % 401 <> 0 THEN CAST(FLOOR(o_totalprice / 10) / 10000 AS DECIMAL(8,4)) END AS fwci,
     CAST(FLOOR(o_totalprice / 2) / 200000 AS DECIMAL(8,6)) AS citation_percentile,
     o_totalprice > 480000 AS is_top_1_percent,
     CASE WHEN k % 7 = 0 THEN NULL ELSE o_totalprice > 450000 END AS is_top_10_percent,
-    CAST(0 AS INTEGER) AS referenced_works_count,
+    CAST(k % 50 AS INTEGER) AS referenced_works_count,
     CAST(COALESCE(n_auth, 0) AS SMALLINT) AS author_count,
     CAST(COALESCE(LEN(countries), 0) + CASE WHEN k % 89 = 0 THEN 1 ELSE 0 END AS SMALLINT) AS countries_count,
-    CAST(0 AS SMALLINT) AS institutions_count,
-    CAST(0 AS SMALLINT) AS locations_count,
+    CAST(k % 9 AS SMALLINT) AS institutions_count,
+    CAST(k % 5 AS SMALLINT) AS locations_count,
     countries AS country_codes,
-    CAST(NULL AS TIMESTAMP) AS openalex_updated_at,
+    CASE WHEN k % 37 <> 0 THEN CAST(o_orderdate AS DATE) + INTERVAL 750 MINUTE END AS openalex_updated_at,
     CASE WHEN (k % 211 = 0) THEN 'missing_id'
-         WHEN COALESCE(raw_title, raw_display_name) IS NULL THEN 'missing_title'
-         WHEN pub_date IS NULL THEN 'missing_date' END AS reject_reason
+         WHEN COALESCE(NULLIF(raw_title, ''), raw_display_name) IS NULL THEN 'missing_title'
+         WHEN pub_date IS NULL THEN 'missing_date'
+         WHEN k % 401 = 0 THEN 'out_of_range:fwci' END AS reject_reason
   FROM rawf"""
 
 
@@ -110,7 +111,7 @@ runs AS (
          make_timestamp(y + 1, 1, 1, 0, 0, 0) AS fetched_at,
          make_date(y, 1, 1) AS from_date, make_date(y, 12, 31) AS to_date,
          '{_SUB_URL}{D.EXPECTED_SUBFIELD}' AS subfield_id,
-         CAST(paper_count AS INTEGER) AS paper_count,
+         CAST(paper_count AS BIGINT) AS paper_count,
          make_timestamp(y + 1, 1, 1, 0, 0, 0) AS created_at
   FROM (SELECT YEAR(pub_date) AS y, COUNT(*) AS paper_count FROM rawf
         WHERE pub_date IS NOT NULL GROUP BY 1))"""
@@ -120,6 +121,12 @@ _WITH = ("WITH " + _BASE + ",\nflat AS (" + _flat_select(1) + "),\n"
          + _dedup("flat") + ")),\n" + _RUNS + "\n")
 
 
+# Records whose text is spoilt before it is read (see ``plans.derived.spoilt_lines``).
+_DIRT = ("CASE WHEN k % 131 = 0 THEN 'malformed' WHEN k % 137 = 0 THEN 'date' WHEN k % 139 = 0 THEN 'word' "
+         "WHEN k % 149 = 0 THEN 'overflow' WHEN k % 151 = 0 THEN 'fraction' WHEN k % 157 = 0 THEN 'flag' "
+         "WHEN k % 163 = 0 THEN 'text_flag' END")
+
+
 def _txt(col: str, sep: str = ",") -> str:
     return f"CASE WHEN {col} IS NULL THEN NULL ELSE array_to_string({col}, '{sep}') END"
 
@@ -139,38 +146,41 @@ _LIST_COLS = ("openalex_id, doi, title, landing_page_url, oa_url, publication_da
               "host_organization, cited_by_count, fwci, author_count, countries_count, "
               "institutions_count, " + _txt("country_codes") + " AS country_codes, ingested_at")
 
-# Row-check predicates, in SQL (same rules as the Spark checks, written anew).
-_ROW_CHECKS = {
-    "openalex_id_format": ("NOT regexp_full_match(openalex_id, 'W[0-9]+')", "openalex_id, title"),
-    "publication_year_matches_date": ("publication_year <> CAST(YEAR(publication_date) AS SMALLINT)",
-                                      "openalex_id, publication_date, publication_year"),
-    "ai_subfield": (f"subfield_name IS DISTINCT FROM '{D.EXPECTED_SUBFIELD}'",
-                    "openalex_id, title, subfield_name, subfield_id"),
-    "publication_date_sanity": (f"publication_date > {_d(D.AS_OF)} OR publication_date < DATE '1990-01-01'",
-                                "openalex_id, publication_date"),
+# What each check must find, from the dirt that the binding plants: conditions on the
+# order's own columns (``b``), not on the flat columns that the checks test. Then the
+# columns shown.
+_PLANTED = {
+    "openalex_id_format": ("b.k % 223 = 0", "openalex_id, title"),
+    "publication_year_matches_date": ("b.k % 97 = 0", "openalex_id, publication_date, publication_year"),
+    "ai_subfield": (f"b.c_mktsegment <> '{D.EXPECTED_SUBFIELD}'", "openalex_id, title, subfield_name, subfield_id"),
+    "publication_date_sanity": (f"b.o_orderdate >= {_d(D.AS_OF)} + INTERVAL 1 DAY", "openalex_id, publication_date"),
+    # Priorities 1 to 3 get an open status, 4 none, 5 'closed'; status O is not open access.
     "oa_flag_status_consistency": (
-        "(is_oa = TRUE AND (oa_status IS NULL OR oa_status = 'closed')) OR "
-        "(is_oa = FALSE AND oa_status IN ('gold', 'green', 'hybrid', 'bronze', 'diamond'))",
+        "(b.o_orderstatus = 'O') = (substr(b.o_orderpriority, 1, 1) IN ('1', '2', '3'))",
         "openalex_id, is_oa, oa_status"),
     "citation_percentile_hierarchy": (
-        "is_top_1_percent = TRUE AND (is_top_10_percent IS DISTINCT FROM TRUE)",
+        "b.o_totalprice > 480000 AND b.k % 7 = 0",
         "openalex_id, is_top_1_percent, is_top_10_percent, citation_percentile"),
     "non_negative_metrics": (
-        "cited_by_count < 0 OR referenced_works_count < 0 OR author_count < 0 OR fwci < 0 "
-        "OR citation_percentile NOT BETWEEN 0 AND 1 OR primary_topic_score NOT BETWEEN 0 AND 1",
+        "b.k % 113 = 0 OR b.o_totalprice >= 400002",
         "openalex_id, cited_by_count, referenced_works_count, author_count, fwci, "
         "citation_percentile, primary_topic_score"),
     "countries_count_matches_array": (
-        "country_codes IS NOT NULL AND countries_count <> len(country_codes)",
+        "b.k % 89 = 0 AND b.n_auth IS NOT NULL",
         "openalex_id, countries_count, " + _txt("country_codes") + " AS country_codes, "
         "CAST(len(country_codes) AS INTEGER) AS array_len"),
-    "missing_topic_hierarchy": (
-        "primary_topic_name IS NULL OR subfield_name IS NULL OR field_name IS NULL",
-        "openalex_id, title, primary_topic_name, subfield_name, field_name"),
+    "missing_topic_hierarchy": ("b.k % 53 = 0", "openalex_id, title, primary_topic_name, subfield_name, field_name"),
 }
+
+
+def _found(check: str) -> str:
+    """The stored papers that a check must find, as a table ``p``."""
+    return (f"(SELECT p.* FROM papers p JOIN base b ON b.k = CAST(substr(p.openalex_id, 2) AS BIGINT) "
+            f"WHERE {_PLANTED[check][0]}) p")
+
+
 _SEVERITY = {"duplicate_openalex_id": "error", "missing_topic_hierarchy": "warning",
              "ingest_count_reconciliation": "warning"}
-_CHECK_ORDER = ["duplicate_openalex_id", *_ROW_CHECKS, "ingest_count_reconciliation"]
 
 _RECONCILE = """
 latest AS (SELECT * FROM runs ORDER BY id DESC LIMIT 1),
@@ -189,8 +199,7 @@ recon_v AS (
 def _summary_cte() -> str:
     parts = ["SELECT 'duplicate_openalex_id' AS chk, (SELECT COUNT(*) FROM (SELECT openalex_id FROM papers "
              "GROUP BY openalex_id HAVING COUNT(*) > 1)) AS violations"]
-    for name, (pred, _) in _ROW_CHECKS.items():
-        parts.append(f"SELECT '{name}', (SELECT COUNT(*) FROM papers WHERE {pred})")
+    parts += [f"SELECT '{name}', (SELECT COUNT(*) FROM {_found(name)})" for name in _PLANTED]
     parts.append("SELECT 'ingest_count_reconciliation', (SELECT COUNT(*) FROM recon_v)")
     sev = " ".join(f"WHEN '{n}' THEN '{s}'" for n, s in _SEVERITY.items())
     return (",\ncounts AS (" + "\nUNION ALL ".join(parts) + "),\n"
@@ -232,10 +241,12 @@ SELECT COUNT(*) AS papers,
        COUNT(*) FILTER (WHERE reject_reason IS NULL)
          - COUNT(DISTINCT CASE WHEN reject_reason IS NULL THEN openalex_id END) AS duplicates_in_file
 FROM flat"""
+    # Each nation's segment name under 30 longer ones that contain it and sort before it.
+    names = ("SELECT DISTINCT '" + _SUB_URL + "' || c_mktsegment AS id, c_mktsegment AS display_name FROM rawf "
+             "UNION ALL SELECT id || '/' || i, 'A' || lpad(CAST(i AS VARCHAR), 2, '0') || ' ' || display_name || ' and more' "
+             "FROM (SELECT DISTINCT '" + _SUB_URL + "' || c_mktsegment AS id, c_mktsegment AS display_name FROM rawf), range(30) r(i)")
     q["subfield_lookup"] = W + f"""
-, cand AS (SELECT DISTINCT '{_SUB_URL}' || c_mktsegment AS id, c_mktsegment AS display_name FROM rawf
-           WHERE contains(lower(c_mktsegment), 'building') ORDER BY display_name, id LIMIT 25)
-SELECT id, display_name FROM cand WHERE lower(display_name) = 'building'"""
+SELECT id, display_name FROM ({names}) WHERE lower(display_name) = 'building'"""
     q["source_filter"] = W + f"""
 SELECT raw_id AS id, strftime(pub_date, '%Y-%m-%d') AS publication_date, raw_title AS title, _src, _pos
 FROM rawf WHERE c_mktsegment = 'BUILDING' AND pub_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
@@ -311,14 +322,15 @@ GROUP BY openalex_id HAVING COUNT(*) > 1"""
              "countries_count_matches_array": "dq_countries_count",
              "missing_topic_hierarchy": "dq_missing_hierarchy"}
     for check, key in names.items():
-        pred, cols = _ROW_CHECKS[check]
-        q[key] = W + f"SELECT {cols} FROM papers WHERE {pred}"
+        q[key] = W + f"SELECT {_PLANTED[check][1]} FROM {_found(check)}"
     q["dq_ingest_reconciliation"] = W + "," + _RECONCILE + "\nSELECT * FROM recon_v"
     summary = W + "," + _RECONCILE + _summary_cte()
     q["dq_summary"] = summary + "\nSELECT * FROM summary"
     samples = "\nUNION ALL ".join(
-        f"SELECT '{n}' AS \"check\", openalex_id FROM papers WHERE {pred}" for n, (pred, _) in _ROW_CHECKS.items())
-    q["dq_samples"] = W + f""", v AS ({samples})
+        [f"SELECT '{n}' AS \"check\", openalex_id FROM {_found(n)}" for n in _PLANTED]
+        + ["SELECT 'duplicate_openalex_id', openalex_id FROM papers GROUP BY openalex_id HAVING COUNT(*) > 1",
+           "SELECT 'ingest_count_reconciliation', NULL FROM recon_v"])
+    q["dq_samples"] = W + "," + _RECONCILE + f""", v AS ({samples})
 SELECT "check", openalex_id, CAST(sample_rank AS INTEGER) AS sample_rank FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY "check" ORDER BY openalex_id) AS sample_rank FROM v)
 WHERE sample_rank <= 5"""
@@ -329,12 +341,48 @@ SELECT fail_on_errors, fail_on_warnings, "check" FROM summary, flags
 WHERE violations > 0 AND (fail_on_errors OR fail_on_warnings)
   AND (severity = 'error' OR fail_on_warnings)"""
     q["upsert_merge"] = _merge_sql()
-    q["upsert_idempotent"] = W + f", b1 AS ({_batch(1, D.BATCH1)})\nSELECT {_flat_cols()}, {_LOAD} AS ingested_at FROM b1"
+    q["upsert_idempotent"] = W + f"SELECT {_flat_cols()}, ingested_at FROM papers"
+    dirty = W + f""", dirty AS (
+  SELECT *, CASE
+      WHEN dirt = 'malformed' THEN 'malformed'
+      WHEN base IN ('missing_id', 'missing_title', 'missing_date') THEN base
+      WHEN dirt = 'date' THEN 'bad_date'
+      WHEN dirt = 'word' THEN 'bad_value:cited_by_count'
+      WHEN base IS NOT NULL THEN base
+      WHEN dirt = 'overflow' THEN 'out_of_range:cited_by_count'
+      WHEN dirt = 'flag' THEN 'bad_value:is_retracted' END AS reason
+  FROM (SELECT flat.* EXCLUDE (reject_reason), reject_reason AS base, {_DIRT} AS dirt
+        FROM (SELECT *, _pos AS k FROM flat) flat))"""
+    q["landing_verdicts"] = q["envelope_verdicts"] = dirty + """
+SELECT CASE WHEN reason IS DISTINCT FROM 'malformed' THEN openalex_id END AS openalex_id, reason AS reject_reason,
+       CASE WHEN reason IS NULL THEN CASE WHEN dirt = 'fraction' THEN 3 ELSE cited_by_count END END AS cited_by_count,
+       CASE WHEN reason IS NULL THEN is_retracted AND dirt IS DISTINCT FROM 'text_flag' END AS is_retracted,
+       COUNT(*) AS n
+FROM dirty GROUP BY ALL"""
+    q["landing_counters"] = dirty + """
+SELECT COUNT(*) AS papers, COUNT(DISTINCT CASE WHEN reason IS NULL THEN openalex_id END) AS upserted,
+       COUNT(reason) AS skipped_invalid,
+       COUNT(*) - COUNT(reason) - COUNT(DISTINCT CASE WHEN reason IS NULL THEN openalex_id END) AS duplicates_in_file
+FROM dirty"""
+    window = f"c_mktsegment = '{D.EXPECTED_SUBFIELD}' AND pub_date BETWEEN {_d(D.JOB_FROM)} AND {_d(D.JOB_TO)}"
+    fetched = (f"(SELECT raw_id, _src, _pos FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY COALESCE(raw_id, _src || '#' || _pos) "
+               f"ORDER BY _src, _pos) AS rn FROM rawf WHERE {window}) WHERE rn = 1)")
+    job = W + f""", fetched AS {fetched},
+loaded AS ({_dedup("(SELECT flat.* FROM flat JOIN fetched USING (_src, _pos))")})"""
+    q["job_run_batch"] = job + f"\nSELECT {_flat_cols()}, {_LOAD} AS ingested_at FROM loaded"
+    q["job_manifest"] = job + f"""
+SELECT '{_SUB_URL}{D.EXPECTED_SUBFIELD}' AS subfield_id, '{D.JOB_FROM}' AS from_date, '{D.JOB_TO}' AS to_date,
+       (SELECT COUNT(*) FROM fetched) AS "count",
+       (SELECT COUNT(*) FROM rawf WHERE {window} AND raw_id IS NOT NULL)
+         - (SELECT COUNT(*) FROM fetched WHERE raw_id IS NOT NULL) AS duplicates_skipped"""
+    q["job_from_export"] = job + f"""
+SELECT 1 AS id, '{_SUB_URL}{D.EXPECTED_SUBFIELD}' AS subfield_id, {_d(D.JOB_FROM)} AS from_date, {_d(D.JOB_TO)} AS to_date,
+       (SELECT COUNT(*) FROM fetched) AS paper_count, (SELECT COUNT(*) FROM loaded) AS stored"""
     q["run_log_append"] = W + f"""
 SELECT * FROM runs
 UNION ALL
 SELECT CAST((SELECT MAX(id) FROM runs) + 1 AS INTEGER), {_LOAD}, {_d(D.FULL_FROM)}, {_d(D.FULL_TO)},
-       '{_SUB_URL}{D.EXPECTED_SUBFIELD}', CAST((SELECT COUNT(*) FROM rawf) AS INTEGER), {_LOAD}"""
+       '{_SUB_URL}{D.EXPECTED_SUBFIELD}', (SELECT COUNT(*) FROM rawf), {_LOAD}"""
     q["export_round_trip"] = q["flatten_papers"]
     q["incremental_ingest"] = W + f"SELECT {_flat_cols()}, ingested_at FROM papers"
     return q

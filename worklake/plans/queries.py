@@ -8,6 +8,7 @@ its work grows with the data. Array columns are returned joined with ','
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from worklake.operators import dedup, dq, reports, upsert
-from worklake.operators.flatten import REJECT, rejected
-from worklake.operators.runlog import next_run_row
+from worklake.operators.flatten import REJECT, flatten, rejected
+from worklake.operators.runlog import append_run
 from worklake.plans import derived as D
+from worklake.plans import job
 from worklake.schema import KEY
+from worklake.session import ensure_checkpoint_dir
+from worklake.sources import commits
 from worklake.sources import works as W
 from worklake.sources.testdata import SUBFIELD_BASE
 
@@ -38,6 +42,11 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields])
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def _checks():
     return dq.default_checks(D.EXPECTED_SUBFIELD, D.AS_OF)
 
@@ -72,7 +81,14 @@ def ingest_counters(spark, sf):
 # --- sources ------------------------------------------------------------------
 
 def subfield_lookup(spark, sf):
-    return W.lookup_subfield(W.subfields(D.raw_works(spark, sf)), SUBFIELD_TERM)
+    """The dimension of the works, with 30 longer names beside each that contain it."""
+    dim = W.subfields(D.raw_works(spark, sf))
+    longer = dim.select(F.explode(F.sequence(F.lit(0), F.lit(29))).alias("i"), "id", "display_name").select(
+        F.concat_ws("/", "id", F.col("i").cast("string")).alias("id"),
+        F.concat(F.lit("A"), F.lpad(F.col("i").cast("string"), 2, "0"), F.lit(" "), "display_name",
+                 F.lit(" and more")).alias("display_name"))
+    found = W.resolve_subfield(dim.unionByName(longer), SUBFIELD_TERM)  # as the job does
+    return W.lookup_subfield(dim.unionByName(longer), found["display_name"])
 
 
 def source_filter(spark, sf):
@@ -87,17 +103,12 @@ def classification_mismatches(spark, sf):
 
 def export_round_trip(spark, sf):
     """S4 then S3: write the raw works as an export, read it back, flatten."""
-    from worklake.session import ensure_checkpoint_dir
-    import uuid
-
-    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports-{uuid.uuid4().hex[:12]}"
+    out = scratch(spark, "exports")
     header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"),
               "subfield": {"id": SUBFIELD_BASE + "BUILDING", "display_name": "BUILDING"},
               "date_range": {"from": D.FULL_FROM.isoformat(), "to": D.FULL_TO.isoformat()},
               "stamp": D.LOAD_TS.strftime("%Y%m%d_%H%M%S")}
     folder = W.write_export(D.raw_works(spark, sf), out, header)
-    from worklake.operators.flatten import flatten
-
     return arrays_as_text(flatten(W.read_export_folder(spark, folder)))
 
 
@@ -175,12 +186,6 @@ def _row_check(name: str) -> QueryFn:
     return run
 
 
-def dq_countries_count(spark, sf):
-    c = _check("countries_count_matches_array")
-    return arrays_as_text(c.violations(D.papers(spark, sf)).withColumn(
-        "array_len", F.size(F.col("country_codes")).cast("int")))
-
-
 def dq_ingest_reconciliation(spark, sf):
     return dq.reconcile(D.papers(spark, sf), D.runs(spark, sf))
 
@@ -190,7 +195,7 @@ def dq_summary(spark, sf):
 
 
 def dq_samples(spark, sf):
-    return dq.samples(D.papers(spark, sf), _checks())
+    return dq.samples(D.papers(spark, sf), _checks(), runs=D.runs(spark, sf))
 
 
 def dq_gate(spark, sf):
@@ -200,42 +205,121 @@ def dq_gate(spark, sf):
 # --- load ---------------------------------------------------------------------
 
 def upsert_merge(spark, sf):
-    first = upsert.with_ingested_at(D.batch(spark, sf, 1), D.LOAD_TS)
-    return arrays_as_text(upsert.merge(first, D.batch(spark, sf, 2), D.LOAD2_TS))
+    """Two overlapping loads through the stored table."""
+    table = scratch(spark, "table")
+    upsert.upsert_table(spark, table, D.batch(spark, sf, 1), D.LOAD_TS)
+    upsert.upsert_table(spark, table, D.batch(spark, sf, 2), D.LOAD2_TS)
+    return arrays_as_text(upsert.read_table(spark, table))
 
 
 def upsert_idempotent(spark, sf):
-    b1 = D.batch(spark, sf, 1)
-    once = upsert.with_ingested_at(b1, D.LOAD_TS)
-    return arrays_as_text(upsert.merge(once, D.batch(spark, sf, 1), D.LOAD2_TS))
+    """All papers loaded twice, and compacted: the rows of the first load."""
+    table = scratch(spark, "table")
+    inc = dedup.batch_dedup(D.flat_works(spark, sf))
+    upsert.upsert_table(spark, table, inc, D.LOAD_TS)
+    upsert.upsert_table(spark, table, inc, D.LOAD2_TS, compact_after=1)
+    return arrays_as_text(upsert.read_table(spark, table))
 
 
 def run_log_append(spark, sf):
-    runs = D.runs(spark, sf)
+    """The run log of a table to which one run per year, then one over all works, was published."""
+    table = scratch(spark, "table")
+    for r in D.runs(spark, sf).orderBy("id").collect():  # one row per calendar year
+        append_run(spark, table, r.asDict(), r["paper_count"], r["created_at"])
     header = {"fetched_at": D.LOAD_TS, "from_date": D.FULL_FROM, "to_date": D.FULL_TO,
               "subfield_id": SUBFIELD_BASE + D.EXPECTED_SUBFIELD}
-    count = D.raw_works(spark, sf).agg(F.count(F.lit(1)).alias("paper_count"))
-    return runs.unionByName(next_run_row(runs, header, count, created_at=D.LOAD_TS))
+    append_run(spark, table, header, D.raw_works(spark, sf).count(), D.LOAD_TS)
+    return commits.read_runs(spark, table)
+
+
+def _verdicts(raw: DataFrame) -> DataFrame:
+    flat = flatten(raw)
+    valid = F.col(REJECT).isNull()
+    return (flat.select(KEY, REJECT, F.when(valid, F.col("cited_by_count")).alias("cited_by_count"),
+                        F.when(valid, F.col("is_retracted")).alias("is_retracted"))
+            .groupBy(KEY, REJECT, "cited_by_count", "is_retracted").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _spoilt_landing(spark, sf) -> DataFrame:
+    path = scratch(spark, "landing")
+    D.spoilt_lines(D.raw_works(spark, sf)).select("value").write.text(path)
+    return W.read_works(spark, path)
+
+
+def landing_verdicts(spark, sf):
+    return _verdicts(_spoilt_landing(spark, sf))
+
+
+def landing_counters(spark, sf):
+    return dedup.ingest_counters(_spoilt_landing(spark, sf))
+
+
+def envelope_verdicts(spark, sf):
+    """The same records as papers of envelopes of a few thousand orders each."""
+    path = scratch(spark, "envelopes")
+    papers = D.spoilt_lines(D.raw_works(spark, sf)).groupBy(F.floor(F.col("_pos") / 2000).alias("g")).agg(
+        F.concat(F.lit('{"fetched_at": "2001-08-02T00:00:00", "papers": ['), F.array_join(F.collect_list("value"), ", "),
+                 F.lit("]}")).alias("value"))
+    # One line is one document: one file each.
+    papers.repartition(F.col("g")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return _verdicts(W.read_export(spark, path))
+
+
+def _job(spark, sf) -> tuple[str, job.JobConfig]:
+    """Landed works and the configuration of the job keys."""
+    header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"),
+              "subfield": {"id": SUBFIELD_BASE + D.EXPECTED_SUBFIELD, "display_name": D.EXPECTED_SUBFIELD},
+              "date_range": {"from": D.FULL_FROM.isoformat(), "to": D.FULL_TO.isoformat()}}
+    landed = W.write_export(D.raw_works(spark, sf), scratch(spark, "landing"), header)
+    cfg = job.JobConfig(table=scratch(spark, "table"), landing=f"{landed}/papers", subfield_search=SUBFIELD_TERM,
+                        as_of=D.JOB_TO, days_back=(D.JOB_TO - D.JOB_FROM).days, save_export=True,
+                        export_dir=scratch(spark, "exports"), fail_on_dq_errors=False)
+    return landed, cfg
+
+
+def job_run_batch(spark, sf):
+    """Landing to stored table."""
+    _, cfg = _job(spark, sf)
+    job.run_batch(spark, cfg)
+    stored = upsert.read_table(spark, cfg.table).withColumn("ingested_at", F.lit(D.LOAD_TS).cast("timestamp"))
+    return arrays_as_text(stored)
+
+
+def job_manifest(spark, sf):
+    """The manifest of the export that a run saves."""
+    _, cfg = _job(spark, sf)
+    m = W.read_manifest(spark, job.run_batch(spark, cfg).export_path)
+    return m.select(m["filters"]["primary_topic.subfield.id"].alias("subfield_id"),
+                    m["filters"]["from_publication_date"].alias("from_date"),
+                    m["filters"]["to_publication_date"].alias("to_date"), "count", "duplicates_skipped")
+
+
+def job_from_export(spark, sf):
+    """A saved export loaded into a new table: its run row and the stored papers."""
+    _, cfg = _job(spark, sf)
+    export = job.run_batch(spark, cfg).export_path
+    again = job.JobConfig(table=scratch(spark, "table"), run_data_quality=False)
+    job.run_from_export(spark, export, again)
+    stored = upsert.read_table(spark, again.table).count()
+    return commits.read_runs(spark, again.table).select(
+        "id", "subfield_id", "from_date", "to_date", "paper_count", F.lit(stored).cast("long").alias("stored"))
 
 
 def incremental_ingest(spark, sf):
-    """Land the raw works as JSON Lines files, stream them in file by
-    file with foreachBatch upserts, read the resulting table.
+    """Land the raw works as JSON Lines files, stream them in with foreachBatch
+    upserts, read the resulting table.
 
     Files are cut by key, so every copy of a work lands in the same file (the
     first-wins order holds inside a micro-batch; across micro-batches the
     later file overwrites, as a later export would).
     """
-    from worklake.session import ensure_checkpoint_dir
     from worklake.streaming.incremental import incremental_ingest as run
-    import uuid
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    root = scratch(spark, "stream")
     raw = D.raw_works(spark, sf)
     raw.repartition(4, "id").write.option("ignoreNullFields", "false").json(f"{root}/landing")
-    run(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS,
-        max_files_per_trigger=1, n_buckets=8)
-    return arrays_as_text(upsert.read_table(spark, f"{root}/table").drop(*upsert.PARTITIONS))
+    run(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=2)
+    return arrays_as_text(upsert.read_table(spark, f"{root}/table"))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -268,7 +352,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_oa_consistency": _row_check("oa_flag_status_consistency"),
     "dq_percentile_hierarchy": _row_check("citation_percentile_hierarchy"),
     "dq_metric_ranges": _row_check("non_negative_metrics"),
-    "dq_countries_count": dq_countries_count,
+    "dq_countries_count": _row_check("countries_count_matches_array"),
     "dq_missing_hierarchy": _row_check("missing_topic_hierarchy"),
     "dq_ingest_reconciliation": dq_ingest_reconciliation,
     "dq_summary": dq_summary,
@@ -277,6 +361,12 @@ QUERIES: dict[str, QueryFn] = {
     "upsert_merge": upsert_merge,
     "upsert_idempotent": upsert_idempotent,
     "run_log_append": run_log_append,
+    "landing_verdicts": landing_verdicts,
+    "landing_counters": landing_counters,
+    "envelope_verdicts": envelope_verdicts,
+    "job_run_batch": job_run_batch,
+    "job_manifest": job_manifest,
+    "job_from_export": job_from_export,
     "recent_runs": recent_runs,
     "export_round_trip": export_round_trip,
     "incremental_ingest": incremental_ingest,

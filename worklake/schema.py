@@ -61,6 +61,21 @@ WORK_SCHEMA = T.StructType([
     T.StructField("updated_date", T.StringType()),
 ])
 
+
+
+def text_leaves(kind: T.DataType) -> T.DataType:
+    """The type with every scalar leaf as text, as JSON records are read."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, text_leaves(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(text_leaves(kind.elementType))
+    return T.StringType()
+
+
+# A work as read: whether a value fits its column is decided in ``flatten``, by a
+# rule that names the column, not by the parser.
+RAW_SCHEMA = text_leaves(WORK_SCHEMA)
+
 # First-wins order carried next to every raw record: source file and position.
 ORDER_COLUMNS = ("_src", "_pos")
 
@@ -82,9 +97,11 @@ ENVELOPE_SCHEMA = T.StructType([
         T.StructField("from", T.StringType()),
         T.StructField("to", T.StringType()),
     ])),
-    T.StructField("count", T.IntegerType()),
-    T.StructField("duplicates_skipped", T.IntegerType()),
-    T.StructField("papers", T.ArrayType(WORK_SCHEMA)),
+    T.StructField("count", T.LongType()),
+    T.StructField("duplicates_skipped", T.LongType()),
+    # Each paper's own text: landing lines and papers are parsed alike.
+    T.StructField("papers", T.ArrayType(T.StringType())),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 # The 37 flat columns of a loaded paper, in table order.
@@ -150,9 +167,17 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("from_date", T.DateType(), False),
     T.StructField("to_date", T.DateType(), False),
     T.StructField("subfield_id", T.StringType(), False),
-    T.StructField("paper_count", T.IntegerType(), False),
+    T.StructField("paper_count", T.LongType(), False),
     T.StructField("created_at", T.TimestampType(), False),
 ])
 
-NOT_NULL_COLUMNS = tuple(f.name for f in PAPERS_SCHEMA.fields
-                         if not f.nullable and f.name != "ingested_at")
+# One record per commit of a stored table. ``load`` names a folder of rows; with
+# ``covers`` it is a base holding all loads up to that number; ``run`` is the
+# run-log row of the load.
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()),
+    T.StructField("load", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("covers", T.LongType()),
+    T.StructField("run", RUNS_SCHEMA),
+])

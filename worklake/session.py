@@ -17,7 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The flat projection's reject rule is one wide CASE; inferring constraints
+    # from it takes the optimizer tens of seconds and finds nothing to push.
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Static: skip capturing the Python call site of every Column (plan
@@ -51,9 +53,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS / object
-    store) and is used as is. Only when nothing is configured (local tests) a
-    fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder (HDFS / object
+    store) and is used as is; without it this raises. Only a local master, whose
+    executors are the driver's own threads, gets a fresh scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
@@ -62,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = _dirs.get(session_key(spark))
     if not configured:
+        if sc is not None and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="worklake-ckpt-",
                                       dir=os.environ.get("WORKLAKE_SCRATCH", "/tmp"))
         try:
@@ -74,6 +78,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings that the package's plans need in a session built elsewhere."""
+    ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.constraintPropagation.enabled",
+                   SESSION_DEFAULTS["spark.sql.constraintPropagation.enabled"])
+    return spark
+
+
 _dirs: dict[str, str] = {}
 
 
@@ -103,3 +115,14 @@ def stage(df, name: str = "stage"):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def unstage(df) -> None:
+    """Delete the folder of a frame from ``stage`` once nothing reads it any more."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if root.split(":", 1)[-1].lstrip("/") in folder:  # never anything but scratch
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,0 +1,145 @@
+"""The commit log of a stored table: one small JSON file per published load.
+
+    <table>/loads/<load>/        rows of one load, never changed once written
+    <table>/commits/<seq>.json   one record per commit, numbered without gaps
+
+A load becomes visible, together with its run-log row, by the creation of its
+commit file: the record is written beside the log and renamed to the next
+number, a rename that fails if that number is taken. A writer that loses the
+race reads the log again and takes the following number, so sequence numbers
+and run ids are never given twice. Readers only open folders that the log
+names: a load that broke off leaves an unnamed folder, nothing else.
+
+The rename is atomic on HDFS and on local disks. Object stores without an
+atomic rename need one writer per table at a time.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from worklake.schema import COMMIT_SCHEMA, RUNS_SCHEMA
+
+MAX_ATTEMPTS = 100
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, on whatever store the path names; errors are raised."""
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, age in seconds) of the entries of a folder."""
+    p, fs = _path(spark, path)
+    now = dt.datetime.now().timestamp()
+    return [(s.getPath().getName(), now - s.getModificationTime() / 1000) for s in fs.listStatus(p)]
+
+
+def log_folder(table: str) -> str:
+    return f"{table.rstrip('/')}/commits"
+
+
+def load_folder(table: str, load: str) -> str:
+    return f"{table.rstrip('/')}/loads/{load}"
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return exists(spark, log_folder(table))
+
+
+def create_table(spark: SparkSession, table: str) -> None:
+    p, fs = _path(spark, log_folder(table))
+    fs.mkdirs(p)
+
+
+def commit_log(spark: SparkSession, table: str) -> DataFrame:
+    """All commit records; an absent table has none."""
+    if not table_exists(spark, table):
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return spark.read.schema(COMMIT_SCHEMA).option("mode", "FAILFAST").json(log_folder(table))
+
+
+def read_runs(spark: SparkSession, table: str) -> DataFrame:
+    """The run log: the run rows of the commit records."""
+    return commit_log(spark, table).where("run IS NOT NULL").select("run.*")
+
+
+def live_loads(spark: SparkSession, table: str) -> list[tuple[int, str]]:
+    """(seq, load) of the latest base and the loads after it, in order.
+
+    Compaction bounds their number; older records are not collected.
+    """
+    log = commit_log(spark, table).where("load IS NOT NULL")
+    base = log.where("covers IS NOT NULL").agg(F.max(F.struct("covers", "seq", "load"))).first()[0]
+    rest = log.where("covers IS NULL")
+    if base is not None:
+        rest = rest.where(F.col("seq") > base["covers"])
+    later = [(r["seq"], r["load"]) for r in rest.select("seq", "load").orderBy("seq").collect()]
+    # Sequence -1: older than any load that the base doesn't cover.
+    return ([(-1, base["load"])] if base is not None else []) + later
+
+
+def _numbers(spark: SparkSession, table: str) -> int:
+    names = [n for n, _ in children(spark, log_folder(table)) if n.endswith(".json") and n[0].isdigit()]
+    return max((int(n.removesuffix(".json")) for n in names), default=-1) + 1
+
+
+def publish(spark: SparkSession, table: str, record: Callable[[int], dict]) -> dict:
+    """Append ``record(seq)`` to the log under the next free number; returns it."""
+    create_table(spark, table)
+    jvm = spark.sparkContext._jvm
+    folder = log_folder(table)
+    for _ in range(MAX_ATTEMPTS):
+        seq = _numbers(spark, table)
+        row = {"seq": seq, **record(seq)}
+        draft, fs = _path(spark, f"{folder}/_{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        try:
+            out.write(bytearray((json.dumps(row, ensure_ascii=False, default=_text) + "\n").encode()))
+        finally:
+            out.close()
+        final, _ = _path(spark, f"{folder}/{seq:010d}.json")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(final), options)
+            return row
+        except Exception as e:
+            fs.delete(draft, False)
+            if "FileAlreadyExistsException" not in str(e):
+                raise
+    raise RuntimeError(f"{table}: no free commit number in {MAX_ATTEMPTS} attempts")
+
+
+def _text(value) -> str:
+    if isinstance(value, dt.datetime):
+        return value.isoformat(sep=" ", timespec="microseconds")
+    return value.isoformat()
+
+
+def next_run_id(spark: SparkSession, table: str) -> int:
+    top = read_runs(spark, table).agg(F.max("id")).first()[0]
+    return (top or 0) + 1
+
+
+__all__ = ["RUNS_SCHEMA", "children", "commit_log", "create_table", "delete", "exists", "live_loads", "load_folder",
+           "log_folder", "next_run_id", "publish", "read_runs", "table_exists"]

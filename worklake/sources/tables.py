@@ -1,25 +1,21 @@
-"""The table contract — create the stored tables empty if they are absent.
+"""The table contract — create the stored table empty if it is absent.
 
 Idempotent, called before every load. Parquet does not enforce NOT NULL or a
 primary key; those rules are enforced by the operators (reject routing and
-first-wins before the upsert) and verified by the DQ checks.
+first-wins before the upsert) and verified by the DQ checks. The run log is
+part of the table's commit log.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from worklake.operators.upsert import PARTITIONS, stored_schema, table_exists
-from worklake.schema import RUNS_SCHEMA
 
+from worklake.sources import commits
 
-def ensure_tables(spark: SparkSession, papers_path: str, runs_path: str) -> list[str]:
-    """Create missing tables; returns the names of the tables created."""
-    created = []
-    schema = stored_schema()
-    if not table_exists(spark, papers_path, schema):
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(*PARTITIONS).parquet(papers_path)
-        created.append("papers")
-    if not table_exists(spark, runs_path, RUNS_SCHEMA):
-        spark.createDataFrame([], RUNS_SCHEMA).write.mode("append").parquet(runs_path)
-        created.append("runs")
-    return created
+
+def ensure_tables(spark: SparkSession, table: str) -> list[str]:
+    """Create what is missing; returns the names of the tables created."""
+    if commits.table_exists(spark, table):
+        return []
+    commits.create_table(spark, table)
+    return ["papers", "runs"]

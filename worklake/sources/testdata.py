@@ -12,10 +12,14 @@ Fixed values (planted dirt, by order key k):
   primary topic name NULL if k%53=0; source name NULL if k%31=0
   countries_distinct_count one too high if k%89=0; cited_by_count -1 if k%113=0
   top-10% flag NULL if k%7=0
+  title '' if k%103=0; topic id with a trailing '/' if k%61=0; whole location NULL if k%59=0
+  fwci too large for its column if k%401=0; no updated date if k%37=0
   works with k%19=0 are delivered twice (the copy later, title + ' (dup)')
 Fixed values (mapping): order priority 1→gold 2→green 3→hybrid 4→NULL 5→closed;
   open access = status is not 'O'; top 1% = price > 480000; top 10% = price > 450000;
-  fwci = floor(price/10)/10000; percentile = floor(price/2)/200000.
+  fwci = floor(price/10)/10000; percentile = floor(price/2)/200000; topic score = (k%1000)/1000;
+  type by k%4, language by nation; retracted if k%29=0, full text if k%2=0; core source if k%3=0,
+  unknown if k%3=1; counts of references, institutions, locations = k%50, k%9, k%5 (each NULL if 0).
 """
 
 from __future__ import annotations
@@ -99,39 +103,39 @@ def _work_fields() -> list[str]:
         f"CASE WHEN k % 211 = 0 THEN NULL WHEN k % 223 = 0 THEN concat('{ID_BASE}X', {ks}) "
         f"ELSE concat('{ID_BASE}W', {ks}) END AS id",
         f"concat('{DOI_BASE}', {ks}) AS doi",
-        f"CASE WHEN k % 101 <> 0 THEN concat(c_name, ' / ', {ks}, "
+        f"CASE WHEN k % 101 = 0 THEN NULL WHEN k % 103 = 0 THEN '' ELSE concat(c_name, ' / ', {ks}, "
         f"CASE WHEN _copy = 1 THEN ' (dup)' ELSE '' END) END AS title",
         f"CASE WHEN k % 303 <> 0 THEN concat('Order ', {ks}) END AS display_name",
         "CASE WHEN k % 307 <> 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') END AS publication_date",
         "year(o_orderdate) + CASE WHEN k % 97 = 0 THEN 1 ELSE 0 END AS publication_year",
-        "'article' AS type",
-        "CAST(NULL AS STRING) AS language",
-        "false AS is_retracted",
-        "CAST(NULL AS BOOLEAN) AS has_fulltext",
+        "element_at(array('article', 'review', 'preprint', 'dataset'), CAST(k % 4 AS INT) + 1) AS type",
+        "CASE WHEN n_nationkey % 5 <> 0 THEN concat('l', CAST(n_nationkey AS STRING)) END AS language",
+        "k % 29 = 0 AS is_retracted",
+        "CASE WHEN k % 5 <> 0 THEN k % 2 = 0 END AS has_fulltext",
         "named_struct('is_oa', o_orderstatus <> 'O', "
         "'oa_status', CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'gold' WHEN '2' THEN 'green' "
         "WHEN '3' THEN 'hybrid' WHEN '5' THEN 'closed' END, "
-        "'oa_url', CAST(NULL AS STRING)) AS open_access",
-        "named_struct('landing_page_url', CAST(NULL AS STRING), 'source', named_struct("
+        f"'oa_url', CASE WHEN o_orderstatus = 'F' THEN concat('https://oa.example.org/', {ks}) END) AS open_access",
+        f"CASE WHEN k % 59 <> 0 THEN named_struct('landing_page_url', concat('https://example.org/', {ks}), 'source', named_struct("
         f"'id', concat('{ID_BASE}S', CAST(c_custkey AS STRING)), "
-        "'display_name', CASE WHEN k % 31 <> 0 THEN c_name END, 'type', 'journal', "
-        "'host_organization_name', CAST(NULL AS STRING), 'is_core', CAST(NULL AS BOOLEAN))) AS primary_location",
-        f"named_struct('id', concat('{ID_BASE}T', CAST(n_nationkey AS STRING)), "
-        "'display_name', CASE WHEN k % 53 <> 0 THEN n_name END, 'score', CAST(NULL AS DOUBLE), "
+        "'display_name', CASE WHEN k % 31 <> 0 THEN c_name END, 'type', CASE WHEN c_custkey % 2 = 0 THEN 'journal' ELSE 'repository' END, "
+        "'host_organization_name', r_name, 'is_core', CASE k % 3 WHEN 0 THEN true WHEN 2 THEN false END)) END AS primary_location",
+        f"named_struct('id', concat('{ID_BASE}T', CAST(n_nationkey AS STRING), CASE WHEN k % 61 = 0 THEN '/' ELSE '' END), "
+        "'display_name', CASE WHEN k % 53 <> 0 THEN n_name END, 'score', CAST((k % 1000) / 1000 AS DOUBLE), "
         f"'subfield', named_struct('id', concat('{SUBFIELD_BASE}', c_mktsegment), 'display_name', c_mktsegment), "
         "'field', named_struct('display_name', r_name), "
-        "'domain', named_struct('display_name', CAST(NULL AS STRING))) AS primary_topic",
+        "'domain', CASE WHEN n_nationkey % 2 = 0 THEN named_struct('display_name', concat('Domain ', r_name)) END) AS primary_topic",
         f"named_struct('value', floor({price} / 2) / 200000, 'is_in_top_1_percent', {price} > 480000, "
         f"'is_in_top_10_percent', CASE WHEN k % 7 <> 0 THEN {price} > 450000 END) "
         "AS citation_normalized_percentile",
         "authorships",
         "CASE WHEN k % 113 = 0 THEN -1 ELSE qty END AS cited_by_count",
-        f"floor({price} / 10) / 10000 AS fwci",
-        "CAST(NULL AS INT) AS referenced_works_count",
+        f"CASE WHEN k % 401 = 0 THEN 1e7 ELSE CAST(floor({price} / 10) / 10000 AS DOUBLE) END AS fwci",
+        "CAST(nullif(k % 50, 0) AS INT) AS referenced_works_count",
         "coalesce(n_countries, 0) + CASE WHEN k % 89 = 0 THEN 1 ELSE 0 END AS countries_distinct_count",
-        "CAST(NULL AS INT) AS institutions_distinct_count",
-        "CAST(NULL AS INT) AS locations_count",
-        "CAST(NULL AS STRING) AS updated_date",
+        "CAST(nullif(k % 9, 0) AS INT) AS institutions_distinct_count",
+        "CAST(nullif(k % 5, 0) AS INT) AS locations_count",
+        "CASE WHEN k % 37 <> 0 THEN date_format(o_orderdate, \"yyyy-MM-dd'T12:30:00'\") END AS updated_date",
     ]
 
 

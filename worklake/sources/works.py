@@ -1,11 +1,14 @@
 """Raw works I/O: JSON Lines landing folders and export envelopes.
 
-* ``read_works``   S1 — JSON Lines landing folder, explicit schema (no
-  inference pass), malformed lines kept in ``_corrupt_record``.
+* ``read_works``   S1 — JSON Lines landing folder. Every line is parsed whole
+  (``from_json`` on the line, scalar leaves as text), so that the record's
+  verdict is the same whatever columns a query selects; malformed lines are
+  kept in ``_corrupt_record``.
 * ``read_export``  S3 — envelope documents (one JSON object per file with a
-  ``papers`` array); ``posexplode`` keeps each paper's file position for the
-  first-wins order. One envelope is one task (not splittable); many
-  envelopes read in parallel — large exports use JSON Lines instead.
+  ``papers`` array); each paper's own text is parsed exactly as a landing
+  line, and ``posexplode`` keeps its position for the first-wins order. One
+  envelope is one task (not splittable); many envelopes read in parallel —
+  large exports use JSON Lines instead.
 * ``write_export`` S4 — papers as JSON Lines (parallel write) plus a one-row
   manifest with the envelope header; the papers are never gathered into one
   document or one task.
@@ -15,20 +18,22 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from worklake.schema import ENVELOPE_SCHEMA, ORDER_COLUMNS, WORK_SCHEMA
+from worklake.schema import ENVELOPE_SCHEMA, ORDER_COLUMNS, RAW_SCHEMA, WORK_SCHEMA
 
+CORRUPT = "_corrupt_record"
 LANDING_SCHEMA = T.StructType(
     [T.StructField("_src", T.StringType()), T.StructField("_pos", T.LongType())]
-    + WORK_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    + RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("fetched_at", T.StringType()),
+    T.StructField("filters", T.MapType(T.StringType(), T.StringType())),
     T.StructField("subfield", T.StructType([T.StructField("id", T.StringType()),
                                            T.StructField("display_name", T.StringType())])),
     T.StructField("date_range", T.StructType([T.StructField("from", T.StringType()),
@@ -38,34 +43,54 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+def parse_line(line: Column, schema: T.StructType = LANDING_SCHEMA) -> Column:
+    return F.from_json(line, schema, _PERMISSIVE)
+
+
+def works_of_lines(lines: DataFrame) -> DataFrame:
+    """Raw works of rows with ``value`` (a JSON record), ``_file`` and ``_row`` (its place)."""
+    parsed = lines.where(F.trim("value") != "").select("_file", "_row", parse_line(F.col("value")).alias("w"))
+    return parsed.select(F.coalesce("w._src", "_file").alias("_src"), F.coalesce("w._pos", "_row").alias("_pos"),
+                         *[F.col(f"w.{c}").alias(c) for c in (*RAW_SCHEMA.fieldNames(), CORRUPT)])
+
+
 def read_works(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON Lines works with first-wins order columns.
 
     Files written by ``write_export`` carry ``_src``/``_pos``; for other
     files the order falls back to (file name, row position within the file).
     """
-    df = (spark.read.schema(LANDING_SCHEMA)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-          .json(path))
-    return df.select(
-        F.coalesce(F.col("_src"), F.input_file_name()).alias("_src"),
-        F.coalesce(F.col("_pos"), F.monotonically_increasing_id()).alias("_pos"),
-        *WORK_SCHEMA.fieldNames(), "_corrupt_record")
+    paths = [path] if isinstance(path, str) else path
+    return works_of_lines(spark.read.text(paths).select(
+        "value", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_row")))
 
 
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Envelope documents, one row per file, with the file name as ``_src``."""
-    if isinstance(path, str) and not path.startswith(("hdfs:", "s3", "gs:", "abfs")):
-        if not os.path.exists(path):
-            raise FileNotFoundError(f"JSON file not found: {path}")
-    return (spark.read.schema(ENVELOPE_SCHEMA).option("multiLine", True).json(path)
-            .withColumn("_src", F.input_file_name()))
+    """Envelope documents, one row per file, with the file name as ``_src``.
+
+    A path that the session's file systems don't have is an error of the read.
+    """
+    paths = [path] if isinstance(path, str) else path
+    return (spark.read.option("wholetext", True).text(paths)
+            .select(F.input_file_name().alias("_src"), parse_line(F.col("value"), ENVELOPE_SCHEMA).alias("e"))
+            .select("_src", "e.*"))
+
+
+class EnvelopeError(ValueError):
+    """An envelope that is no JSON object of the expected shape."""
+
+
+def check_envelopes(envelopes: DataFrame) -> None:
+    bad = [r["_src"] for r in envelopes.where(F.col(CORRUPT).isNotNull()).select("_src").limit(5).collect()]
+    if bad:
+        raise EnvelopeError("unreadable export envelope(s): " + ", ".join(bad))
 
 
 def papers_of(envelopes: DataFrame) -> DataFrame:
     """S3: explode ``papers`` keeping the position; absent/NULL papers = no rows."""
-    return (envelopes.select("_src", F.posexplode("papers").alias("_pos", "p"))
-            .select("_src", F.col("_pos").cast("long"), "p.*"))
+    lines = envelopes.select(F.col("_src").alias("_file"), F.posexplode("papers").alias("_row", "value"))
+    # A paper's place is its place in the envelope, whatever the record says.
+    return works_of_lines(lines.withColumns({"_row": F.col("_row").cast("long"), "value": F.coalesce("value", F.lit("null"))}))
 
 
 def read_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -81,15 +106,23 @@ def write_export(works: DataFrame, out_dir: str, header: dict,
     """
     stamp = header.get("stamp") or dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     folder = f"{out_dir.rstrip('/')}/run={stamp}"
-    cols = [c for c in ORDER_COLUMNS if c in works.columns] + WORK_SCHEMA.fieldNames()
-    works.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/papers")
+    order = [c for c in ORDER_COLUMNS if c in works.columns]
+    counted = Observation("export")
+    # Counted while it is written: the works are computed once.
+    (works.select(json_line(order + WORK_SCHEMA.fieldNames()).alias("value"))
+     .observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").text(f"{folder}/papers"))
     spark = works.sparkSession
-    count = works.count()
+    subfield, window = header.get("subfield") or {}, header.get("date_range") or {}
     manifest = {
         "fetched_at": header.get("fetched_at"),
+        "filters": {
+            "primary_topic.subfield.id": subfield.get("id"),
+            "from_publication_date": window.get("from"),
+            "to_publication_date": window.get("to"),
+        },
         "subfield": header.get("subfield"),
         "date_range": header.get("date_range"),
-        "count": count,
+        "count": counted.get["n"],
         "duplicates_skipped": duplicates_skipped or 0,
     }
     (spark.createDataFrame([json.dumps(manifest, ensure_ascii=False)], "string")
@@ -97,6 +130,26 @@ def write_export(works: DataFrame, out_dir: str, header: dict,
     return folder
 
 
+def _leaves(kind: T.DataType, wanted: type) -> set[str]:
+    if isinstance(kind, T.ArrayType):
+        return _leaves(kind.elementType, wanted)
+    if not isinstance(kind, T.StructType):
+        return set()
+    return set().union(*[{f.name} if isinstance(f.dataType, wanted) else _leaves(f.dataType, wanted) for f in kind.fields])
+
+
+def json_line(columns: list[str]) -> Column:
+    """The works' JSON line. Text leaves that are a number or boolean, where the schema has
+    one, are written as such; any other text stays text, so that reading the line back
+    gives the same verdict. (Quotes inside a value are escaped and never match.)
+    """
+    line = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    numbers = "|".join(sorted(_leaves(WORK_SCHEMA, T.NumericType)))
+    flags = "|".join(sorted(_leaves(WORK_SCHEMA, T.BooleanType)))
+    line = F.regexp_replace(line, f'"({numbers})":"(-?(?:0|[1-9][0-9]*)(?:\\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)"', '"$1":$2')
+    return F.regexp_replace(line, f'"({flags})":"(true|false)"', '"$1":$2')
+
+
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(f"{folder.rstrip('/')}/manifest")
 
@@ -113,30 +166,28 @@ def subfields(raw: DataFrame) -> DataFrame:
 
 
 class SubfieldLookupError(RuntimeError):
-    pass
+    """The searched subfield isn't in the dimension; ``similar`` names some that contain the term."""
 
+    def __init__(self, term: str, similar: list[str]) -> None:
+        self.term, self.similar = term, similar
+        known = ", ".join(repr(s) for s in similar) if similar else "none"
+        super().__init__(f"subfield {term!r} is unknown; names that contain it: {known}")
 
-def lookup_subfield(dim: DataFrame, term: str, candidates: int = 25) -> DataFrame:
-    """Candidates matching ``term`` case-insensitively (substring search,
-    up to ``candidates``, ordered by name), then the exact case-insensitive
-    match. Returns the matching row(s) as a DataFrame.
-    """
-    cand = (dim.filter(F.lower("display_name").contains(F.lower(F.lit(term))))
-            .orderBy("display_name", "id").limit(candidates))
-    return cand.filter(F.lower("display_name") == F.lower(F.lit(term)))
-
-
-def resolve_subfield(dim: DataFrame, term: str, candidates: int = 25) -> dict:
-    """Driver-side lookup with the source's two errors (no candidates / no exact)."""
-    cand = (dim.filter(F.lower("display_name").contains(F.lower(F.lit(term))))
-            .orderBy("display_name", "id").limit(candidates).collect())
-    if not cand:
-        raise SubfieldLookupError(f"No subfields found for '{term}'")
-    for r in cand:
-        if (r["display_name"] or "").lower() == term.lower():
-            return r.asDict()
-    raise SubfieldLookupError(
-        f"No exact subfield match for '{term}'. Top result was '{cand[0]['display_name']}'.")
+
+def lookup_subfield(dim: DataFrame, term: str) -> DataFrame:
+    """The rows whose name equals ``term`` without regard to case, over the whole dimension."""
+    return dim.filter(F.lower("display_name") == F.lower(F.lit(term))).select("id", "display_name")
+
+
+def resolve_subfield(dim: DataFrame, term: str, similar: int = 5) -> dict:
+    """``lookup_subfield`` on the driver: the match with the smallest id, or an error that names
+    up to ``similar`` subfields containing the term."""
+    found = lookup_subfield(dim, term).orderBy("id").first()
+    if found is not None:
+        return found.asDict()
+    names = (dim.filter(F.lower("display_name").contains(F.lower(F.lit(term))))
+             .select("display_name").distinct().orderBy("display_name").limit(similar).collect())
+    raise SubfieldLookupError(term, [r[0] for r in names])
 
 
 def source_filter(raw: DataFrame, subfield_id: str, from_date, to_date) -> DataFrame:

@@ -1,6 +1,6 @@
 """Periodic, idempotent re-ingest of new landing files.
 
-``readStream`` over a JSON Lines landing folder (explicit schema), one
+``readStream`` over the lines of a JSON Lines landing folder, one
 micro-batch per ``max_files_per_trigger`` files (the source's write slices),
 and ``foreachBatch`` running the batch operators: flatten → reject →
 first-wins → keyed upsert. ``trigger(availableNow=True)`` processes what has
@@ -18,30 +18,27 @@ from pyspark.sql import functions as F
 
 from worklake.operators import dedup, upsert
 from worklake.operators.flatten import flatten
-from worklake.schema import WORK_SCHEMA
-from worklake.sources.works import LANDING_SCHEMA
+from worklake.sources.works import works_of_lines
+
+#: Files of a micro-batch: each one is a load, so few large ones are better than many small.
+FILES_PER_TRIGGER = 256
 
 
 def _with_order(batch: DataFrame) -> DataFrame:
-    """First-wins order: written ``_src``/``_pos`` or (file, position)."""
-    return batch.select(
-        F.coalesce(F.col("_src"), F.input_file_name()).alias("_src"),
-        F.coalesce(F.col("_pos"), F.monotonically_increasing_id()).alias("_pos"),
-        *WORK_SCHEMA.fieldNames(), "_corrupt_record")
+    """Lines parsed as in a batch; first-wins order: written ``_src``/``_pos`` or (file, position)."""
+    return works_of_lines(batch.select("value", "_file", F.monotonically_increasing_id().alias("_row")))
 
 
 def start_incremental_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                             loaded_at: dt.datetime | None = None, max_files_per_trigger: int = 1,
-                             n_buckets: int = upsert.DEFAULT_BUCKETS, available_now: bool = True):
+                             loaded_at: dt.datetime | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER,
+                             available_now: bool = True):
     """Start the stream; returns the StreamingQuery."""
-    source = (spark.readStream.schema(LANDING_SCHEMA)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .json(landing))
+    source = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(landing)
+              .select("value", F.col("_metadata.file_path").alias("_file")))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         inc = dedup.batch_dedup(flatten(_with_order(batch)))
-        upsert.upsert_table(batch.sparkSession, table, inc, loaded_at, n_buckets)
+        upsert.upsert_table(batch.sparkSession, table, inc, loaded_at)
 
     writer = source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -49,11 +46,9 @@ def start_incremental_ingest(spark: SparkSession, landing: str, table: str, chec
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                       loaded_at: dt.datetime | None = None, max_files_per_trigger: int = 1,
-                       n_buckets: int = upsert.DEFAULT_BUCKETS) -> None:
+                       loaded_at: dt.datetime | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER) -> None:
     """Run the available-now stream to completion."""
-    q = start_incremental_ingest(spark, landing, table, checkpoint, loaded_at,
-                                 max_files_per_trigger, n_buckets)
+    q = start_incremental_ingest(spark, landing, table, checkpoint, loaded_at, max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
