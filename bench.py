@@ -88,7 +88,7 @@ def main() -> None:
     timed("trend_7d", lambda: reports.trend(papers, FULL).collect())
     timed("trend_kpis", lambda: reports.trend_kpis(papers, FULL).collect())
     timed("dq_summary", lambda: dq.summary(papers, runs, checks).collect())
-    timed("dq_samples", lambda: dq.samples(papers, checks).collect())
+    timed("dq_samples", lambda: dq.samples(papers, checks, runs=runs).collect())
     timed("e2e_top_topics", lambda: QUERIES["top_topics"](spark, sf_dir).collect())
     timed("e2e_upsert_merge", lambda: noop(QUERIES["upsert_merge"](spark, sf_dir)))
 

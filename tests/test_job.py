@@ -59,15 +59,15 @@ def test_run_from_export_idempotent(spark, landing):
     root, folder = landing
     cfg = _cfg(root, "c", run_data_quality=False)
     r1 = job.run_from_export(spark, folder, cfg).ingest
-    assert (r1.upserted, r1.skipped_invalid, r1.duplicates_in_file) == (1484, 17, 78)
+    assert (r1.upserted, r1.skipped_invalid, r1.duplicates_in_file) == (1481, 20, 78)
     first = sorted(tuple(r) for r in upsert.read_table(spark, cfg.table).collect())
     r2 = job.run_from_export(spark, folder, cfg).ingest
     again = sorted(tuple(r) for r in upsert.read_table(spark, cfg.table).collect())
     assert r2.ingest_run_id == r1.ingest_run_id + 1
-    assert again == first and len(again) == 1484  # ingested_at kept from the first load
+    assert again == first and len(again) == 1481  # ingested_at kept from the first load
 
 
 def test_main_cli(spark, landing, capsys):
     root, folder = landing
     rc = job.main(["--table", str(root / "d" / "papers"), "--from-export", folder, "--skip-dq"])
-    assert rc == 0 and "upserted 1484" in capsys.readouterr().out
+    assert rc == 0 and "upserted 1481" in capsys.readouterr().out

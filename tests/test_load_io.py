@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from rawworks import B, frame, work
 from worklake.operators import dedup, runlog, upsert
@@ -71,10 +71,14 @@ def test_envelope_read_keeps_positions(spark, tmp_path):
     assert [r["_pos"] for r in raw.orderBy("_pos").collect()] == [0, 1, 2]
     kept = dedup.batch_dedup(flatten(raw)).orderBy("openalex_id").collect()
     assert [(r["openalex_id"], r["title"]) for r in kept] == [("W1", "T"), ("W2", "T")]
-    header = runlog.header_from_envelope(W.read_envelopes(spark, str(p)))
+    header = runlog.envelope_headers(W.read_envelopes(spark, str(p))).first()
     assert header["subfield_id"] == "S1" and header["from_date"] == dt.date(2026, 6, 12)
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         W.read_export(spark, str(tmp_path / "missing.json"))
+    bad = tmp_path / "bad.json"
+    bad.write_text('{"papers": [')
+    with pytest.raises(W.EnvelopeError):
+        W.check_envelopes(W.read_envelopes(spark, str(bad)))
     empty = tmp_path / "empty.json"
     empty.write_text(json.dumps({"fetched_at": "2026-06-15T10:00:00", "papers": None}))
     assert W.read_export(spark, str(empty)).count() == 0
@@ -230,7 +234,7 @@ def test_writer_count_follows_the_data(spark, tmp_path):
         rows = spark.range(40_000).selectExpr(
             *[("concat('W', id)" if c == "openalex_id" else "concat('t', sha2(CAST(id AS STRING), 256))" if c == "title"
                else f"CAST(NULL AS {upsert.PAPERS_SCHEMA[c].dataType.simpleString()})") + f" AS {c}" for c in upsert.FLAT_COLUMNS])
-        upsert.upsert_table(spark, path, rows.repartition(1), T1)
+        upsert.upsert_table(spark, path, rows.repartition(16), T1)
         assert len(_files(path)) >= 8
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -46,16 +46,8 @@ def main() -> None:
     state = reports.FilterState.make("1998-01-01", "1998-03-31", ["NATION_1", "NATION_7"], True)
     checks = dq.default_checks(D.EXPECTED_SUBFIELD, D.AS_OF)
     runs = D.runs_of(raw)
-    # upsert internals for a second snapshot: probe, then the unit rewrite
-    from pyspark.sql import functions as F
-    from worklake.operators.joins import broadcast_if_known_small
-    batch = dedup.batch_dedup(flatten(D.second_snapshot(D.in_window(raw, D.BATCH2)))).select(upsert.KEY)
-    probe = papers.select(upsert.KEY, upsert.DAY, upsert.BUCKET).join(
-        broadcast_if_known_small(batch, batch.count(), 2_000_000), upsert.KEY, "left_semi")
-    units = [(r[0], r[1]) for r in probe.select(upsert.DAY, upsert.BUCKET).distinct().collect()][:4]
-    old_part = papers.filter(F.col(upsert.DAY).isin(sorted({d for d, _ in units}))
-                             & F.col(upsert.BUCKET).isin(sorted({b for _, b in units})))
     updates = dedup.batch_dedup(flatten(D.second_snapshot(D.in_window(raw, D.BATCH2))))
+    upsert.upsert_table(spark, table, updates, D.LOAD2_TS)
     flows = {
         "binding: nested works from the test tables": D.raw_works(spark, sf_dir),
         "flatten + reject + first-wins (batch M2)": dedup.batch_dedup(flatten(raw)),
@@ -67,8 +59,7 @@ def main() -> None:
         "trend (J5 W1)": reports.trend(papers, FULL),
         "DQ summary (Q12, fused Q2-Q11 + Q1)": dq.summary(papers, runs, checks),
         "DQ samples (T5)": dq.samples(papers, checks),
-        "upsert probe: stored keys vs. batch keys (M3)": probe,
-        "upsert unit rewrite: old units LEFT JOIN updates (M3)": upsert.merge_in_place(old_part, updates),
+        "stored table after a second load (M3)": upsert.read_table(spark, table),
     }
     for name, df in flows.items():
         print(f"### {name}\n\n```\n{tree(df)}\n```\n")

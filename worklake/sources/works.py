@@ -71,7 +71,7 @@ def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     A path that the session's file systems don't have is an error of the read.
     """
     paths = [path] if isinstance(path, str) else path
-    return (spark.read.option("wholetext", True).text(paths)
+    return (spark.read.text(paths, wholetext=True)
             .select(F.input_file_name().alias("_src"), parse_line(F.col("value"), ENVELOPE_SCHEMA).alias("e"))
             .select("_src", "e.*"))
 
