@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from worklake.llm.common import text_or_empty
 
 SAMPLE_PAGES = 400
-TREES, DEPTH, SEED = 20, 4, 11
+TREES, DEPTH, STEP, SEED = 24, 5, 0.3, 11
 #: Log odds that a mixed element must win by.
 SPLIT = 1.5
 
@@ -404,7 +404,7 @@ def training_page(long: list[str], short: list[str], draw: np.random.Generator)
                 f"<p>{text} <a href='/l'>{own(pick(short))}</a> {own(pick(short))}</p>",
                 f"<figure><figcaption>{own(pick(short))}</figcaption></figure>")))
         for extra in (advert, side, share, notice, form):
-            if some(0.12):
+            if some(0.2):
                 parts.insert(int(draw.integers(len(parts) + 1)), extra())
         body = "".join(parts)
         return pick((f"<article>{body}</article>",) * 4 + (f"<main>{body}</main>", f"<div>{body}</div>", body,
@@ -466,7 +466,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "pag
     try:
         if rows.select("label").distinct().count() < 2:
             return None
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32).fit(rows)
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=32).fit(rows)
     finally:
         rows.unpersist()
     return Trees.of_model(model)
