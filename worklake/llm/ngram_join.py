@@ -10,9 +10,10 @@ A text's set holds the 64-bit hashes of its distinct word n-grams. Steps:
 3. Star round: within a shared n-gram and size band every set is paired with
    the smallest id; of these the one met most often is intersected exactly. Groups of
    copies collapse here into few components, in linear work.
-4. Tiles: the n-grams whose sets are still in different components form tiles of
-   at most ``TILE`` sets of neighbouring size bands (larger groups are split into
-   pairs of blocks). A hashed bitmap per set bounds the overlap from above:
+4. Tiles: n-grams whose sets are still in different components, with the same
+   smallest id, form one tile per size band (copies share most of their n-grams: one
+   tile holds what each of them would hold again). Tiles of more than ``TILE`` sets
+   are split into pairs of blocks. A hashed bitmap per set bounds the overlap from above:
    |x & y| <= |x| - popcount(bits(x) & ~bits(y)), and the same for y. Pairs of
    different components that stay possible are intersected exactly.
 5. Connected components over all links.
@@ -33,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from worklake.llm.common import release, stage, text_or_empty
+from worklake.llm.common import fresh, release, stage, text_or_empty
 from worklake.llm.graph import components
 
 #: Rows of the table of frequent n-grams, and how often one occurs in a task's chunk to be told of.
 FREQUENT_ROWS, TOLD, FREQUENT = 1 << 17, 3, 12
 #: Sets in one block of a tile.
 TILE = 768
+#: Up to so many ids (32 MB at 16 bytes) go to the texts; beyond, texts are shuffled to the ids.
+SENT_IDS = 2_000_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,7 +103,7 @@ def frequent(texts: DataFrame, n: int, rows: int = FREQUENT_ROWS, least: int = F
             for t in batch.column(0):
                 parts.append(ngrams(t.as_py(), n))
                 held += parts[-1].size
-                if held > 4_000_000:
+                if held > 1_500_000:
                     yield told(parts)
                     parts, held = [], 0
         if parts:
@@ -152,6 +155,9 @@ def band_of(size, percent: int):
 def set_arrays(texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, members as bytes) of the documents named in ``ids`` (column id), with ids' other columns."""
     extra = [c for c in ids.columns if c != "id"]
+    ids = stage(ids, "ids")
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
     found = texts.join(ids, F.col("doc_id") == F.col("id")).select("id", *extra, "text")
 
     def run(batches):
@@ -222,7 +228,7 @@ def possible(bx, sx, by, sy, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
-TILE_COLUMNS = ("token", "band", "part_x", "part_y", "side", "below", "id", "size", "component", "bits")
+TILE_COLUMNS = ("hub", "band", "part_x", "part_y", "side", "below", "id", "size", "component", "bits")
 
 
 def compare_tile(table: dict, one_block: bool, percent: int) -> np.ndarray:
@@ -317,12 +323,15 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             "token", "t.band", "t.below", "id", "size", "component")
     open_tiles = (spread.groupBy("token", "band").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count(F.lit(1)).alias("n"), F.min("below").alias("home"))
-        .where("low < high AND home = 0").select("token", "band", "n"))
-    rows = spread.join(open_tiles, ["token", "band"])
-    rows = stage(rows.withColumn("parts", F.ceil(F.col("n") / tile).cast("int"))
-                 .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-                 .select("token", "band", "below", "id", "size", "component", "parts", "part"), "open")
+        F.min("below").alias("home"), F.min("id").alias("hub"))
+        .where("low < high AND home = 0").select("token", "band", "hub"))
+    # Tiles with one hub are one: a set is in it once, not once per n-gram.
+    rows = stage(spread.join(open_tiles, ["token", "band"])
+                 .groupBy("hub", "band", "below", "id").agg(F.first("size").alias("size"), F.first("component").alias("component")),
+                 "tiles")
+    parts = rows.groupBy("hub", "band").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
+    rows = stage(rows.join(parts, ["hub", "band"])
+                 .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "open")
     release(spark)
 
     def maps_of(batches):
@@ -347,7 +356,7 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         F.least(q, F.col("part")).alias("part_x"), F.greatest(q, F.col("part")).alias("part_y"),
         (q < F.col("part")).cast("int").alias("side")))
     placed = (rows.join(maps, ["id", "band"]).withColumn("spot", F.explode(spots))
-              .select("token", "band", "spot.part_x", "spot.part_y", "spot.side", "below", "id", "size",
+              .select("hub", "band", "spot.part_x", "spot.part_y", "spot.side", "below", "id", "size",
                       "component", "bits"))
     more = stage(verify(texts, stage(tile_pairs(placed, percent), "possible"), n, percent), "links")
     release(spark)
@@ -364,5 +373,6 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "do
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are the smallest id of their component."""
     ids = link_components(docs, n, percent, id_col, text_col)
-    gone = ids.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy_of_lower_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_copy_of_lower_id"], "left_anti")
+    key = fresh("copy_id", docs)
+    gone = ids.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(key), "left_anti")
