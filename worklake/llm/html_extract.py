@@ -227,9 +227,9 @@ def features_of(order: list[Node]) -> np.ndarray:
                     row[n_tags + k] = row[first + n_up + k] = 1
         chars, links, tags, points, own, inputs, paragraphs = node.stats
         before, after, likes = node.place
-        row[last:] = (np.log1p(chars), links / max(1, chars), min(chars / tags, 500), min(100 * points / max(1, chars), 20),
-                      own / max(1, chars), min(node.depth, 20), min(before, 20), min(after, 20), min(likes, 20),
-                      chars / total, min(inputs, 5), min(paragraphs, 30))
+        row[last:] = (min(np.log1p(chars), 8.0), links / max(1, chars), min(chars / tags, 300), min(100 * points / max(1, chars), 20),
+                      own / max(1, chars), min(node.depth, 8), min(before, 8), min(after, 8), min(likes, 8),
+                      chars / total, min(inputs, 3), min(paragraphs, 8))
     return out
 
 
@@ -275,26 +275,33 @@ class Trees:
 
 
 def decode(order: list[Node], odds) -> list[bool]:
-    """Per visible element whether its own text is kept."""
+    """Per visible element whether its own text is kept.
+
+    Inline elements within text (links, emphasis) share the fate of the text around them.
+    """
     n = len(order)
     total, best, state = [0.0] * n, [0.0] * n, [0] * n  # state 1: in, -1: out, 0: mixed
+    side = [True] * n  # of the own text, where mixed
     kids: list[list[int]] = [[] for _ in range(n)]
     for node in order[1:]:
         kids[node.parent.index].append(node.index)
+    glued = [bool(i and node.tag in INLINE and node.parent.stats[4]) for i, node in enumerate(order)]
     for i in range(n - 1, -1, -1):
         node = order[i]
-        own = float(odds[i]) if node.stats[0] else 0.0
+        own = float(odds[i]) if node.stats[0] and i else 0.0  # the root says nothing about its parts
         total[i] = own + sum(total[k] for k in kids[i])
-        mixed = (abs(own) if node.stats[4] else 0.0) + sum(best[k] for k in kids[i]) - SPLIT
+        text = own + sum(total[k] for k in kids[i] if glued[k])
+        side[i] = i == 0 or text > 0
+        mixed = (abs(text) if node.stats[4] else 0.0) + sum(best[k] for k in kids[i] if not glued[k]) - SPLIT
         best[i] = max(total[i], -total[i], mixed)
         state[i] = 1 if best[i] == total[i] else -1 if best[i] == -total[i] else 0
     keep = [False] * n
     given = [0] * n
     for i in range(n):
         s = given[i] or state[i]
-        keep[i] = s > 0 or (s == 0 and odds[i] > 0)
+        keep[i] = s > 0 or (s == 0 and side[i])
         for k in kids[i]:
-            given[k] = s
+            given[k] = (1 if keep[i] else -1) if glued[k] else s
     return keep
 
 
@@ -395,8 +402,9 @@ def training_page(long: list[str], short: list[str], draw: np.random.Generator)
     def article():
         own = lambda text: _MARK + esc(text)
         parts = [f"<h1>{own(pick(short + long)[:60])}</h1>"] if some(0.8) else []
-        for _ in range(int(draw.integers(1, 12))):
-            text = own(pick(long + short) if some(0.8) else pick(short))
+        for _ in range(int(draw.integers(1, 12) if some(0.8) else draw.integers(12, 40))):
+            text = own(" ".join(pick(long) for _ in range(int(draw.integers(2, 5)))) if some(0.15)
+                       else pick(long + short) if some(0.8) else pick(short))
             parts.append(pick((f"<p>{text}</p>",) * 8 + (
                 f"<p><b>{text}<br><p>{own(pick(long))}</p>", f"<h2>{own(pick(short))}</h2>", f"<blockquote>{text}</blockquote>",
                 f"<ul><li>{text}</li><li>{own(pick(short))}</li></ul>", f"<div>{text}</div>", f"<pre>{text}</pre>",
@@ -407,7 +415,7 @@ def training_page(long: list[str], short: list[str], draw: np.random.Generator)
             if some(0.2):
                 parts.insert(int(draw.integers(len(parts) + 1)), extra())
         body = "".join(parts)
-        return pick((f"<article>{body}</article>",) * 4 + (f"<main>{body}</main>", f"<div>{body}</div>", body,
+        return pick((f"<article>{body}</article>",) * 4 + (f"<main>{body}</main>", f"<div>{body}</div>", f"<div>{body}</div>", body,
                     named("div", ("article-body", "post-content", "entry-content", "story", "content", "main"), body),
                     named("section", ("post", "article", "content"), body),
                     f"<article><header>{parts[0]}</header>{''.join(parts[1:])}</article>",
@@ -466,7 +474,8 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "pag
     try:
         if rows.select("label").distinct().count() < 2:
             return None
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=32).fit(rows)
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, maxBins=32,
+                              minInstancesPerNode=8).fit(rows)
     finally:
         rows.unpersist()
     return Trees.of_model(model)
