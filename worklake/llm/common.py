@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklake.session import ensure_checkpoint_dir, stage
 
-__all__ = ["ensure_checkpoint_dir", "folder", "fresh", "read_table", "release", "stage", "text_or_empty", "tree_sum"]
+__all__ = ["ensure_checkpoint_dir", "folder", "fresh", "read_table", "release", "small_batches", "stage", "text_or_empty", "tree_sum"]
 
 #: Python source of the white space that separates words: space and 0x09-0x0D.
 #: ``bytes.split()`` splits at exactly these bytes.
@@ -22,6 +22,18 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Rows of a batch between Spark and Python: long texts, and arrays made of them, stay a few MB.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the session's Arrow batches by ``BATCH_ROWS`` (a smaller bound stays); returns ``df``."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of steps that are over.
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import text_or_empty
+from worklake.llm.common import small_batches, text_or_empty
 
 ERROR_RATE, MIN_WORDS = 0.08, 5
 BLOCK_CHARS = 4_000_000
@@ -144,7 +144,7 @@ def joined(starts: list[int], budget: int) -> Iterator[tuple[int, int]]:
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, id_col: str = "item_id",
            text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items in bounded lists, one at a time."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), text_or_empty(text_col).alias("text"))
+    items = small_batches(benchmark).select(F.col(id_col).cast("long").alias("item_id"), text_or_empty(text_col).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // (block_chars // 2)) if chars > block_chars else 1
     for k in range(n):

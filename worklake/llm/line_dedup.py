@@ -22,7 +22,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import fresh, release, stage, text_or_empty
+from worklake.llm.common import fresh, release, small_batches, stage, text_or_empty
 
 #: Words of an aligned block at least, for it to be deleted.
 MIN_WORDS = 8
@@ -105,7 +105,7 @@ def document_key(id_col: str, text_col: str) -> Column:
 def copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(key, numbers, sources): the line numbers to delete per document, and the ids they were copied from."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     lines = (docs.where(F.col(id_col).isNotNull())
              .select(document_key(id_col, text_col).alias("key"), F.posexplode(worded_lines(text_or_empty(text_col))))
              .select("key", F.col("pos").alias("number"), F.xxhash64("col", F.length("col")).alias("line"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from worklake.llm.common import fresh, release, stage, text_or_empty
+from worklake.llm.common import fresh, release, small_batches, stage, text_or_empty
 from worklake.llm.graph import components
 
 #: Rows of the table of frequent n-grams, and how often one occurs in a task's chunk to be told of.
@@ -210,9 +210,9 @@ def bitmap(members: np.ndarray, bits: int) -> np.ndarray:
 
 
 def bits_of_band(band: int, percent: int) -> int:
-    """Bits of the bitmaps of a band: four to eight per member, alike for a band and its upper neighbour."""
+    """Bits of the bitmaps of a band: two to four per member, alike for a band and its upper neighbour."""
     size = (100 / percent) ** (band + 1)
-    return int(min(max(256, 1 << math.ceil(math.log2(4 * size))), 1 << 16))
+    return int(min(max(256, 1 << math.ceil(math.log2(2 * size))), 1 << 16))
 
 
 def possible(bx, sx, by, sy, percent: int) -> np.ndarray:
@@ -294,13 +294,13 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     text_col: str = "text", tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; sets link at ``percent`` Jaccard."""
     spark = docs.sparkSession
-    texts = _texts(docs, id_col, text_col)
+    texts = _texts(small_batches(docs), id_col, text_col)
     signed = stage(signatures(texts, n, percent, frequent(texts, n)), "signatures")
     known = signed.where("size > 0 AND doc_id IS NOT NULL")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = (known.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
             .select(F.col("doc_id").alias("id"), "size", "prefix").dropDuplicates(["id"]))
-    met = (reps.select("id", "size", F.explode("prefix").alias("token"))
+    met = (reps.select("id", "size", F.posexplode("prefix").alias("pos", "token"))
            .withColumn("met", F.count(F.lit(1)).over(W.partitionBy("token"))).where("met > 1").drop("met")
            .withColumn("band", band_of(F.col("size"), percent)))
     met = stage(met, "met")
@@ -316,10 +316,14 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     stars_of = components(links)
 
     labelled = stage(met.join(stars_of, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
-    # A tile holds the sets of its band (home) and of the band below.
-    spread = labelled.select("token", "id", "size", "component", F.explode(F.array(
-        F.struct(F.col("band"), F.lit(0).alias("below")),
-        F.struct((F.col("band") + 1).alias("band"), F.lit(1).alias("below")))).alias("t")).select(
+    # A tile holds the sets of its band (home) and of the band below, as far as its n-gram may be the
+    # first that they share with a set of the band: what stands before it in the order is then not shared.
+    own = F.struct(F.col("band"), F.lit(0).alias("below"))
+    least = F.floor(F.pow(F.lit(100 / percent), F.col("band") + 1) * (1 - 1e-8))
+    reaches = (100 + percent) * (F.col("size") - F.col("pos")) >= percent * (F.col("size") + least)
+    above = F.struct((F.col("band") + 1).alias("band"), F.lit(1).alias("below"))
+    spread = labelled.select("token", "id", "size", "component", F.explode(
+        F.when(reaches, F.array(own, above)).otherwise(F.array(own))).alias("t")).select(
             "token", "t.band", "t.below", "id", "size", "component")
     open_tiles = (spread.groupBy("token", "band").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),

@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import stage, text_or_empty
+from worklake.llm.common import small_batches, stage, text_or_empty
 
 WINDOW = 1024
 #: Remainders in a shard: enough for full sequences, little memory.
@@ -141,7 +141,7 @@ def cut_documents(docs: DataFrame, encode_with: tuple, window: int = WINDOW, end
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return (small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
             .withColumn("salt", F.xxhash64("doc_id", "text")).mapInArrow(run, PIECES))
 
 

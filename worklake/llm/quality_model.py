@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import stage, text_or_empty, tree_sum
+from worklake.llm.common import small_batches, stage, text_or_empty, tree_sum
 
 FEATURES = ("words", "word_length", "capitals", "symbols", "bars", "exclamations", "digits", "points",
             "distinct_words", "distinct_pairs", "stutter", "top_word", "line_words", "repeated_lines",
@@ -73,7 +73,7 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             table = table.reshape(batch.num_rows, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, table.T)], names)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return (small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
             .mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)))
 
 
