@@ -74,6 +74,7 @@ def main() -> None:
     timed("ingest_load", ingest)
     timed("ingest_counters", lambda: dedup.ingest_counters(landing).collect())
     timed("upsert_batch2", second_batch)
+    timed("compact", lambda: upsert.compact(spark, table))  # reports then read one base
 
     papers = upsert.read_table(spark, table)
     runs = spark.read.parquet(runs_path)
