@@ -58,3 +58,46 @@ def test_query_leaves_no_long_repeated_line(spark, sf_small):
     whole = {x.strip() for t in before.values() for x in t.split("\n")}
     left = {x.strip() for r in rows for x in r.text.split("\n")}
     assert whole | {""} == left | {""}  # every line is still there once
+
+
+def lines_of(text):
+    return [x.strip(L._SPACES) for x in text.split("\n") if x.strip(L._SPACES)]
+
+
+def expected(docs, min_words=L.MIN_WORDS):
+    """Lines in a block of at least min_words words that an earlier document holds, by brute force."""
+    out, blocks = {}, set()
+    for doc, text in sorted(docs):
+        lines, gone, own = lines_of(text), set(), set()
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                if len(" ".join(lines[i:j]).split()) >= min_words:
+                    own.add(tuple(lines[i:j]))
+                    if tuple(lines[i:j]) in blocks:
+                        gone.update(range(i, j))
+        blocks |= own
+        out[doc] = sorted(gone)
+    return out
+
+
+def removed(spark, docs):
+    rows = L.copied_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    return {doc: [] for doc, _ in docs} | {r.doc_id: list(r.numbers) for r in rows}
+
+
+def test_block_of_short_lines_held_first_by_others(spark):
+    block = ["one two three", "four five six", "seven eight nine"]
+    docs = [(k, f"own {k}\n{line}\nend {k}") for k, line in enumerate(block)]
+    docs += [(8, "\n".join(["eighth", *block])), (9, "\n".join([*block, "ninth"]))]
+    assert removed(spark, docs) == expected(docs) == {0: [], 1: [], 2: [], 8: [], 9: [0, 1, 2]}
+
+
+def test_runs_find_every_shared_block(spark):
+    draw = random.Random(5)
+    words = [" ".join(f"w{k}" for _ in range(draw.randint(1, 5))) for k in range(12)] + [LINE.format(k) for k in range(4)]
+    docs = [(k, "\n".join(draw.choice(words) for _ in range(draw.randint(0, 25)))) for k in range(60)]
+    want = expected(docs)
+    assert any(want.values()) and removed(spark, docs) == want
+    for k, later in docs:  # an alignment with any earlier document finds a part of it
+        sides = [[(n, x, len(x.split())) for n, x in enumerate(lines_of(t))] for t in [later, *(t for i, t in docs if i < k)]]
+        assert all(set(L.copied(first, sides[0])) <= set(want[k]) for first in sides[1:])

@@ -1,12 +1,17 @@
-"""Line deduplication by pairwise alignment.
+"""Line deduplication by shared blocks.
 
 A line is a document's line with a word, without white space at its ends. A
-document meets the first holder (the earliest document) of each of its repeated
-lines: the rarer a line, the surer a copy, but no line is too frequent to be
-followed, as each proposes a single partner and work stays in proportion to
-the lines. Each such pair is aligned by patience diff over the lines that
-both hold, and aligned blocks (consecutive in both) of at least ``min_words``
-words are deleted from the later document. The first holder keeps its lines.
+block is a sequence of consecutive lines. Of every document those lines are
+deleted that lie in a block of at least ``min_words`` words which an earlier
+document holds, too, wherever and however often either holds it.
+
+Such a block is a union of its shortest runs: from each of its lines the
+shortest run of ``min_words`` words onwards, and the shortest one back. All
+shortest runs of all documents are hashed and each meets its first holder (the
+earliest document), so a block is found whatever documents hold its single
+lines. A line begins or ends two runs, of at most ``min_words`` lines each: work
+stays in proportion to the lines, and no line is too frequent to be followed.
+The first holder of a run keeps it, unless another run of its own was copied.
 
 Documents are ordered by id, then by a hash of the text. Defined results: null
 and empty texts and texts without repeated lines stay as they are (null as
@@ -19,13 +24,17 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklake.llm.common import fresh, release, small_batches, stage, text_or_empty
+from worklake.llm.ngram_join import _GOLD, mix
 
-#: Words of an aligned block at least, for it to be deleted.
+#: Words of a shared block at least, for it to be deleted.
 MIN_WORDS = 8
+#: Lines whose runs are made at a time; a longer document is taken alone.
+RUN_LINES = 1 << 18
 
 _SPACES = " \t\x0b\x0c\r"
 
@@ -77,7 +86,10 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def copied(first: list[tuple], later: list[tuple], min_words: int = MIN_WORDS) -> list[int]:
-    """Line numbers of the later document in aligned blocks; lines are (number, hash, words)."""
+    """Line numbers of the later document in aligned blocks; lines are (number, hash, words).
+
+    One alignment in order: a part of what ``copied_lines`` deletes, which tests hold against it.
+    """
     shared = {h for _, h, _ in first} & {h for _, h, _ in later}
     a = [x for x in first if x[1] in shared]
     b = [x for x in later if x[1] in shared]
@@ -98,46 +110,80 @@ def worded_lines(text: Column) -> Column:
     return F.filter(trimmed, lambda line: line != "")
 
 
+def line_words(line: Column) -> Column:
+    """Words of a line without white space at its ends."""
+    return F.length(line) - F.length(F.translate(line, " ", "")) + 1
+
+
 def document_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("v"))
 
 
-def copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """(key, numbers, sources): the line numbers to delete per document, and the ids they were copied from."""
-    spark = small_batches(docs).sparkSession
-    lines = (docs.where(F.col(id_col).isNotNull())
-             .select(document_key(id_col, text_col).alias("key"), F.posexplode(worded_lines(text_or_empty(text_col))))
-             .select("key", F.col("pos").alias("number"), F.xxhash64("col", F.length("col")).alias("line"),
-                     (F.length("col") - F.length(F.translate("col", " ", "")) + 1).alias("words")))
-    holders = (lines.groupBy("line").agg(F.min("key").alias("holder"), F.max("key").alias("latest"))
-               .where("holder < latest").drop("latest"))
-    repeated = stage(lines.join(holders, "line").distinct(), "lines")
-    release(spark)
-    held = repeated.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("number", "line", "words"))).alias("lines"))
-    pairs = repeated.where("holder < key").select(F.col("key").alias("later"), F.col("holder").alias("first")).distinct()
-    both = (pairs.join(held.select(F.col("key").alias("later"), F.col("lines").alias("b")), "later")
-            .join(held.select(F.col("key").alias("first"), F.col("lines").alias("a")), "first")
-            .select(F.col("later.doc_id").alias("doc_id"), F.col("later.v").alias("v"),
-                    F.col("first.doc_id").alias("source"), "a", "b"))
-
-    def align(batches):
+def shortest_runs(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, min_words: int = MIN_WORDS):
+    """(first line, number of lines, hash) of all runs of at least ``min_words`` words that lose
+    them without their first or without their last line.
+
+    The lines of several documents stand one after the other; ``ends`` has for each line the end of its document.
+    """
+    count = hashes.size
+    before = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    stop = np.searchsorted(before, before + min_words)  # of the shortest run onwards from each line
+    last = np.minimum(np.maximum(stop[:-1], stop[1:] - 1), ends)
+    runs = np.maximum(last - stop[:-1] + 1, 0)
+    start = np.repeat(np.arange(count), runs)
+    size = np.arange(start.size) - np.repeat(np.cumsum(runs) - runs, runs) + stop[start] - start
+    out = np.zeros(start.size, np.uint64)
+    h = mix(hashes)
+    for n in range(1, int(size.max(initial=0)) + 1):
+        if n > 1:
+            h = mix(h[:-1] * _GOLD + hashes[n - 1:])
+        now = size == n
+        out[now] = h[start[now]]
+    return start, size, out
+
+
+def hashed_runs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, number, size, run): the shortest runs of every document, by number of their first line."""
+    lines = worded_lines(text_or_empty(text_col))
+    units = (small_batches(docs).where(F.col(id_col).isNotNull())
+             .select(document_key(id_col, text_col).alias("key"), lines.alias("lines"))
+             .select("key.doc_id", "key.v", F.transform("lines", lambda x: F.xxhash64(x, F.length(x))).alias("hashes"),
+                     F.transform("lines", line_words).alias("words")))
+
+    def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
-            docs_, vs, sources, numbers = [], [], [], []
-            for doc, v, source, a, b in zip(*batch.columns, strict=True):
-                found = copied(*([tuple(x.values()) for x in side.as_py()] for side in (a, b)), min_words)
-                if found:
-                    docs_.append(doc.as_py())
-                    vs.append(v.as_py())
-                    sources.append(source.as_py())
-                    numbers.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs_, pa.int64()), pa.array(vs, pa.int64()), pa.array(sources, pa.int64()),
-                 pa.array(numbers, pa.list_(pa.int32()))], ["doc_id", "v", "source", "numbers"])
-
-    found = both.mapInArrow(align, "doc_id long, v long, source long, numbers array<int>")
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < batch.num_rows:
+                done = int(ends[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, done + RUN_LINES, "right")))
+                part, sizes = batch.slice(at, to - at), np.diff(ends[at:to], prepend=done)
+                hashes, words = (part.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3))
+                row = np.repeat(np.arange(to - at), sizes)
+                start, size, found = shortest_runs(hashes.view(np.uint64), words, (ends[at:to] - done)[row], min_words)
+                number = start - (ends[at:to] - done - sizes)[row[start]]
+                of = pa.array(row[start])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(of), part.column(1).take(of), pa.array(number.astype(np.int32)),
+                     pa.array(size.astype(np.int32)), pa.array(found.view(np.int64))], ["doc_id", "v", "number", "size", "run"])
+                at = to
+
+    return units.mapInArrow(run, "doc_id long, v long, number int, size int, run long").select(
+        F.struct("doc_id", "v").alias("key"), "number", "size", "run")
+
+
+def copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """(doc_id, v, numbers, sources): the line numbers to delete per document, and the ids they were copied from."""
+    runs = hashed_runs(docs, min_words, id_col, text_col)
+    holders = (runs.groupBy("run").agg(F.min("key").alias("holder"), F.max("key").alias("latest"))
+               .where("holder < latest").drop("latest"))
+    found = (runs.join(holders, "run").where("holder < key")
+             .select("key.doc_id", "key.v", F.col("holder.doc_id").alias("source"),
+                     F.sequence("number", F.col("number") + F.col("size") - 1).alias("numbers")))
     return (found.groupBy("doc_id", "v").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("numbers")))).alias("numbers"),
         F.array_sort(F.collect_set("source")).alias("sources")))
