@@ -101,3 +101,10 @@ def test_runs_find_every_shared_block(spark):
     for k, later in docs:  # an alignment with any earlier document finds a part of it
         sides = [[(n, x, len(x.split())) for n, x in enumerate(lines_of(t))] for t in [later, *(t for i, t in docs if i < k)]]
         assert all(set(L.copied(first, sides[0])) <= set(want[k]) for first in sides[1:])
+
+
+def test_crossing_and_repeated_blocks(spark):
+    x, y = ["one two three four five", "six seven eight"], ["a b c d", "e f g h", "i j k l"]
+    docs = [(1, "\n".join([*x, "first", *y])), (2, "\n".join([*y, "second", *x])), (3, "\n".join([*x, "third", *x, *x])),
+            (4, "\n".join(["a b c d", "fourth", *y, "e f g h", "a b c d", "e f g h"]))]
+    assert removed(spark, docs) == expected(docs) == {1: [], 2: [0, 1, 2, 4, 5], 3: [0, 1, 3, 4, 5, 6], 4: [2, 3, 4, 6, 7]}
