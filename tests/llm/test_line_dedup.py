@@ -108,3 +108,9 @@ def test_crossing_and_repeated_blocks(spark):
     docs = [(1, "\n".join([*x, "first", *y])), (2, "\n".join([*y, "second", *x])), (3, "\n".join([*x, "third", *x, *x])),
             (4, "\n".join(["a b c d", "fourth", *y, "e f g h", "a b c d", "e f g h"]))]
     assert removed(spark, docs) == expected(docs) == {1: [], 2: [0, 1, 2, 4, 5], 3: [0, 1, 3, 4, 5, 6], 4: [2, 3, 4, 6, 7]}
+
+
+def test_words_of_a_line_are_parted_by_any_white_space(spark):
+    tabs, blanks = "a\tb\tc\td\te\tf\tg\th", "few   words    with     many      blanks"
+    docs = [(1, f"{tabs}\nfirst\n{blanks}"), (2, f"second\n{blanks}\nmore\n{tabs}")]
+    assert removed(spark, docs) == expected(docs) == {1: [], 2: [3]}

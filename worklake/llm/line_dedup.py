@@ -112,7 +112,7 @@ def worded_lines(text: Column) -> Column:
 
 def line_words(line: Column) -> Column:
     """Words of a line without white space at its ends."""
-    return F.length(line) - F.length(F.translate(line, " ", "")) + 1
+    return F.size(F.split(line, "[ \\t\\x0B\\f\\r]+"))
 
 
 def document_key(id_col: str, text_col: str) -> Column:
