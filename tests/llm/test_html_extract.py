@@ -52,6 +52,16 @@ def test_parsing():
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_hidden_is_an_attribute_of_that_name():
+    for raw in ('aria-hidden="false"', 'href="/hidden-gems"', "title='hidden gems'", "src=/hidden.png alt=hidden", 'data-hidden class="a"',
+                "title='style=\"display: none\"'"):
+        assert not H.attribute_words(f" {raw}")[1], raw
+    for raw in ("hidden", "HIDDEN", 'id=a hidden=""', "hidden/", 'title="a"hidden', "class = 'x' hidden", 'style="display:none"'):
+        assert H.attribute_words(f" {raw}")[1], raw
+    assert H.attribute_words(" width=9 id='mainStory' title='class=\"ad\"' CLASS=post-body/x")[0] == {"main", "story", "post", "body", "x"}
+    assert "gems" in str(H.parse("<article aria-hidden='false'><p>see <a href='/hidden-gems'>gems</a></p></article>").items[0].items[0].items[1].items)
+
+
 def test_decoding_never_contradicts(pages, trees):
     for p in pages.limit(30).collect():
         order = H.nodes_of(H.parse(p.html))

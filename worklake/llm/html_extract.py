@@ -62,7 +62,9 @@ FEATURES = (*[f"tag_{t}" for t in TAGS], *[f"says_{t}" for t in TOKENS], *[f"in_
             "before", "after", "likes", "page_share", "has_inputs", "paragraphs")
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*(?:>|$)""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-[a-z]+|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# An attribute and its value, if any: a name inside another name or inside a value is none.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_NAMING = re.compile(r"class|id|role|itemprop|data-[a-z]+|aria-label")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -85,7 +87,7 @@ def attribute_words(raw: str) -> tuple[frozenset, bool]:
             hidden = True
         elif name == "style":
             hidden = hidden or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE))
-        else:
+        elif _NAMING.fullmatch(name):
             words.update(w.lower() for w in _WORD.findall(value))
     return frozenset(words), hidden
 
