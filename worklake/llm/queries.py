@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from worklake.llm import (decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
+from pyspark.sql import functions as F
+
+from worklake.llm import (chat_format, decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
                           quality_model, quality_rules, token_counts, warc)
 from worklake.llm.common import read_table
 
@@ -60,7 +62,34 @@ def op10_line_dedup(spark, sf):
     return line_dedup.dedup_lines(read_table(spark, sf, "documents"))
 
 
+def op11_chat_format(spark, sf):
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    return chat_format.digest_conversations(
+        chat_format.format_conversations(turns.select("conv_id", "turn", "role", chat_format.text_part(F.col("text")).alias("parts"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_quality_classifier, op3_html_extraction, op4_decontamination, op5_packing, op6_quality_rules,
-    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup, op11_chat_format)}
+
+_CONTROL = r"\\|<(?:/?role>|/turn>|(?:text|image|audio|document)/>)"
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_chat_format": f"""
+        WITH given AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+          UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+        whole AS (
+          SELECT conv_id, count(*) AS n_turns,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+            coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+            sum(length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}'))
+                + len(regexp_extract_all(text, '{_CONTROL}')) + length('<role></role></turn>') + 1) AS chars
+          FROM given GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+               chars::BIGINT AS formatted_chars FROM whole""",
+}
