@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from worklake.llm import (chat_format, decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
-                          quality_model, quality_rules, token_counts, warc)
+                          periodic_runs, quality_model, quality_rules, token_counts, warc)
 from worklake.llm.common import read_table
+from worklake.llm.quality_rules import let, words_of
 
 
 def _tokenizer(name: str) -> str:
@@ -71,9 +72,31 @@ def op11_chat_format(spark, sf):
         chat_format.format_conversations(turns.select("conv_id", "turn", "role", chat_format.text_part(F.col("text")).alias("parts"))))
 
 
+def repeat_tails(docs):
+    """The documents, of which every tenth by crc32 of its id repeats its words periodically from one of them on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(crc / 10)
+
+    def periodic(words):
+        n = F.size(words)
+        begin, period = g % n, lambda a: 1 + F.floor((n - a) / (3 + g % 8))
+
+        def repeated(at):
+            return F.transform(words, lambda w, i: F.when(i < at["a"], w).otherwise(
+                F.get(words, (at["a"] + (i - at["a"]) % at["p"]).cast("int"))))
+
+        return F.when(n > 0, F.array_join(let(F.struct(begin.alias("a"), period(begin).alias("p")), repeated), " "))
+
+    return docs.select("doc_id", F.when(crc % 10 == 0, let(words_of(F.col("text")), periodic)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf):
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(repeat_tails(read_table(spark, sf, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_quality_classifier, op3_html_extraction, op4_decontamination, op5_packing, op6_quality_rules,
-    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup, op11_chat_format)}
+    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup, op11_chat_format, op12_periodic_runs)}
 
 _CONTROL = r"\\|<(?:/?role>|/turn>|(?:text|image|audio|document)/>)"
 
