@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from worklake.llm import (chat_format, decontaminate, html_extract, license_scan, line_dedup, ngram_join, packing,
-                          periodic_runs, quality_model, quality_rules, token_counts, warc)
+                          periodic_runs, prefix_trie, quality_model, quality_rules, token_counts, warc)
 from worklake.llm.common import read_table
 from worklake.llm.quality_rules import let, words_of
 
@@ -94,9 +94,15 @@ def op12_periodic_runs(spark, sf):
     return periodic_runs.run_digests(periodic_runs.periodic_runs(repeat_tails(read_table(spark, sf, "documents"))))
 
 
+def op13_prefix_trie(spark, sf):
+    conv = F.col("conv_id")
+    return prefix_trie.conversation_trie(
+        read_table(spark, sf, "conversations"), base=conv - conv % 5, taken=F.crc32(conv.cast("string").cast("binary")) % 9)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_quality_classifier, op3_html_extraction, op4_decontamination, op5_packing, op6_quality_rules,
-    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup, op11_chat_format, op12_periodic_runs)}
+    op7_license_scan, op8_token_counts, op9_warc, op10_line_dedup, op11_chat_format, op12_periodic_runs, op13_prefix_trie)}
 
 _CONTROL = r"\\|<(?:/?role>|/turn>|(?:text|image|audio|document)/>)"
 
@@ -115,4 +121,34 @@ ORACLE_SQL: dict[str, str] = {
           FROM given GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
                chars::BIGINT AS formatted_chars FROM whole""",
+    # crc32 bit by bit; a prefix is the chain of its turns' digests, its parent the chain without the last.
+    "op13_prefix_trie": """
+        WITH convs AS (
+          SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+            [4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')],
+            lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda x, _: xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        t AS (
+          SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+                 coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        rebuilt AS (
+          SELECT c.conv_id, t.pos AS depth, role, text FROM convs c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+          UNION ALL
+          SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + t.pos - c.h, role, text
+          FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN convs b ON b.conv_id = c.base),
+        prefix AS (
+          SELECT conv_id, depth, strlen(text) AS bytes,
+                 string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS k FROM rebuilt
+          UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+        node AS (SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM prefix GROUP BY k, depth),
+        child AS (SELECT left(k, length(k) - 64) AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+        last AS (SELECT conv_id, arg_max(k, depth) AS k FROM prefix GROUP BY conv_id),
+        ends AS (SELECT k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM last GROUP BY k),
+        below AS (
+          SELECT a.k, sum((n.n_convs - 1) * n.bytes) AS saved, count(*) FILTER (WHERE c.k IS NULL) AS n_leaves
+          FROM node n JOIN prefix a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN child c ON c.k = n.k GROUP BY a.k)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves, saved::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+        FROM node n LEFT JOIN node p ON n.depth > 0 AND p.k = left(n.k, length(n.k) - 64)
+        LEFT JOIN child c ON c.k = n.k LEFT JOIN ends e ON e.k = n.k JOIN below b ON b.k = n.k""",
 }
