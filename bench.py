@@ -2,9 +2,9 @@
 
 Stages, each timed on its own:
   bind_landing     raw nested works derived from the test tables, landed as Parquet
-  ingest_load      landing → flatten → reject → first-wins → bucket-partitioned
-                   Parquet table, plus the run log
-  upsert_batch2    second, overlapping snapshot upserted into that table
+  ingest_load      landing → flatten → reject → first-wins → Parquet table
+                   bucketed by key, plus the run log
+  upsert_batch2    second, overlapping snapshot merged into that table's next version
   reports / DQ     every dashboard report and the fused DQ pass, reading the
                    stored table (filters reach the Parquet scan)
   e2e_*            two query keys end to end from the raw test tables
@@ -74,7 +74,6 @@ def main() -> None:
     timed("ingest_load", ingest)
     timed("ingest_counters", lambda: dedup.ingest_counters(landing).collect())
     timed("upsert_batch2", second_batch)
-    timed("compact", lambda: upsert.compact(spark, table))  # reports then read one base
 
     papers = upsert.read_table(spark, table)
     runs = spark.read.parquet(runs_path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from worklake.operators import dq, upsert
 from worklake.plans import derived as D
 from worklake.plans import job
-from worklake.sources import commits
+from worklake.sources import tables
 from worklake.sources import works as W
 
 
@@ -34,11 +34,11 @@ def test_run_batch_gates_on_errors(spark, landing):
     with pytest.raises(dq.DataQualityError) as e:
         job.run_batch(spark, cfg)
     assert "openalex_id_format" in str(e.value)
-    # facts and run row were committed before the gate ran (M5)
+    # facts and run row were stored before the gate ran (M5)
     stored = upsert.read_table(spark, cfg.table)
     assert stored.count() > 0
     assert stored.filter(F.col("subfield_name") != "BUILDING").count() == 0
-    runs = commits.read_runs(spark, cfg.table).collect()
+    runs = tables.read_runs(spark, cfg.table).collect()
     assert len(runs) == 1 and runs[0]["subfield_id"].endswith("BUILDING")
 
 

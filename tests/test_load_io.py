@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from rawworks import B, frame, work
 from worklake.operators import dedup, runlog, upsert
 from worklake.operators.flatten import flatten
-from worklake.sources import commits
+from worklake.sources import tables
 from worklake.sources import works as W
 
 T1 = dt.datetime(2026, 6, 15)
@@ -52,7 +52,7 @@ def test_run_log_append(spark, tmp_path):
     assert runlog.append_run(spark, path, header, 2**33, created_at=T2) == 2
     with pytest.raises(runlog.RunHeaderError):
         runlog.append_run(spark, path, dict(header, subfield_id=None), 7)
-    rows = sorted(commits.read_runs(spark, path).collect())
+    rows = sorted(tables.read_runs(spark, path).collect())
     assert [(r["id"], r["paper_count"], r["created_at"], r["from_date"]) for r in rows] == [
         (1, 7, T1, dt.date(2026, 6, 12)), (2, 2**33, T2, dt.date(2026, 6, 12))]
 
@@ -115,7 +115,7 @@ def test_ensure_tables_idempotent(spark, tmp_path):
     p = str(tmp_path / "papers")
     assert ensure_tables(spark, p) == ["papers", "runs"]
     assert ensure_tables(spark, p) == []
-    assert upsert.read_table(spark, p).count() == 0 and commits.read_runs(spark, p).count() == 0
+    assert upsert.read_table(spark, p).count() == 0 and tables.read_runs(spark, p).count() == 0
     assert upsert.upsert_table(spark, p, _inc(spark, [work(B + "W1")]), T1) == 1
     assert ensure_tables(spark, p) == []
 
@@ -132,47 +132,8 @@ def _files(root):
     return out
 
 
-def test_a_load_rewrites_nothing(spark, tmp_path):
-    path = str(tmp_path / "papers")
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}") for i in range(1, 201)]), T1)
-    before = _files(path)
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}", title="new") for i in range(1, 61)]), T2)
-    after = _files(path)
-    assert all(after.get(p) == m for p, m in before.items()) and len(after) > len(before)
-    t = _table(spark, path)
-    assert len(t) == 200 and t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1
-
-
-def test_compaction_and_vacuum_keep_the_rows(spark, tmp_path):
-    path = str(tmp_path / "papers")
-    for k in range(5):
-        rows = [work(B + f"W{i}", title=f"t{k}") for i in range(k, 10)]
-        upsert.upsert_table(spark, path, _inc(spark, rows), T1 + dt.timedelta(days=k), compact_after=3)
-    expected = {f"W{i}": (f"t{min(i, 4)}", T1) for i in range(10)}
-    rows = lambda: {k: (r["title"], r["ingested_at"]) for k, r in _table(spark, path).items()}
-    assert rows() == expected and len(commits.live_loads(spark, path)) <= 3
-    upsert.compact(spark, path)
-    assert rows() == expected and len(commits.live_loads(spark, path)) == 1
-    gone = upsert.vacuum(spark, path, older_than_hours=0)
-    assert gone and rows() == expected and upsert.vacuum(spark, path, older_than_hours=0) == []
-
-
-def test_a_load_published_during_compaction_stays(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "papers")
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1", title="a"), work(B + "W2")]), T1)
-    upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1", title="b")]), T2)
-    write, other = upsert._write, _inc(spark, [work(B + "W1", title="c"), work(B + "W3")])
-
-    def slow(df, folder):
-        monkeypatch.setattr(upsert, "_write", write)
-        rows = write(df, folder)
-        upsert.upsert_table(spark, path, other, T2)
-        return rows
-
-    monkeypatch.setattr(upsert, "_write", slow)
-    upsert.compact(spark, path)
-    t = _table(spark, path)
-    assert t["W1"]["title"] == "c" and sorted(t) == ["W1", "W2", "W3"] and t["W1"]["ingested_at"] == T1
+def _lost(*a, **k):
+    raise RuntimeError("driver lost")
 
 
 def test_a_broken_load_shows_the_old_state(spark, tmp_path, monkeypatch):
@@ -180,61 +141,65 @@ def test_a_broken_load_shows_the_old_state(spark, tmp_path, monkeypatch):
     run = {"fetched_at": T1, "from_date": T1.date(), "to_date": T1.date(), "subfield_id": "s", "paper_count": 1, "created_at": T1}
     upsert.upsert_table(spark, path, _inc(spark, [work(B + "W1")]), T1, run)
     inc = _inc(spark, [work(B + "W1", title="x"), work(B + "W2")])
-
-    def lost(*a, **k):
-        raise RuntimeError("driver lost")
-
-    for name in ("_write", "commits.publish"):
+    for name in ("_write_version", "tables.append_log"):
         with monkeypatch.context() as m:
-            m.setattr(f"worklake.operators.upsert.{name}", lost)
+            m.setattr(f"worklake.operators.upsert.{name}", _lost)
             with pytest.raises(RuntimeError, match="driver lost"):
                 upsert.upsert_table(spark, path, inc, T2, run)
         t = _table(spark, path)
-        assert sorted(t) == ["W1"] and t["W1"]["title"] == "T" and commits.read_runs(spark, path).count() == 1
+        assert sorted(t) == ["W1"] and t["W1"]["title"] == "T" and tables.read_runs(spark, path).count() == 1
     upsert.upsert_table(spark, path, inc, T2, run)
     t = _table(spark, path)
     assert sorted(t) == ["W1", "W2"] and t["W1"]["title"] == "x"
-    assert sorted(r["id"] for r in commits.read_runs(spark, path).collect()) == [1, 2]
+    assert sorted(r["id"] for r in tables.read_runs(spark, path).collect()) == [1, 2]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("worklake_")]
+
+
+def test_versions_before_the_last_two_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "it's a table")
+    for k in range(4):
+        upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}", title=f"t{k}") for i in range(k, 9)]), T1 + dt.timedelta(days=k))
+    runlog.append_run(spark, path, {"fetched_at": T1, "from_date": T1.date(), "to_date": T1.date(), "subfield_id": "s"}, 1, T1)
+    assert {k: (r["title"], r["ingested_at"]) for k, r in _table(spark, path).items()} == {
+        f"W{i}": (f"t{min(i, 3)}", T1) for i in range(9)}
+    state = tables.table_state(spark, path)
+    kept = sorted(p.name for p in (tmp_path / "it's a table" / "papers").iterdir() if p.is_dir())
+    assert kept == [state.previous, state.version] and state.seq == 5
 
 
 def test_stray_folders_and_errors(spark, tmp_path):
     path = str(tmp_path / "papers")
     inc = _inc(spark, [work(B + f"W{i}") for i in range(5)])
     upsert.upsert_table(spark, path, inc, T1)
-    inc.write.parquet(f"{path}/loads/stray")
+    inc.write.parquet(f"{path}/papers/stray")
     inc.write.parquet(f"{path}/elsewhere/x=1")
     upsert.upsert_table(spark, path, inc, T2)
     assert upsert.read_table(spark, path).count() == 5
-    (tmp_path / "papers" / "commits" / "0000000000.json").write_text("{broken")
+    (tmp_path / "papers" / "log" / "broken.txt").write_text("{broken")
     with pytest.raises(Exception):  # noqa: B017 - an unreadable log is no empty table
         upsert.upsert_table(spark, path, inc, T2)
 
 
-def test_commit_numbers_are_never_given_twice(spark, tmp_path, monkeypatch):
+def test_only_the_batch_is_shuffled(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "papers")
-    commits.publish(spark, path, lambda seq: {"load": "a", "rows": 0, "run": None})
-    taken, numbers = [], commits._numbers
-
-    def late(spark, table):  # another writer is faster, twice
-        seq = numbers(spark, table)
-        if len(taken) < 2:
-            taken.append(seq)
-            (tmp_path / "papers" / "commits" / f"{seq:010d}.json").write_text('{"seq": %d}\n' % seq)
-        return seq
-
-    monkeypatch.setattr(commits, "_numbers", late)
-    assert commits.publish(spark, path, lambda seq: {"load": "b", "rows": 0, "run": None})["seq"] == 3
-    assert [load for _, load in commits.live_loads(spark, path)] == ["a", "b"]
-
-
-def test_writer_count_follows_the_data(spark, tmp_path):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
-    try:
-        path = str(tmp_path / "papers")
-        rows = spark.range(40_000).selectExpr(
-            *[("concat('W', id)" if c == "openalex_id" else "concat('t', sha2(CAST(id AS STRING), 256))" if c == "title"
-               else f"CAST(NULL AS {upsert.PAPERS_SCHEMA[c].dataType.simpleString()})") + f" AS {c}" for c in upsert.FLAT_COLUMNS])
-        upsert.upsert_table(spark, path, rows.repartition(16), T1)
-        assert len(_files(path)) >= 8
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    upsert.upsert_table(spark, path, _inc(spark, [work(B + f"W{i}") for i in range(1, 201)]), T1, buckets=6)
+    assert len(_files(path)) == 6
+    plans = []
+    write = upsert._write_version
+    monkeypatch.setattr(upsert, "_write_version", lambda df, *a: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a)))
+    batch = spark.read.parquet(_stored(_inc(spark, [work(B + f"W{i}", title="new") for i in range(1, 61)]), tmp_path))
+    upsert.upsert_table(spark, path, batch, T2)
+    assert plans[0].count("Join") == 1 and plans[0].count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plans[0] and "SelectedBucketsCount: 6 out of 6" in plans[0]
+    t = _table(spark, path)
+    assert len(t) == 200 and t["W7"]["title"] == "new" and t["W7"]["ingested_at"] == T1
+    files = _files(f"{path}/papers/{tables.table_state(spark, path).version}")
+    assert len(files) == 6  # each task wrote its own bucket
+    upsert.upsert_table(spark, path, batch, T2, buckets=3)
+    assert tables.table_state(spark, path).buckets == 3 and _table(spark, path) == t
+
+
+def _stored(df, tmp_path):
+    df.write.parquet(str(tmp_path / "batch"))
+    return str(tmp_path / "batch")

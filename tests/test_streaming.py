@@ -38,3 +38,53 @@ def test_incremental_ingest_restart_and_update(spark, tmp_path):
     assert sorted(final) == ["W1", "W2", "W3", "W4"]
     assert final["W1"]["title"] == "v2" and final["W1"]["doi"] is None
     assert final["W1"]["ingested_at"] == T1 and final["W4"]["ingested_at"] == T2
+
+
+def _copies(land, run, files):
+    """Files of one export, with an order that differs from the files' names."""
+    folder = land / f"run={run}" / "papers"
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, rows in files.items():
+        with open(folder / name, "w") as fh:
+            for pos, key, title in rows:
+                fh.write(json.dumps(dict(work(key and B + key, title=title), _src="s", _pos=pos)) + "\n")
+
+
+def test_first_wins_across_files_batches_and_restarts(spark, tmp_path):
+    land, table, ckpt = tmp_path / "landing", str(tmp_path / "table"), str(tmp_path / "ckpt")
+    titles = lambda: {r["openalex_id"]: r["title"] for r in upsert.read_table(spark, table).collect()}
+    run = lambda: incremental_ingest(spark, str(land / "*" / "papers"), table, ckpt, T1, max_files_per_trigger=1)
+    _copies(land, "20260615_100000", {"a": [(7, "W1", "seventh"), (8, "W2", "eighth")], "b": [(3, "W1", "third"), (9, "W2", "ninth")]})
+    run()
+    assert titles() == {"W1": "third", "W2": "eighth"}
+    # Restart: an earlier place in a file that lands later wins, a later one does not.
+    _copies(land, "20260615_100000", {"c": [(1, "W2", "first"), (5, "W1", "fifth"), (6, "W3", "sixth")]})
+    run()
+    assert titles() == {"W1": "third", "W2": "first", "W3": "sixth"}
+    # A later export replaces rows, first of its own copies; a late file of the first export doesn't.
+    _copies(land, "20260616_100000", {"a": [(4, "W1", "new fourth")], "b": [(2, "W1", "new second")]})
+    run()
+    _copies(land, "20260615_100000", {"d": [(0, "W1", "late"), (0, "W4", "late")]})
+    run()
+    assert titles() == {"W1": "new second", "W2": "first", "W3": "sixth", "W4": "late"}
+
+
+def test_state_is_kept_in_jvm_and_rocksdb(spark, tmp_path):
+    from worklake.streaming.incremental import start_incremental_ingest
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    _copies(tmp_path / "landing", "20260615_100000", {"a": [(7, "W1", "x")]})
+    q = start_incremental_ingest(spark, str(tmp_path / "landing" / "*" / "papers"), str(tmp_path / "table"), str(tmp_path / "ckpt"), T1)
+    q.awaitTermination()
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 1 and any(k.startswith("rocksdb") for k in state["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_lines_without_places_are_numbered(spark, tmp_path):
+    land, table = tmp_path / "landing" / "run=20260615_100000" / "papers", str(tmp_path / "table")
+    land.mkdir(parents=True)
+    for name, keys in (("a", ["W1", "W2", "W1"]), ("b", ["W3", "W2", "W3"])):
+        (land / name).write_text("".join(json.dumps(work(B + k, title=f"{name}{i}")) + "\n" for i, k in enumerate(keys)))
+    incremental_ingest(spark, str(land), table, str(tmp_path / "ckpt"), T1, max_files_per_trigger=1, places=False)
+    assert {r["openalex_id"]: r["title"] for r in upsert.read_table(spark, table).collect()} == {"W1": "a0", "W2": "a1", "W3": "b0"}

@@ -1,4 +1,4 @@
-"""Run log: one row per load (id = max + 1), part of the load's commit record."""
+"""Run log: one row per load (id = max + 1), part of the load's log row."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklake.sources import commits
+from worklake.sources import tables
 
 HEADER_FIELDS = ("fetched_at", "from_date", "to_date", "subfield_id")
 
@@ -35,16 +35,15 @@ def validate_header(header: dict) -> dict:
 
 
 def run_fields(header: dict, paper_count: int, created_at: dt.datetime) -> dict:
-    """The run-log row of a load without its id, which the commit gives."""
+    """The run-log row of a load without its id, which the log gives."""
     validate_header(header)
     return {**{k: header[k] for k in HEADER_FIELDS}, "paper_count": paper_count, "created_at": created_at}
 
 
 def append_run(spark: SparkSession, table: str, header: dict, paper_count: int,
                created_at: dt.datetime | None = None) -> int:
-    """M4 alone: publish a run row without a load; returns its id."""
+    """M4 alone: append a run row without a load; returns its id."""
     created_at = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     run = run_fields(header, paper_count, created_at)
-    record = commits.publish(spark, table, lambda seq: {
-        "load": None, "rows": 0, "run": {"id": commits.next_run_id(spark, table), **run}})
-    return record["run"]["id"]
+    tables.ensure_tables(spark, table)
+    return tables.append_log(spark, table, tables.table_state(spark, table), run)

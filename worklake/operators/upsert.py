@@ -1,35 +1,29 @@
-"""Keyed upsert on Parquet as a sequence of published loads (no MERGE needed).
-
-A load writes its rows to a folder of its own and publishes them, with the
-load's run-log row, by one commit record (``sources.commits``). Stored rows
-are never rewritten by a load: its cost is the batch's, however large the
-table is. ``read_table`` resolves versions: a key present in several loads takes ALL
-columns of the latest (NULLs overwrite, no recency guard), while
-``ingested_at`` is that of the first. Rows of the base whose key no later load
-holds are passed through by an anti join with the later keys, which Spark
-broadcasts while they are small; only the others are grouped. ``compact``
-writes the resolved rows as a new base, published the same way, and a load
-calls it after ``COMPACT_AFTER`` loads; ``vacuum`` deletes folders that the
-log no longer needs.
-
-Loading a batch again leaves the same rows (idempotent), and a load that broke
-off before its commit leaves the table as it was.
+"""Keyed upsert as one full outer join of the stored papers and the batch.
+
+The stored version is bucketed and sorted by the key. It is joined with the
+batch on the key: only the batch is shuffled, to the stored buckets, and each
+task writes its bucket of the next version. A key that the batch holds takes ALL
+columns of the batch (NULLs overwrite, no recency guard) and keeps its first
+``ingested_at``; other stored rows pass through. A load that is repeated leaves the
+same rows, one that broke off leaves the version before in force.
+
+A load writes the whole table, so few large loads are better than many small
+ones; tables that need partial rewrites belong into a table format with MERGE.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from worklake.schema import FLAT_COLUMNS, KEY, PAPERS_SCHEMA
-from worklake.sources import commits
+from worklake.sources import tables
 
-#: Loads after the base from which on a load compacts the table.
-COMPACT_AFTER = 16
-_SEQ = "_load_seq"
+COLUMNS = [f.name for f in PAPERS_SCHEMA.fields]
 
 
 def _loaded_at(loaded_at) -> Column:
@@ -45,92 +39,83 @@ def with_ingested_at(inc: DataFrame, loaded_at=None) -> DataFrame:
     return inc.select(*FLAT_COLUMNS, _loaded_at(loaded_at).alias("ingested_at"))
 
 
-def _write(df: DataFrame, path: str) -> int:
-    """Write rows in evenly sized files, as many as the data needs; returns their number."""
-    counted = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-    # The hint lets AQE both merge small and split large partitions on write.
-    df.hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return counted.get["rows"]
+def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Every key of either side once, with the batch's columns and the first ``ingested_at``."""
+    s, b = stored.alias("s"), batch.alias("b")
+    sent = F.col(f"b.{KEY}").isNotNull()
+    columns = [F.coalesce(f"b.{c}", f"s.{c}") if c == KEY else F.coalesce(f"s.{c}", f"b.{c}") if c == "ingested_at"
+               else F.when(sent, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")) for c in COLUMNS]
+    return s.join(b, F.col(f"s.{KEY}") == F.col(f"b.{KEY}"), "full_outer").select(
+        *[c.alias(n) for c, n in zip(columns, COLUMNS, strict=True)])
 
 
-def resolve(base: DataFrame, later: DataFrame) -> DataFrame:
-    """The newest version of every key with its first ``ingested_at``.
+@contextmanager
+def bucketed(spark: SparkSession, folder: str, buckets: int):
+    """The papers in ``folder`` as a table that Spark knows to be bucketed by the key.
 
-    ``later`` has a column ``_load_seq``, of which each load holds a key at most once.
+    The catalog entry lasts as long as the block; the files aren't its own.
     """
-    columns = [f.name for f in PAPERS_SCHEMA.fields]
-    keys = later.select(KEY).distinct()
-    versions = base.join(keys, KEY, "left_semi").select(*columns, F.lit(-1).cast("long").alias(_SEQ)).unionByName(later)
-    values = [c for c in columns if c not in (KEY, "ingested_at")]
-    newest = versions.groupBy(KEY).agg(
-        F.max_by(F.struct(*values), _SEQ).alias("v"), F.min_by("ingested_at", _SEQ).alias("ingested_at"))
-    return (base.join(keys, KEY, "left_anti").select(*columns)
-            .unionByName(newest.select(KEY, *[F.col(f"v.{c}").alias(c) for c in values], "ingested_at").select(*columns)))
+    name = f"worklake_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PAPERS_SCHEMA.fields)
+    place = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
+              f"INTO {int(buckets)} BUCKETS LOCATION '{place}'")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored papers (38 columns) as of the commits published so far."""
-    loads = commits.live_loads(spark, path)
-    frames = [spark.read.schema(PAPERS_SCHEMA).parquet(commits.load_folder(path, load)) for _, load in loads]
-    if not frames:
-        return spark.createDataFrame([], PAPERS_SCHEMA)
-    if len(frames) == 1:
-        return frames[0]
-    later = None
-    for (seq, _), frame in zip(loads[1:], frames[1:], strict=True):
-        frame = frame.withColumn(_SEQ, F.lit(seq).cast("long"))
-        later = frame if later is None else later.unionByName(frame)
-    return resolve(frames[0], later)
+def _write_version(df: DataFrame, folder: str, buckets: int) -> None:
+    """Write papers that are distributed by the key's buckets, one file per bucket."""
+    name = f"worklake_{uuid.uuid4().hex}"
+    (df.write.format("parquet").mode("errorifexists").bucketBy(buckets, KEY).sortBy(KEY)
+     .option("path", folder).saveAsTable(name))
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
 
 
-def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
-                 compact_after: int = COMPACT_AFTER) -> int:
-    """Upsert accepted, de-duplicated rows into the table at ``path``.
-
-    Returns the number of rows sent (inserted and updated). ``run`` is the
-    load's run-log row without its id, which is given at the commit.
-    """
-    return load(spark, path, inc, loaded_at, run, compact_after)[0]
+def default_buckets(spark: SparkSession) -> int:
+    """Buckets of a new table unless given: as many as a shuffle has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
-         compact_after: int = COMPACT_AFTER) -> tuple[int, int | None]:
-    """``upsert_table``, returning the run's id, too."""
+         buckets: int | None = None) -> tuple[int, int | None]:
+    """Upsert accepted, de-duplicated rows into the table at ``path``: (rows sent, the run's id).
+
+    ``run`` is the load's run-log row without its id. ``buckets`` sizes the next
+    version (about the table's bytes by 128 MB); without it the stored number stays. If it
+    differs from the stored one, the merged rows are shuffled once more.
+    """
     if loaded_at is None:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    name = uuid.uuid4().hex
-    sent = _write(with_ingested_at(inc, loaded_at), commits.load_folder(path, name))
-    record = commits.publish(spark, path, lambda seq: {
-        "load": name, "rows": sent,
-        "run": None if run is None else {"id": commits.next_run_id(spark, path), **run}})
-    if len(commits.live_loads(spark, path)) > compact_after:
-        compact(spark, path)
-    return sent, record["run"]["id"] if run is not None else None
-
+    tables.ensure_tables(spark, path)
+    before = tables.table_state(spark, path)
+    version = f"{before.seq + 1:08d}-{uuid.uuid4().hex[:8]}"
+    buckets = buckets or before.buckets or default_buckets(spark)
+    counted = Observation(f"sent-{version}")
+    batch = with_ingested_at(inc, loaded_at).observe(counted, F.count(F.lit(1)).alias("n"))
+    folder = tables.version_folder(path, version)
+    if before.version is None:
+        _write_version(batch.repartition(buckets, KEY), folder, buckets)
+    else:
+        with bucketed(spark, tables.version_folder(path, before.version), before.buckets) as stored:
+            merged = merge(stored, batch)
+            if buckets != before.buckets:
+                merged = merged.repartition(buckets, KEY)
+            _write_version(merged, folder, buckets)
+    run_id = tables.append_log(spark, path, before, run, version, buckets)
+    if before.previous:  # the version before this one stays for readers under way
+        tables.delete(spark, tables.version_folder(path, before.previous))
+    return counted.get["n"], run_id
 
-def compact(spark: SparkSession, path: str) -> None:
-    """Write the resolved rows of the loads so far as the new base.
-
-    Loads published meanwhile stay in force: the base covers those it has read.
-    """
-    loads = commits.live_loads(spark, path)
-    if len(loads) < 2:
-        return
-    name = uuid.uuid4().hex
-    rows = _write(read_table(spark, path), commits.load_folder(path, name))
-    commits.publish(spark, path, lambda seq: {"load": name, "rows": rows, "covers": loads[-1][0], "run": None})
 
+def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
+                 buckets: int | None = None) -> int:
+    """``load``, returning the number of rows sent (inserted and updated)."""
+    return load(spark, path, inc, loaded_at, run, buckets)[0]
 
-def vacuum(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
-    """Delete load folders that no reader needs: covered by the base, or never committed.
 
-    Folders younger than ``older_than_hours`` stay, for loads and readers that are under way.
-    """
-    live = {load for _, load in commits.live_loads(spark, path)}
-    folder = commits.load_folder(path, "")
-    if not commits.exists(spark, folder):
-        return []
-    gone = [n for n, age in commits.children(spark, folder) if n not in live and age >= 3600 * older_than_hours]
-    for name in gone:
-        commits.delete(spark, commits.load_folder(path, name))
-    return gone
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored papers (38 columns) as of the last load."""
+    return tables.read_papers(spark, path)

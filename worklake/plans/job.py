@@ -7,7 +7,7 @@ Paths are folders (HDFS / object store on a cluster). A run:
   ensure tables → scan landing (S1) → resolve subfield (S2) → source filter
   (F6) → fetch-time dedup (M1) → classification check (Q15) → optional
   export (S4) → flatten / reject / first-wins (P1 F7 M2) → upsert (M3),
-  published with its run-log row by one commit record (M4/M5) → DQ (Q12) →
+  put in force with its run-log row by one log row (M4/M5) → DQ (Q12) →
   gate (Q13/Q14).
 
 DQ results are always returned (and may be persisted) before the gate
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from worklake.operators import dedup, dq, runlog, upsert
 from worklake.operators.flatten import assert_no_constraint_violations, flatten
 from worklake.session import stage, unstage
-from worklake.sources import commits
 from worklake.sources import works as W
-from worklake.sources.tables import ensure_tables
+from worklake.sources.tables import ensure_tables, read_runs
 
 # Job defaults (days back, searched subfield).
 DEFAULT_DAYS_BACK = 3
@@ -47,7 +46,7 @@ class JobConfig:
     fail_on_dq_errors: bool = True
     fail_on_dq_warnings: bool = False
     strict: bool = False                         # fail on values that the table can't store
-    compact_after: int = upsert.COMPACT_AFTER    # loads after which one compacts the table
+    buckets: int | None = None                   # of the stored table; None keeps or derives them
     as_of: dt.date | None = None
     dq_report: str | None = None
 
@@ -76,7 +75,7 @@ class PipelineResult:
 
 def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
            loaded_at: dt.datetime | None = None) -> IngestResult:
-    """Flatten, reject, de-duplicate, then publish facts and run row together (E3 inner).
+    """Flatten, reject, de-duplicate, then store facts and run row together (E3 inner).
 
     The flattened batch is staged once for the counters and the load, and deleted afterwards.
     """
@@ -89,7 +88,7 @@ def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
         c = dedup.counters_of_flat(flat).first()
         loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         run = runlog.run_fields(header, c["papers"] or 0, loaded_at)
-        sent, run_id = upsert.load(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, run, cfg.compact_after)
+        sent, run_id = upsert.load(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, run, cfg.buckets)
     finally:
         unstage(flat)
     return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"] or 0)
@@ -98,7 +97,7 @@ def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
 def run_quality(spark: SparkSession, cfg: JobConfig, subfield_name: str | None = None) -> list:
     papers = upsert.read_table(spark, cfg.table)
     checks = dq.default_checks(subfield_name or cfg.subfield_search, cfg.as_of)
-    results = dq.run_checks(papers, commits.read_runs(spark, cfg.table), checks)
+    results = dq.run_checks(papers, read_runs(spark, cfg.table), checks)
     if cfg.dq_report:
         dq.result_frame(spark, results).withColumn("run_at", F.current_timestamp()).write.mode("append").parquet(cfg.dq_report)
     return results
@@ -200,13 +199,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--skip-dq", action="store_true", help="only with --from-export")
     ap.add_argument("--fail-on-warnings", action="store_true")
     ap.add_argument("--dq-report")
+    ap.add_argument("--buckets", type=int, help="buckets of the stored table, about its bytes by 128 MB")
     ap.add_argument("--strict", action="store_true", help="fail on values that the table can't store")
     a = ap.parse_args(argv)
     cfg = JobConfig(table=a.table, landing=a.landing, days_back=a.days_back,
                     subfield_search=a.subfield, export_dir=a.export_dir, save_export=a.save_export,
                     run_data_quality=not (a.skip_dq and a.export_path),
                     fail_on_dq_warnings=a.fail_on_warnings, dq_report=a.dq_report,
-                    strict=a.strict)
+                    strict=a.strict, buckets=a.buckets)
     spark = build_session()
     try:
         res = run_from_export(spark, a.export_path, cfg) if a.export_path else run_batch(spark, cfg)

@@ -22,7 +22,7 @@ from worklake.plans import derived as D
 from worklake.plans import job
 from worklake.schema import KEY
 from worklake.session import ensure_checkpoint_dir
-from worklake.sources import commits
+from worklake.sources import tables
 from worklake.sources import works as W
 from worklake.sources.testdata import SUBFIELD_BASE
 
@@ -213,23 +213,23 @@ def upsert_merge(spark, sf):
 
 
 def upsert_idempotent(spark, sf):
-    """All papers loaded twice, and compacted: the rows of the first load."""
+    """All papers loaded twice, the second time into other buckets: the rows of the first load."""
     table = scratch(spark, "table")
     inc = dedup.batch_dedup(D.flat_works(spark, sf))
     upsert.upsert_table(spark, table, inc, D.LOAD_TS)
-    upsert.upsert_table(spark, table, inc, D.LOAD2_TS, compact_after=1)
+    upsert.upsert_table(spark, table, inc, D.LOAD2_TS, buckets=5)
     return arrays_as_text(upsert.read_table(spark, table))
 
 
 def run_log_append(spark, sf):
-    """The run log of a table to which one run per year, then one over all works, was published."""
+    """The run log of a table to which one run per year, then one over all works, was appended."""
     table = scratch(spark, "table")
     for r in D.runs(spark, sf).orderBy("id").collect():  # one row per calendar year
         append_run(spark, table, r.asDict(), r["paper_count"], r["created_at"])
     header = {"fetched_at": D.LOAD_TS, "from_date": D.FULL_FROM, "to_date": D.FULL_TO,
               "subfield_id": SUBFIELD_BASE + D.EXPECTED_SUBFIELD}
     append_run(spark, table, header, D.raw_works(spark, sf).count(), D.LOAD_TS)
-    return commits.read_runs(spark, table)
+    return tables.read_runs(spark, table)
 
 
 def _verdicts(raw: DataFrame) -> DataFrame:
@@ -301,24 +301,23 @@ def job_from_export(spark, sf):
     again = job.JobConfig(table=scratch(spark, "table"), run_data_quality=False)
     job.run_from_export(spark, export, again)
     stored = upsert.read_table(spark, again.table).count()
-    return commits.read_runs(spark, again.table).select(
+    return tables.read_runs(spark, again.table).select(
         "id", "subfield_id", "from_date", "to_date", "paper_count", F.lit(stored).cast("long").alias("stored"))
 
 
 def incremental_ingest(spark, sf):
-    """Land the raw works as JSON Lines files, stream them in with foreachBatch
+    """Land the raw works as one export, stream its files in with foreachBatch
     upserts, read the resulting table.
 
-    Files are cut by key, so every copy of a work lands in the same file (the
-    first-wins order holds inside a micro-batch; across micro-batches the
-    later file overwrites, as a later export would).
+    Works are dealt to the files by their place, so that copies of a work lie in
+    different files and micro-batches, in any order.
     """
     from worklake.streaming.incremental import incremental_ingest as run
 
     root = scratch(spark, "stream")
-    raw = D.raw_works(spark, sf)
-    raw.repartition(4, "id").write.option("ignoreNullFields", "false").json(f"{root}/landing")
-    run(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=2)
+    header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"), "stamp": D.LOAD_TS.strftime("%Y%m%d_%H%M%S")}
+    W.write_export(D.raw_works(spark, sf).repartition(4, "_src", "_pos"), f"{root}/landing", header)
+    run(spark, f"{root}/landing/*/papers", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=2)
     return arrays_as_text(upsert.read_table(spark, f"{root}/table"))
 
 

@@ -171,13 +171,13 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType(), False),
 ])
 
-# One record per commit of a stored table. ``load`` names a folder of rows; with
-# ``covers`` it is a base holding all loads up to that number; ``run`` is the
-# run-log row of the load.
-COMMIT_SCHEMA = T.StructType([
+# One row per load of a stored table: the version in force from then on and the one
+# before, its number of buckets, the highest run id so far and the load's run-log row.
+LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
-    T.StructField("load", T.StringType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("covers", T.LongType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("previous", T.StringType()),
+    T.StructField("buckets", T.IntegerType()),
+    T.StructField("last_run", T.IntegerType()),
     T.StructField("run", RUNS_SCHEMA),
 ])

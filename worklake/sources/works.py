@@ -47,11 +47,11 @@ def parse_line(line: Column, schema: T.StructType = LANDING_SCHEMA) -> Column:
     return F.from_json(line, schema, _PERMISSIVE)
 
 
-def works_of_lines(lines: DataFrame) -> DataFrame:
-    """Raw works of rows with ``value`` (a JSON record), ``_file`` and ``_row`` (its place)."""
-    parsed = lines.where(F.trim("value") != "").select("_file", "_row", parse_line(F.col("value")).alias("w"))
+def works_of_lines(lines: DataFrame, *carried: str) -> DataFrame:
+    """Raw works of rows with ``value`` (a JSON record), ``_file`` and ``_row`` (its place), and the carried columns."""
+    parsed = lines.where(F.trim("value") != "").select("_file", "_row", *carried, parse_line(F.col("value")).alias("w"))
     return parsed.select(F.coalesce("w._src", "_file").alias("_src"), F.coalesce("w._pos", "_row").alias("_pos"),
-                         *[F.col(f"w.{c}").alias(c) for c in (*RAW_SCHEMA.fieldNames(), CORRUPT)])
+                         *carried, *[F.col(f"w.{c}").alias(c) for c in (*RAW_SCHEMA.fieldNames(), CORRUPT)])
 
 
 def read_works(spark: SparkSession, path: str | list[str]) -> DataFrame:
