@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     # The flat projection's reject rule is one wide CASE; inferring constraints
     # from it takes the optimizer tens of seconds and finds nothing to push.
     "spark.sql.constraintPropagation.enabled": "false",
+    # The JVM never compiles methods above 8,000 bytes of code: stages that would
+    # generate one run as separate, compiled projections (flatten: half the time).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Static: skip capturing the Python call site of every Column (plan
