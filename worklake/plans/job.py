@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -159,7 +160,7 @@ def _export_parts(spark: SparkSession, path: str) -> list[tuple[DataFrame, dict]
     W.check_envelopes(envelopes)
     # One header per envelope file: rows in the number of files, not of papers.
     headers = runlog.envelope_headers(envelopes).orderBy("fetched_at", "_src").collect()
-    return [(W.papers_of(envelopes.where(F.col("_src") == h["_src"])), h.asDict()) for h in headers]
+    return [(W.read_export(spark, unquote(h["_src"])), h.asDict()) for h in headers]  # file names are URIs
 
 
 def ingest_exports(spark: SparkSession, path: str, cfg: JobConfig) -> list[tuple[IngestResult, dict]]:

@@ -233,6 +233,10 @@ SELECT raw_id AS id, _src, _pos, raw_title AS title FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY raw_id ORDER BY _src, _pos) AS rn FROM rawf WHERE raw_id IS NOT NULL)
 WHERE rn = 1
 UNION ALL SELECT raw_id, _src, _pos, raw_title FROM rawf WHERE raw_id IS NULL"""
+    q["envelope_records"] = W + """
+SELECT CAST(k // 2000 AS BIGINT) AS envelope, COUNT(*) OVER (PARTITION BY k // 2000) AS count,
+       ROW_NUMBER() OVER (PARTITION BY k // 2000 ORDER BY _src, _pos) - 1 AS place, raw_id AS id, raw_title AS title
+FROM rawf"""
     q["first_wins_batch"] = W + f"SELECT openalex_id, _src, _pos, title FROM ({_dedup('flat')})"
     q["ingest_counters"] = W + """
 SELECT COUNT(*) AS papers,

@@ -20,7 +20,7 @@ from worklake.operators.flatten import REJECT, flatten, rejected
 from worklake.operators.runlog import append_run
 from worklake.plans import derived as D
 from worklake.plans import job
-from worklake.schema import KEY
+from worklake.schema import KEY, WORK_SCHEMA
 from worklake.session import ensure_checkpoint_dir
 from worklake.sources import tables
 from worklake.sources import works as W
@@ -265,6 +265,18 @@ def envelope_verdicts(spark, sf):
     return _verdicts(W.read_export(spark, path))
 
 
+def envelope_records(spark, sf):
+    """Places of the papers in envelopes of a few thousand orders each, and the envelopes' own counts."""
+    path = scratch(spark, "envelopes")
+    line = F.struct("_src", "_pos", W.json_line(WORK_SCHEMA.fieldNames()).alias("line"))
+    group = D.raw_works(spark, sf).groupBy(F.floor(F.col("_pos") / 2000).alias("g")).agg(F.array_sort(F.collect_list(line)).alias("w"))
+    document = F.concat(F.lit('{"papers": ['), F.array_join("w.line", ", "), F.lit('], "subfield": {"id": "'), "g",
+                        F.lit('"}, "count": '), F.size("w"), F.lit("}"))
+    group.repartition(F.col("g")).select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    own = W.read_envelopes(spark, path).select("_src", F.col("subfield.id").cast("long").alias("envelope"), "count")
+    return W.read_export(spark, path).join(own, "_src").select("envelope", "count", F.col("_pos").alias("place"), "id", "title")
+
+
 def _job(spark, sf) -> tuple[str, job.JobConfig]:
     """Landed works and the configuration of the job keys."""
     header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"),
@@ -363,6 +375,7 @@ QUERIES: dict[str, QueryFn] = {
     "landing_verdicts": landing_verdicts,
     "landing_counters": landing_counters,
     "envelope_verdicts": envelope_verdicts,
+    "envelope_records": envelope_records,
     "job_run_batch": job_run_batch,
     "job_manifest": job_manifest,
     "job_from_export": job_from_export,

@@ -5,10 +5,8 @@
   verdict is the same whatever columns a query selects; malformed lines are
   kept in ``_corrupt_record``.
 * ``read_export``  S3 — envelope documents (one JSON object per file with a
-  ``papers`` array); each paper's own text is parsed exactly as a landing
-  line, and ``posexplode`` keeps its position for the first-wins order. One
-  envelope is one task (not splittable); many envelopes read in parallel —
-  large exports use JSON Lines instead.
+  ``papers`` array), split by ``sources.envelopes``; each paper's own text is
+  parsed exactly as a landing line, with its place in the array for the first-wins order.
 * ``write_export`` S4 — papers as JSON Lines (parallel write) plus a one-row
   manifest with the envelope header; the papers are never gathered into one
   document or one task.
@@ -24,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from worklake.schema import ENVELOPE_SCHEMA, ORDER_COLUMNS, RAW_SCHEMA, WORK_SCHEMA
+from worklake.sources.envelopes import pieces
 
 CORRUPT = "_corrupt_record"
 LANDING_SCHEMA = T.StructType(
@@ -66,14 +65,13 @@ def read_works(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Envelope documents, one row per file, with the file name as ``_src``.
+    """The envelopes' own fields, one row per document, with the file name as ``_src``.
 
-    A path that the session's file systems don't have is an error of the read.
+    ``papers`` is empty: its records are ``read_export``'s. A path that the
+    session's file systems don't have is an error of the read.
     """
-    paths = [path] if isinstance(path, str) else path
-    return (spark.read.text(paths, wholetext=True)
-            .select(F.input_file_name().alias("_src"), parse_line(F.col("value"), ENVELOPE_SCHEMA).alias("e"))
-            .select("_src", "e.*"))
+    _, around = pieces(spark, path)
+    return around.select(F.col("file").alias("_src"), parse_line(F.col("text"), ENVELOPE_SCHEMA).alias("e")).select("_src", "e.*")
 
 
 class EnvelopeError(ValueError):
@@ -86,15 +84,10 @@ def check_envelopes(envelopes: DataFrame) -> None:
         raise EnvelopeError("unreadable export envelope(s): " + ", ".join(bad))
 
 
-def papers_of(envelopes: DataFrame) -> DataFrame:
-    """S3: explode ``papers`` keeping the position; absent/NULL papers = no rows."""
-    lines = envelopes.select(F.col("_src").alias("_file"), F.posexplode("papers").alias("_row", "value"))
-    # A paper's place is its place in the envelope, whatever the record says.
-    return works_of_lines(lines.withColumns({"_row": F.col("_row").cast("long"), "value": F.coalesce("value", F.lit("null"))}))
-
-
 def read_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return papers_of(read_envelopes(spark, path))
+    """S3: the works of the envelopes' ``papers``; a paper's place is its place in the array."""
+    elements, _ = pieces(spark, path)
+    return works_of_lines(elements.select(F.col("text").alias("value"), F.col("file").alias("_file"), F.col("place").alias("_row")))
 
 
 def write_export(works: DataFrame, out_dir: str, header: dict,
