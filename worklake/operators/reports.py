@@ -21,7 +21,7 @@ from worklake.functions.scalar import bool_label, join_list, work_url
 TOP_K = 10
 ROLLING_DAYS = 7
 
-# Columns of the paper list report, in order.
+# Columns of the paper list report, in order.
 PAPER_LIST_COLUMNS = (
     "openalex_id", "doi", "title", "landing_page_url", "oa_url", "publication_date",
     "publication_year", "work_type", "language", "is_oa", "oa_status", "is_retracted",
@@ -31,7 +31,7 @@ PAPER_LIST_COLUMNS = (
     "ingested_at",
 )
 
-# Columns of the display table, in order.
+# Columns of the display table, in order.
 DISPLAY_COLUMNS = (
     "title", "openalex_url", "publication_date", "primary_topic_name", "source_name",
     "oa", "cited_by_count", "author_count", "countries",
@@ -152,17 +152,20 @@ def kpis(papers: DataFrame, state: FilterState) -> DataFrame:
     Empty selection → 0, 0.0, 0, 0, 0.0.
     """
     rows = filtered(papers, state)
-    known = F.count
     histogram = rows.groupBy("cited_by_count").agg(
-        known(F.lit(1)).alias("n"), F.sum(F.col("is_oa").cast("int")).alias("oa"), known("is_oa").alias("n_oa"),
-        F.sum("author_count").alias("authors"), known("author_count").alias("n_authors"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_oa").cast("int")).alias("oa"), F.count("is_oa").alias("n_oa"),
+        F.sum("author_count").alias("authors"), F.count("author_count").alias("n_authors"))
+    return kpis_of(histogram, rows.select("primary_topic_name").distinct())
+
+
+def kpis_of(histogram: DataFrame, topics: DataFrame) -> DataFrame:
+    """A8 of the histogram of citation counts and the distinct topics."""
     one = histogram.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("publications"),
         F.coalesce(F.sum("oa") / F.sum("n_oa") * 100, F.lit(0.0)).alias("oa_pct"),
         F.coalesce(F.expr("percentile(cited_by_count, 0.5D, n)"), F.lit(0.0)).alias("median_citations"),
         F.coalesce(F.sum("authors") / F.sum("n_authors"), F.lit(0.0)).alias("avg_authors"))
-    topics = rows.select("primary_topic_name").distinct().agg(known("primary_topic_name").alias("topics"))
-    both = one.unionByName(topics, allowMissingColumns=True)  # two rows
+    both = one.unionByName(topics.agg(F.count("primary_topic_name").alias("topics")), allowMissingColumns=True)  # two rows
     return both.agg(*[F.max(c).alias(c) for c in (
         "publications", "oa_pct", "median_citations", "topics", "avg_authors")])
 
@@ -180,8 +183,12 @@ def trend(papers: DataFrame, state: FilterState) -> DataFrame:
     W1: the window has no partition key, but it runs over one row per day
     of the filter window, never over paper rows.
     """
-    counts = by_date(papers, state)
-    daily = (calendar(papers.sparkSession, state).join(counts, "publication_date", "left")
+    return trend_of(papers.sparkSession, by_date(papers, state), state)
+
+
+def trend_of(spark, counts: DataFrame, state: FilterState) -> DataFrame:
+    """E6 of the counts by date."""
+    daily = (calendar(spark, state).join(counts, "publication_date", "left")
              .select("publication_date",
                      F.coalesce(F.col("papers"), F.lit(0)).cast("bigint").alias("daily_papers")))
     w = Window.orderBy("publication_date").rowsBetween(-(ROLLING_DAYS - 1), 0)
@@ -194,7 +201,11 @@ def trend_kpis(papers: DataFrame, state: FilterState) -> DataFrame:
 
     An all-zero series has no KPIs: the result is then empty.
     """
-    series = trend(papers, state)
+    return trend_kpis_of(trend(papers, state))
+
+
+def trend_kpis_of(series: DataFrame) -> DataFrame:
+    """A10 of a daily series."""
     return (series.agg(
         F.sum("daily_papers").alias("total"),
         F.avg("daily_papers").alias("avg_per_day"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from worklake.operators import dedup, dq, reports, upsert
+from worklake.operators import dedup, dq, page, reports, upsert
 from worklake.operators.flatten import REJECT, flatten, rejected
 from worklake.operators.runlog import append_run
 from worklake.plans import derived as D
@@ -150,6 +150,22 @@ def date_bounds(spark, sf):
     return reports.date_bounds(D.papers(spark, sf), D.AS_OF)
 
 
+def page_view(spark, sf):
+    """E5: all tables of the report page as rows, from one scan."""
+    return page.page_rows(page.page_view(D.papers(spark, sf), FULL))
+
+
+def page_view_filtered(spark, sf):
+    return page.page_rows(page.page_view(D.papers(spark, sf), FILTERED))
+
+
+def stored_date_bounds(spark, sf):
+    """A6 of a stored table, from file footers."""
+    table = scratch(spark, "table")
+    upsert.upsert_table(spark, table, dedup.batch_dedup(D.flat_works(spark, sf)), D.LOAD_TS)
+    return page.stored_date_bounds(spark, table, D.AS_OF)
+
+
 def topic_list(spark, sf):
     return reports.topic_list(D.papers(spark, sf))
 
@@ -351,6 +367,9 @@ QUERIES: dict[str, QueryFn] = {
     "top_venues": top_venues,
     "top_countries": top_countries,
     "date_bounds": date_bounds,
+    "page_view": page_view,
+    "page_view_filtered": page_view_filtered,
+    "stored_date_bounds": stored_date_bounds,
     "topic_list": topic_list,
     "kpis": kpis,
     "trend_7d": trend_7d,
