@@ -103,6 +103,30 @@ def test_runs_find_every_shared_block(spark):
         assert all(set(L.copied(first, sides[0])) <= set(want[k]) for first in sides[1:])
 
 
+def test_aligned_lines_equal_brute_force():
+    draw = random.Random(7)
+    for _ in range(400):
+        code = {x: (hash((x, 1)) & ~L._WORDS) | (x % 5 + 1) for x in range(9)}
+        a, b = ([draw.randint(0, draw.choice([2, 8])) for _ in range(draw.randint(0, 30))] for _ in range(2))
+        b += a[3:12] * draw.randint(0, 3)
+        want = set()
+        for n in range(len(b)):
+            for p in range(len(a)):
+                m = 0
+                while n + m < len(b) and p + m < len(a) and b[n + m] == a[p + m]:
+                    m += 1
+                if sum(x % 5 + 1 for x in b[n:n + m]) >= L.MIN_WORDS:
+                    want |= set(range(n, n + m))
+        assert L.aligned_lines(dict(enumerate(code[x] for x in a)), dict(enumerate(code[x] for x in b))) == want
+
+
+def test_patience_is_on_the_path(spark, monkeypatch):
+    block = [LINE.format(k) for k in range(9)]
+    first, later = ({n: (hash(x) & ~L._WORDS) | 10 for n, x in enumerate(t)} for t in (block, ["own", *block]))
+    monkeypatch.setattr(L, "diagonals", lambda *a: set())
+    assert L.aligned_lines(first, later) == set(range(1, 10))
+
+
 def test_crossing_and_repeated_blocks(spark):
     x, y = ["one two three four five", "six seven eight"], ["a b c d", "e f g h", "i j k l"]
     docs = [(1, "\n".join([*x, "first", *y])), (2, "\n".join([*y, "second", *x])), (3, "\n".join([*x, "third", *x, *x])),

@@ -1,16 +1,22 @@
-"""Line deduplication by shared blocks.
+"""Line deduplication by pairwise alignment of overlapping documents.
 
 A line is a document's line with a word, without white space at its ends. A
 block is a sequence of consecutive lines. Of every document those lines are
 deleted that lie in a block of at least ``min_words`` words which an earlier
 document holds, too, wherever and however often either holds it.
 
-Such a block is a union of its shortest runs: from each of its lines the
-shortest run of ``min_words`` words onwards, and the shortest one back. All
-shortest runs of all documents are hashed and each meets its first holder (the
-earliest document), so a block is found whatever documents hold its single
-lines. A line begins or ends two runs, of at most ``min_words`` lines each: work
-stays in proportion to the lines, and no line is too frequent to be followed.
+1. Overlapping documents are found through hashed line sequences that are rare enough to
+   be evidence: shortest runs of ``min_words`` words onwards and back from each line (a long
+   line is a run of its own, short frequent lines count with their neighbours only). Each run meets
+   its first holder, the earliest document with it. A line begins or ends two runs, of at
+   most ``min_words`` lines each: work stays in proportion to the lines.
+2. A document and each of its holders are a pair, to which both bring the hashes of their lines in shared runs.
+3. ``aligned_lines`` aligns a pair by patience diff. Matched blocks of ``min_words`` words are taken
+   out of the later document and the rest is aligned again, as long as that takes out a tenth of it;
+   what patience leaves (blocks in crossing order, or held more often by the later document, ranges
+   without a unique line) goes through a plain diff along the diagonals of equal lines.
+4. The lines of aligned blocks are deleted from the later document.
+
 The first holder of a run keeps it, unless another run of its own was copied.
 
 Documents are ordered by id, then by a hash of the text. Defined results: null
@@ -37,6 +43,8 @@ MIN_WORDS = 8
 RUN_LINES = 1 << 18
 
 _SPACES = " \t\x0b\x0c\r"
+#: The lowest bits of a line's code are its number of words, at most so many; the others are its hash's.
+_WORDS = (1 << 16) - 1
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -86,10 +94,7 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def copied(first: list[tuple], later: list[tuple], min_words: int = MIN_WORDS) -> list[int]:
-    """Line numbers of the later document in aligned blocks; lines are (number, hash, words).
-
-    One alignment in order: a part of what ``copied_lines`` deletes, which tests hold against it.
-    """
+    """Line numbers of the later document in aligned blocks; lines are (number, hash, words)."""
     shared = {h for _, h, _ in first} & {h for _, h, _ in later}
     a = [x for x in first if x[1] in shared]
     b = [x for x in later if x[1] in shared]
@@ -105,6 +110,45 @@ def copied(first: list[tuple], later: list[tuple], min_words: int = MIN_WORDS) -
     return out + block if words >= min_words else out
 
 
+def diagonals(first: dict[int, int], later: dict[int, int], left: list[int], min_words: int = MIN_WORDS) -> set[int]:
+    """Plain diff of the lines ``left``: those in blocks of equal lines on one diagonal; lines are number: code."""
+    places: dict[int, list[int]] = {}
+    for p, code in first.items():
+        places.setdefault(code, []).append(p)
+    out: set[int] = set()
+    for n in left:
+        for p in places.get(later[n], ()):
+            if n in out:
+                break
+            lo, hi, words = 0, 1, words_in(later[n])
+            while n - lo - 1 in later and later[n - lo - 1] == first.get(p - lo - 1):
+                lo += 1
+                words += words_in(later[n - lo])
+            while n + hi in later and later[n + hi] == first.get(p + hi):
+                words += words_in(later[n + hi])
+                hi += 1
+            if words >= min_words:
+                out.update(range(n - lo, n + hi))
+    return out
+
+
+def words_in(code: int) -> int:
+    return code & _WORDS
+
+
+def aligned_lines(first: dict[int, int], later: dict[int, int], min_words: int = MIN_WORDS) -> set[int]:
+    """Line numbers of the later document in blocks that both hold; lines are number: code (hash and words)."""
+    held = [(p, code, words_in(code)) for p, code in sorted(first.items())]
+    rest, gone = sorted(later), set()
+    while rest:
+        found = copied(held, [(n, later[n], words_in(later[n])) for n in rest], min_words)
+        gone.update(found)
+        if 10 * len(found) < len(rest):
+            break
+        rest = [n for n in rest if n not in gone]
+    return gone | diagonals(first, later, [n for n in sorted(later) if n not in gone], min_words)
+
+
 def worded_lines(text: Column) -> Column:
     trimmed = F.transform(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(_SPACES)))
     return F.filter(trimmed, lambda line: line != "")
@@ -143,7 +187,7 @@ def shortest_runs(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray, min_w
 
 
 def hashed_runs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, number, size, run): the shortest runs of every document, by number of their first line."""
+    """(key, number, run, lines): the shortest runs of every document, by number of their first line, with their lines' codes."""
     lines = worded_lines(text_or_empty(text_col))
     units = (small_batches(docs).where(F.col(id_col).isNotNull())
              .select(document_key(id_col, text_col).alias("key"), lines.alias("lines"))
@@ -165,28 +209,51 @@ def hashed_runs(docs: DataFrame, min_words: int, id_col: str, text_col: str) ->
                 row = np.repeat(np.arange(to - at), sizes)
                 start, size, found = shortest_runs(hashes.view(np.uint64), words, (ends[at:to] - done)[row], min_words)
                 number = start - (ends[at:to] - done - sizes)[row[start]]
+                codes = (hashes & ~np.int64(_WORDS)) | np.minimum(words, _WORDS)
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                within = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size) + np.repeat(start, size)
                 of = pa.array(row[start])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(of), part.column(1).take(of), pa.array(number.astype(np.int32)),
-                     pa.array(size.astype(np.int32)), pa.array(found.view(np.int64))], ["doc_id", "v", "number", "size", "run"])
+                    [part.column(0).take(of), part.column(1).take(of), pa.array(number.astype(np.int32)), pa.array(found.view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(codes[within]))],
+                    ["doc_id", "v", "number", "run", "lines"])
                 at = to
 
-    return units.mapInArrow(run, "doc_id long, v long, number int, size int, run long").select(
-        F.struct("doc_id", "v").alias("key"), "number", "size", "run")
+    return units.mapInArrow(run, "doc_id long, v long, number int, run long, lines array<long>").select(
+        F.struct("doc_id", "v").alias("key"), "number", "run", "lines")
 
 
 def copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, v, numbers, sources): the line numbers to delete per document, and the ids they were copied from."""
     runs = hashed_runs(docs, min_words, id_col, text_col)
-    holders = (runs.groupBy("run").agg(F.min("key").alias("holder"), F.max("key").alias("latest"))
-               .where("holder < latest").drop("latest"))
-    found = (runs.join(holders, "run").where("holder < key")
-             .select("key.doc_id", "key.v", F.col("holder.doc_id").alias("source"),
-                     F.sequence("number", F.col("number") + F.col("size") - 1).alias("numbers")))
-    return (found.groupBy("doc_id", "v").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("numbers")))).alias("numbers"),
-        F.array_sort(F.collect_set("source")).alias("sources")))
+    holders = (runs.groupBy("run").agg(F.min(F.struct("key", "number", "lines")).alias("held"), F.max("key").alias("latest"))
+               .where("held.key < latest").drop("latest"))
+    # Each later document with its holders' lines and its own, of the runs that they share.
+    found = (runs.join(holders, "run").where("held.key < key")
+             .groupBy("key").agg(F.collect_list(F.struct("held.key", F.col("held.number").alias("place"), "held.lines",
+                                                         "number", F.col("lines").alias("own"))).alias("shared"))
+             .select("key.doc_id", "key.v", "shared"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            numbers, sources = [], []
+            for shared in batch.column(2):
+                pairs: dict = {}
+                for s in shared.as_py():
+                    first, later = pairs.setdefault((s["key"]["doc_id"], s["key"]["v"]), ({}, {}))
+                    first.update(enumerate(s["lines"], s["place"]))
+                    later.update(enumerate(s["own"], s["number"]))
+                gone = {holder: aligned_lines(first, later, min_words) for holder, (first, later) in pairs.items()}
+                numbers.append(sorted(set().union(*gone.values())))
+                sources.append(sorted({holder[0] for holder, lines in gone.items() if lines}))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(numbers, pa.list_(pa.int32())), pa.array(sources, pa.list_(pa.int64()))],
+                ["doc_id", "v", "numbers", "sources"])
+
+    return found.mapInArrow(run, "doc_id long, v long, numbers array<int>, sources array<long>")
 
 
 def without_lines(text: str, numbers: set[int]) -> str:
