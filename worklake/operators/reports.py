@@ -196,6 +196,24 @@ def trend_of(spark, counts: DataFrame, state: FilterState) -> DataFrame:
             .orderBy("publication_date"))
 
 
+def topic_trend(papers: DataFrame, state: FilterState) -> DataFrame:
+    """W1 by topic: every day of the filter window for each topic in it, with its 7-day trailing mean.
+
+    Papers are counted per topic and day before any window, so that a topic
+    with a third of all papers is as many rows as any other: its days. The
+    frame is a range of days and holds for gaps as well; days without papers come from the spine.
+    """
+    day = F.unix_date("publication_date")
+    counts = (filtered(papers, state).where("primary_topic_name IS NOT NULL")
+              .groupBy(F.col("primary_topic_name").alias("topic"), "publication_date").agg(F.count(F.lit(1)).alias("n")))
+    spine = counts.select("topic").distinct().select("topic", F.explode(F.sequence(
+        F.lit(state.from_date), F.lit(state.to_date), F.expr("INTERVAL 1 DAY"))).alias("publication_date"))
+    w = Window.partitionBy("topic").orderBy(day).rangeBetween(-(ROLLING_DAYS - 1), 0)
+    return (spine.join(counts, ["topic", "publication_date"], "left")
+            .select("topic", "publication_date", F.coalesce("n", F.lit(0)).cast("bigint").alias("daily_papers"))
+            .withColumn("avg_7d", F.bround(F.avg("daily_papers").over(w), 1)))
+
+
 def trend_kpis(papers: DataFrame, state: FilterState) -> DataFrame:
     """A10: total, mean per calendar day, peak day (earliest on ties), peak count.
 

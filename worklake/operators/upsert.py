@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
@@ -75,14 +76,14 @@ def _write_version(df: DataFrame, folder: str, buckets: int) -> None:
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
 
 
-def _sent(counted: Observation) -> int:
-    """The rows counted while they were written; a batch that Spark plans away as empty has no count."""
+def observed(counted: Observation) -> dict:
+    """What was counted while rows were written; rows that Spark plans away as empty have no counts."""
     try:
-        return counted.get["n"]
+        return counted.get
     except Py4JJavaError as e:
         if "AssertionError" not in str(e.java_exception):
             raise
-        return 0
+        return {}
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -90,11 +91,11 @@ def default_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,
+def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | Callable[[], dict] | None = None,
          buckets: int | None = None) -> tuple[int, int | None]:
     """Upsert accepted, de-duplicated rows into the table at ``path``: (rows sent, the run's id).
 
-    ``run`` is the load's run-log row without its id. ``buckets`` sizes the next
+    ``run`` is the load's run-log row without its id, or gives it once the rows are written. ``buckets`` sizes the next
     version (about the table's bytes by 128 MB); without it the stored number stays. If it
     differs from the stored one, the merged rows are shuffled once more.
     """
@@ -115,10 +116,10 @@ def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: di
             if buckets != before.buckets:
                 merged = merged.repartition(buckets, KEY)
             _write_version(merged, folder, buckets)
-    run_id = tables.append_log(spark, path, before, run, version, buckets)
+    run_id = tables.append_log(spark, path, before, run() if callable(run) else run, version, buckets)
     if before.previous:  # the version before this one stays for readers under way
         tables.delete(spark, tables.version_folder(path, before.previous))
-    return _sent(counted), run_id
+    return observed(counted).get("n", 0), run_id
 
 
 def upsert_table(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | None = None,

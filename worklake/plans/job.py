@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from worklake.operators import dedup, dq, runlog, upsert
-from worklake.operators.flatten import assert_no_constraint_violations, flatten
+from worklake.operators.flatten import REJECT, assert_no_constraint_violations, flatten
 from worklake.session import stage, unstage
 from worklake.sources import works as W
 from worklake.sources.tables import ensure_tables, read_runs
@@ -64,6 +64,7 @@ class IngestResult:
     skipped_invalid: int
     duplicates_in_file: int
     papers: int
+    row_checks: dict[str, int] = field(default_factory=dict)  # violations among the rows of this load
 
 
 @dataclass
@@ -78,21 +79,27 @@ def ingest(spark: SparkSession, raw: DataFrame, header: dict, cfg: JobConfig,
            loaded_at: dt.datetime | None = None) -> IngestResult:
     """Flatten, reject, de-duplicate, then store facts and run row together (E3 inner).
 
-    The flattened batch is staged once for the counters and the load, and deleted afterwards.
+    One job: the counters (A13) and the row checks of the load's rows are observed
+    while its rows are merged. Only ``strict`` reads the batch before.
     """
     runlog.validate_header(header)  # the run row is required: fail before writing facts
     ensure_tables(spark, cfg.table)
-    flat = stage(flatten(raw), "ingest-flat")
-    try:
-        if cfg.strict:
-            assert_no_constraint_violations(flat)
-        c = dedup.counters_of_flat(flat).first()
-        loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        run = runlog.run_fields(header, c["papers"] or 0, loaded_at)
-        sent, run_id = upsert.load(spark, cfg.table, dedup.batch_dedup(flat), loaded_at, run, cfg.buckets)
-    finally:
-        unstage(flat)
-    return IngestResult(run_id, sent, c["skipped_invalid"], c["duplicates_in_file"], c["papers"] or 0)
+    loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    flat = flatten(raw)
+    if cfg.strict:
+        assert_no_constraint_violations(flat)
+    seen, checked = Observation("flattened"), Observation("sent rows")
+    checks = [c for c in dq.default_checks(cfg.subfield_search, cfg.as_of) if c.predicate is not None]
+    counted = flat.observe(seen, F.count(F.lit(1)).alias("papers"), F.count_if(F.col(REJECT).isNotNull()).alias("invalid"))
+    batch = dedup.batch_dedup(counted).observe(checked, *[dq.count_if_true(c.predicate).alias(c.name) for c in checks])
+
+    def run() -> dict:
+        return runlog.run_fields(header, upsert.observed(seen).get("papers", 0), loaded_at)
+
+    sent, run_id = upsert.load(spark, cfg.table, batch, loaded_at, run, cfg.buckets)
+    c = {"papers": 0, "invalid": 0, **upsert.observed(seen)}
+    found = {c.name: 0 for c in checks} | upsert.observed(checked)
+    return IngestResult(run_id, sent, c["invalid"], c["papers"] - c["invalid"] - sent, c["papers"], found)
 
 
 def run_quality(spark: SparkSession, cfg: JobConfig, subfield_name: str | None = None) -> list:
@@ -112,7 +119,7 @@ def _gate(cfg: JobConfig, results: list) -> None:
 def select_recent(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, dict, int]:
     """Subfield lookup, date window, M1 dedup and classification check.
 
-    Besides the subfield list the landing is read once: the window's records are
+    Besides the subfield list only the window is read, once: its records are
     staged, and all later steps read the staged copy.
     """
     raw = W.read_works(spark, cfg.landing)
@@ -120,7 +127,7 @@ def select_recent(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, dict,
     start, end = cfg.date_range()
     found = Observation("selected")
     has_id = F.coalesce(F.col("id") != "", F.lit(False))
-    window = W.source_filter(raw, sub["id"], start, end).observe(found, F.count_if(has_id).alias("n"))
+    window = W.read_window(spark, cfg.landing, sub["id"], start, end).observe(found, F.count_if(has_id).alias("n"))
     selected = stage(dedup.fetch_dedup(window), "selected")
     # Records with an id that the first-wins step dropped: those it read less those it kept.
     skipped = found.get["n"] - selected.where(has_id).count()

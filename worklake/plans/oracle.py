@@ -361,6 +361,20 @@ GROUP BY openalex_id HAVING COUNT(*) > 1"""
     for check, key in names.items():
         q[key] = W + f"SELECT {_PLANTED[check][1]} FROM {_found(check)}"
     q["dq_ingest_reconciliation"] = W + "," + _RECONCILE + "\nSELECT * FROM recon_v"
+    q["dq_reconcile_runs"] = W + """,
+counted AS (SELECT r.id, COUNT(p.openalex_id) AS n FROM runs r
+            LEFT JOIN papers p ON p.publication_date BETWEEN r.from_date AND r.to_date GROUP BY r.id)
+SELECT r.id, from_date, to_date, CAST(paper_count AS BIGINT) AS expected_from_export, n AS rows_in_date_window,
+       n = 0 OR ABS(n - paper_count) > GREATEST(paper_count * 0.05, 1) AS violated
+FROM runs r JOIN counted c ON c.id = r.id"""
+    q["landing_window"] = q["source_filter"]
+    q["trend_by_topic"] = trend + """,
+topics AS (SELECT DISTINCT primary_topic_name AS topic FROM papers WHERE primary_topic_name IS NOT NULL AND """ + _FULL + """),
+daily AS (SELECT primary_topic_name AS topic, publication_date, COUNT(*) AS n FROM papers WHERE """ + _FULL + """ GROUP BY 1, 2)
+SELECT t.topic, c.publication_date, COALESCE(n, 0) AS daily_papers,
+       round_even(AVG(COALESCE(n, 0)) OVER (PARTITION BY t.topic ORDER BY c.publication_date
+                  RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 1) AS avg_7d
+FROM topics t CROSS JOIN cal c LEFT JOIN daily d ON d.topic = t.topic AND d.publication_date = c.publication_date"""
     summary = W + "," + _RECONCILE + _summary_cte()
     q["dq_summary"] = summary + "\nSELECT * FROM summary"
     samples = "\nUNION ALL ".join(

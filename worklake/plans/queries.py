@@ -206,6 +206,23 @@ def dq_ingest_reconciliation(spark, sf):
     return dq.reconcile(D.papers(spark, sf), D.runs(spark, sf))
 
 
+def dq_reconcile_runs(spark, sf):
+    """Every run of the log against the rows of its window."""
+    return dq.reconcile_runs(D.papers(spark, sf), D.runs(spark, sf))
+
+
+def landing_window(spark, sf):
+    """The source query over a landing parted by publication month."""
+    path = scratch(spark, "landing")
+    W.write_landing(D.raw_works(spark, sf), path)
+    return (W.read_window(spark, path, SUBFIELD_BASE + SUBFIELD_TERM.upper(), *SOURCE_WINDOW)
+            .select("id", "publication_date", "title", "_src", "_pos"))
+
+
+def trend_by_topic(spark, sf):
+    return reports.topic_trend(D.papers(spark, sf), FULL)
+
+
 def dq_summary(spark, sf):
     return dq.summary(D.papers(spark, sf), D.runs(spark, sf), _checks())
 
@@ -385,6 +402,9 @@ QUERIES: dict[str, QueryFn] = {
     "dq_countries_count": _row_check("countries_count_matches_array"),
     "dq_missing_hierarchy": _row_check("missing_topic_hierarchy"),
     "dq_ingest_reconciliation": dq_ingest_reconciliation,
+    "dq_reconcile_runs": dq_reconcile_runs,
+    "landing_window": landing_window,
+    "trend_by_topic": trend_by_topic,
     "dq_summary": dq_summary,
     "dq_samples": dq_samples,
     "dq_gate": dq_gate,

@@ -53,6 +53,35 @@ def works_of_lines(lines: DataFrame, *carried: str) -> DataFrame:
                          *carried, *[F.col(f"w.{c}").alias(c) for c in (*RAW_SCHEMA.fieldNames(), CORRUPT)])
 
 
+#: Folder column of a parted landing: the publication month, or ``OTHER_MONTH`` without a valid date.
+MONTH, OTHER_MONTH = "published", "none"
+
+
+def write_landing(works: DataFrame, folder: str) -> None:
+    """Works as JSON Lines in one folder per publication month, which ``read_window`` prunes."""
+    order = [c for c in ORDER_COLUMNS if c in works.columns]
+    month = F.date_format(F.try_to_date(F.col("publication_date"), "yyyy-MM-dd"), "yyyy-MM")
+    (works.select(json_line(order + WORK_SCHEMA.fieldNames()).alias("value"), F.coalesce(month, F.lit(OTHER_MONTH)).alias(MONTH))
+     .write.partitionBy(MONTH).mode("overwrite").text(folder))
+
+
+def read_window(spark: SparkSession, path: str, subfield_id: str, from_date, to_date) -> DataFrame:
+    """S1 + F6: the works of one subfield in an inclusive date window, parsing as little as possible.
+
+    Month folders outside the window aren't opened, if the landing has any. Lines without the
+    last segment of the subfield's id in their text (nor an escaped character, which may hide it) can't match
+    and are dropped before the JSON parse; the records that remain are filtered as ``source_filter`` does.
+    """
+    lines = spark.read.text(path)
+    if MONTH in lines.columns:
+        first, last = (F.date_format(F.lit(d).cast("date"), "yyyy-MM") for d in (from_date, to_date))
+        lines = lines.where(F.col(MONTH).cast("string").between(first, last))
+    tail = subfield_id.rstrip("/").split("/")[-1]
+    lines = lines.where(F.col("value").contains(tail) | F.col("value").contains("\\u"))
+    works = works_of_lines(lines.select("value", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_row")))
+    return source_filter(works, subfield_id, from_date, to_date)
+
+
 def read_works(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON Lines works with first-wins order columns.
 
