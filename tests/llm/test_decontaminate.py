@@ -63,12 +63,21 @@ def test_edge_rows(spark):
                                   (None, item, None), (5, "clean " * 50_000, 5)], "doc_id long, text string, item_id int")
     items = spark.createDataFrame([(7, item), (7, item), (8, None), (9, ""), (10, "the"), (None, item)], "item_id long, text string")
     got = [(r.doc_id, r.item_id, r.distance) for r in D.find_leaks(docs, items).collect()]
-    assert sorted(got, key=str) == sorted([(3, 7, 0), (3, 7, 0), (None, 7, 0)], key=str)
+    assert sorted(got, key=str) == sorted([(d, i, 0) for d in (3, 3, None) for i in (7, 10)], key=str)
     kept = D.drop_leaks(docs, items)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
     assert D.find_leaks(docs, items.limit(0)).count() == 0 and D.find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_short_items_match_whole_words_unchanged(spark):
+    docs = spark.createDataFrame([(1, "So: WHAT is 2 + 2?"), (2, "what is 2 23"), (3, "what is 2 2"), (4, "xwhat is 2 2"),
+                                  (5, "what is 22"), (6, "no no no")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "What is 2+2?"), (8, "no no"), (9, "+")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.distance, r.end) for r in D.find_leaks(docs, items).collect()) == [
+        (1, 7, 0, 14), (3, 7, 0, 11), (6, 8, 0, 5)]
+    assert sorted(r.doc_id for r in D.drop_leaks(docs, items).collect()) == [2, 4, 5]
+
+
 def test_query_finds_planted_passages(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()

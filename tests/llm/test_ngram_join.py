@@ -63,10 +63,21 @@ def test_edge_rows(spark):
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in N.link_components(df, 4, 85).collect())
     assert got == [("1", 37, 1), ("3", 37, 1), ("3", 37, 1), ("7", 0, 7), ("None", 37, None)]
     kept = N.keep_first(df)
-    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7", "None"]
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7"]
     assert N.link_components(df.limit(0), 4, 85).count() == 0
 
 
+def test_ids_with_several_texts_and_repeated_rows(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    df = spark.createDataFrame([(1, a), (5, b), (7, a), (7, b), (9, c), (9, c), (9, None), (None, c), (None, "")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in N.link_components(df, 4, 85).collect()), key=str)
+    assert got == [(1, 27, 1), (5, 27, 1), (7, 27, 1), (7, 27, 1), (9, 0, 9), (9, 27, 9), (9, 27, 9), (None, 0, None), (None, 27, None)]
+    kept = sorted(((r.doc_id, r.text) for r in N.keep_first(df).collect()), key=str)
+    assert kept == sorted([(1, a), (5, b), (9, c), (9, None), (None, "")], key=str)
+    same = spark.createDataFrame([(4, a)] * 3 + [(None, b)] * 2, "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in N.keep_first(same).collect()), key=str) == [(4, a), (None, b)]
+
+
 def test_bitmap_bound_is_never_too_low():
     draw = np.random.default_rng(3)
     for _ in range(200):

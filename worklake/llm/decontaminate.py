@@ -10,8 +10,10 @@ bit-parallel algorithm gives the smallest edit distance of the item there.
 The test items are bounded blocks of at most ``BLOCK_CHARS`` characters, sent
 to the tasks; a larger benchmark is run block by block over all documents.
 
-Defined results: null and empty texts match nothing; items below ``min_words``
-words (null and empty ones too) are no evidence of a leak and match nothing;
+Items below ``min_words`` words must occur unchanged between word boundaries: an edit
+or a part of a word would make them other items.
+
+Defined results: null and empty texts, and items without a word, match nothing;
 repeated items count once per item id; repeated rows give repeated rows; an
 empty table gives no rows; other columns are ignored.
 """
@@ -88,12 +90,20 @@ class Matcher:
 
         self.items: list[tuple[int, str, int]] = []  # (item id, pattern, budget)
         places: dict[str, list[tuple[int, int]]] = {}
+        short: dict[str, list[int]] = {}
         for item_id, text in sorted({(i, normal_form(t or "")) for i, t in items if i is not None}):
             if text.count(" ") + 1 >= min_words:
                 budget = int(error_rate * len(text))
                 for piece, offset in cut(text, budget):
                     places.setdefault(piece, []).append((len(self.items), offset))
                 self.items.append((item_id, text, budget))
+            elif text:
+                short.setdefault(f" {text} ", []).append(item_id)
+        self.short = ahocorasick.Automaton() if short else None
+        for text, ids in short.items():
+            self.short.add_word(text, ids)
+        if short:
+            self.short.make_automaton()
         self.masks: dict[int, dict[str, int]] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
@@ -103,11 +113,9 @@ class Matcher:
 
     def find(self, text: str) -> list[tuple[int, int, int]]:
         """(item id, distance, end in the normal form) of each item that the text contains."""
-        if not self.items:
-            return []
         line = normal_form(text)
         diagonals: dict[int, set[int]] = {}
-        for end, (length, where) in self.automaton.iter(line):
+        for end, (length, where) in self.automaton.iter(line) if self.items else ():
             for item, offset in where:
                 diagonals.setdefault(item, set()).add(end + 1 - length - offset)
         found: dict[int, tuple[int, int]] = {}
@@ -127,6 +135,9 @@ class Matcher:
                         best = (distance, start + at)
             if best and (item_id not in found or best < found[item_id]):
                 found[item_id] = best
+        for end, ids in self.short.iter(f" {line} ") if self.short else ():
+            for item_id in ids:  # the padded line is one character ahead, and the item ends before its blank
+                found[item_id] = min(found.get(item_id, (0, end - 1)), (0, end - 1))
         return [(i, *found[i]) for i in sorted(found)]
 
 

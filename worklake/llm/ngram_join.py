@@ -21,7 +21,7 @@ A text's set holds the 64-bit hashes of its distinct word n-grams. Steps:
 Defined results: null, empty and wordless texts have empty sets, linked with
 nothing; a text with fewer words than n has its whole sequence as its one
 member; equal texts are linked; rows repeated with their id are alike, and an id with
-several texts links with what any of them links with; rows with a null id get a
+several texts links with what any of them links with (rows are then linked first, and ids by their rows); rows with a null id get a
 null component; an empty table gives no rows; other columns are ignored.
 """
 
@@ -297,6 +297,8 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     texts = _texts(small_batches(docs), id_col, text_col)
     signed = stage(signatures(texts, n, percent, frequent(texts, n)), "signatures")
     known = signed.where("size > 0 AND doc_id IS NOT NULL")
+    if not known.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty():
+        return _link_ids(docs, n, percent, id_col, text_col, tile)
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = (known.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
             .select(F.col("doc_id").alias("id"), "size", "prefix").dropDuplicates(["id"]))
@@ -373,10 +375,37 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .otherwise(F.coalesce("component", "rep")).alias("component_id")))
 
 
+def _link_ids(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, tile: int) -> DataFrame:
+    """``link_components`` where an id has several texts: rows are linked, then the rows of one id."""
+    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                             F.monotonically_increasing_id().alias("row")), "rows")
+    linked = (link_components(rows, n, percent, "row", "text", tile)
+              .withColumnsRenamed({"doc_id": "row", "component_id": "group"}).join(rows.select("row", "id"), "row"))
+    linked = stage(linked, "linked")
+    known = linked.where("n_shingles > 0 AND id IS NOT NULL")
+    least = known.groupBy("id").agg(F.min("group").alias("least"))
+    merged = components(known.join(least, "id").select(F.col("group").alias("a"), F.col("least").alias("b")))
+    merged = merged.withColumnsRenamed({"id": "group", "component": "whole"})
+    named = linked.join(merged, "group", "left").withColumn("whole", F.coalesce("whole", "group"))
+    firsts = named.where("n_shingles > 0").groupBy("whole").agg(F.min("id").alias("first"))
+    return named.join(firsts, "whole", "left").select(
+        F.col("id").alias("doc_id"), "n_shingles",
+        F.when((F.col("n_shingles") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"))
+
+
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are the smallest id of their component."""
-    ids = link_components(docs, n, percent, id_col, text_col)
-    key = fresh("copy_id", docs)
-    gone = ids.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col(key), "left_anti")
+    """One row of each component, all columns: that with the smallest id, null last.
+
+    Rows are linked, not ids: of rows that repeat a document with its id one stays, and rows without an
+    id are linked like others. Rows with an empty set all stay.
+    """
+    row = fresh("row_number", docs)
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    linked = link_components(rows, n, percent, row, text_col).where("n_shingles > 0").withColumnsRenamed(
+        {"doc_id": "row", "component_id": "group"})
+    linked = linked.join(rows.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id")), "row")
+    linked = stage(linked.select("row", "group", F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("place")), "linked")
+    first = linked.groupBy("group").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = linked.join(first, "group").where("place <> first").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)
