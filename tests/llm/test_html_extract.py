@@ -52,6 +52,25 @@ def test_parsing():
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_broken_pages_are_parsed_in_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for piece in ("<a ", '<a "', "1 <b ", "<a '\"", '<a "><', "<!-", "<p title='", "<", "</", '<i "x">\'', "<!--"):
+        H.parse(piece * (2_000_000 // len(piece)))
+        H.parse(piece * (500_000 // len(piece)) + "> <p>end</p>")
+    assert time.perf_counter() - began < 60
+    text = lambda page: H.text_of(r := H.parse(page), [True] * len(H.nodes_of(r)))
+    assert text('<div title="unclosed><p>one</p><p>two</p>') == "one two"
+    assert text("<a title='it's'>one</a> <b title=\"x>y\">two</b>") == "one two"
+    assert text('a <b "><c>') == "a"
+
+
+def test_formulas_and_fallbacks_are_text():
+    text = lambda page: H.text_of(r := H.parse(page), [True] * len(H.nodes_of(r)))
+    assert text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><video>no player</video></article>") == "so x=2 holds no player"
+
+
 def test_hidden_is_an_attribute_of_that_name():
     for raw in ('aria-hidden="false"', 'href="/hidden-gems"', "title='hidden gems'", "src=/hidden.png alt=hidden", 'data-hidden class="a"',
                 "title='style=\"display: none\"'"):

@@ -35,7 +35,7 @@ TREES, DEPTH, STEP, SEED = 24, 5, 0.3, 11
 SPLIT = 1.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style noscript template svg math iframe object canvas audio video select button textarea".split())
+HIDDEN = frozenset("head script style template iframe select button textarea".split())
 RAW = frozenset(("script", "style", "textarea", "title"))
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td "
@@ -61,7 +61,9 @@ FEATURES = (*[f"tag_{t}" for t in TAGS], *[f"says_{t}" for t in TOKENS], *[f"in_
             *[f"in_{t}" for t in TOKENS], "log_chars", "link_share", "chars_per_tag", "points", "own_share", "depth",
             "before", "after", "likes", "page_share", "has_inputs", "paragraphs")
 
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*(?:>|$)""", re.DOTALL)
+_MARKUP = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|[!?])")
+_TAG_STOP = re.compile("[>\"']")
+_CUT_OFF = re.compile(r"</?[a-zA-Z!?]|</?$")
 # An attribute and its value, if any: a name inside another name or inside a value is none.
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _NAMING = re.compile(r"class|id|role|itemprop|data-[a-z]+|aria-label")
@@ -135,7 +137,7 @@ def parse(page: str) -> Node:
     if at < size:
         tail = page[at:]
         cut = tail.find("<")  # a tag that is cut off is no text
-        while cut >= 0 and not re.match(r"</?[a-zA-Z!?]|</?$", tail[cut:]):
+        while cut >= 0 and not _CUT_OFF.match(tail, cut):
             cut = tail.find("<", cut + 1)
         top.items.append(tail if cut < 0 else tail[:cut])
     return root
@@ -146,15 +148,27 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd la
 
 
 def _iterate(page: str):
-    """(start, end, closing, tag, attributes) of each markup piece; raw text is part of its piece."""
-    at = 0
+    """(start, end, closing, tag, attributes) of each markup piece; raw text is part of its piece.
+
+    Goes forward only: a search that found nothing is not repeated further on.
+    """
+    at, ends, last = 0, _TagEnds(page), page.rfind(">")
     while True:
-        match = _TAG.search(page, at)
+        match = _MARKUP.search(page, at)
         if match is None:
             return
-        start, at = match.span()
-        tag = (match[2] or "").lower()
-        if tag in RAW and not match[1] and not match[3].endswith("/"):
+        start = match.start()
+        if match[2] is None:
+            comment = page.startswith("<!--", start)
+            end = page.find("-->", start + 4) if comment else page.find(">", start)
+            at = len(page) if end < 0 else end + (3 if comment else 1)
+            yield start, at, "", "", ""
+            continue
+        if last < match.end():
+            return  # cut off: no tag ends any more
+        end = ends.after(match.end())
+        tag, rest, at = match[2].lower(), page[match.end():end], end + 1
+        if tag in RAW and not match[1] and not rest.endswith("/"):
             end = re.compile(f"</{tag}[\\s>/]|</{tag}$", re.IGNORECASE).search(page, at)
             if end is None:
                 yield start, len(page), "", "", ""
@@ -163,7 +177,36 @@ def _iterate(page: str):
             at = len(page) if close < 0 else close + 1
             yield start, at, "", "", ""  # its content is no text
         else:
-            yield start, at, match[1] or "", tag, match[3] or ""
+            yield start, at, match[1], tag, rest
+
+
+class _TagEnds:
+    """Where tags end: at the next ``>`` outside quotes.
+
+    A quote that no other one closes is a character like others; once no ``>`` is
+    found outside quotes, the page's quotes say nothing and the first ``>`` counts.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.alone, self.broken = page, set(), False
+
+    def after(self, at: int) -> int:
+        place = at
+        while not self.broken:
+            stop = _TAG_STOP.search(self.page, place)
+            if stop is None:
+                self.broken = True
+                break
+            if stop[0] == ">":
+                return stop.start()
+            place = stop.end()
+            if stop[0] not in self.alone:
+                close = self.page.find(stop[0], place)
+                if close < 0:
+                    self.alone.add(stop[0])
+                else:
+                    place = close + 1
+        return self.page.find(">", at)
 
 
 def nodes_of(root: Node) -> list[Node]:
@@ -456,8 +499,12 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "pag
     from pyspark.ml.functions import array_to_vector
 
     spark: SparkSession = pages.sparkSession
-    sample = (pages.select(F.xxhash64(F.col(id_col)).alias("h"), F.substring(text_or_empty(html_col), 1, 100_000).alias("html"))
-              .orderBy("h", "html").limit(sample_pages))
+    hashed = pages.select(F.xxhash64(F.col(id_col)).alias("h"), text_or_empty(html_col).alias("html"))
+    # Only hashes are sorted, not pages; rows of one hash (repeated ids) count once.
+    bound = hashed.select("h").distinct().orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
+    if bound is None:
+        return None
+    sample = hashed.where(F.col("h") <= bound).groupBy("h").agg(F.min("html").alias("html"))
 
     def run(batches):
         import pandas as pd
