@@ -47,8 +47,13 @@ def test_expressions():
     cases.pop("MIT. And so on")
     for text, expected in cases.items():
         assert L.evaluate(L.to_postfix(text))[:2] == expected
-    for text in ("", "AND MIT", "MIT OR", "(MIT", "MIT OR )", "()", "(MIT GPL)"):
+    for text in ("", "AND MIT", "(MIT", "()", "(MIT GPL)", "foobar is nice", "(it works)", "with MIT"):
         assert L.to_postfix(text) is None
+    for text in ("MIT OR", "MIT OR )", "MIT and it works", "MIT AND (GPL-2.0", "MIT WITH pleasure", "MIT, or so"):
+        assert L.to_postfix(text) == ["mit"], text
+    assert L.to_postfix("LicenseRef-Own OR BSD-3-Clause or else") == ["licenseref-own", "bsd-3-clause", "or"]
+    for word in ("it", "mitt", "gpl-x", "apache-2.0.", "license", "w3"):
+        assert not L.is_licence(word), word
     assert L.to_postfix("MIT ) rest") == ["mit"] and L.to_postfix("MIT rest of line") == ["mit"]
 
 
@@ -62,6 +67,45 @@ def test_tags_and_edge_rows(spark):
     assert L.scan_licenses(df.limit(0)).count() == 0
 
 
+def descent(tokens):
+    """Labels of the longest well-formed start, by recursive descent instead of shunting-yard."""
+    def expression(at, level=1):
+        at, names = operand(at) if level == 4 else expression(at, level + 1)
+        while at is not None and at < len(tokens) and level < 4 and L._PRECEDENCE.get(tokens[at]) == level:
+            if level == 3:
+                to, more = (at + 2, []) if at + 1 < len(tokens) and L._EXCEPTION.fullmatch(tokens[at + 1]) else (None, [])
+            else:
+                to, more = expression(at + 1, level + 1)
+            if to is None:
+                break
+            at, names = to, names + more
+        return at, names
+
+    def operand(at):
+        if at < len(tokens) and tokens[at] == "(":
+            to, names = expression(at + 1)
+            return (to + 1, names) if to is not None and to < len(tokens) and tokens[to] == ")" else (None, [])
+        return (at + 1, [tokens[at]]) if at < len(tokens) and L.is_licence(tokens[at]) else (None, [])
+
+    return expression(0)[1]
+
+
+def test_all_columns_equal_a_second_implementation(spark):
+    draw = random.Random(3)
+    parts = ["MIT", "mit", "Apache-2.0", "GPL-2.0-only", "(", ")", "OR", "and", "WITH", "Classpath-exception-2.0", "it", "works", "isc"]
+    texts = []
+    for _ in range(600):
+        tag = " ".join(draw.choice(parts) for _ in range(draw.randint(0, 7)))
+        texts.append(draw.choice(["", "public domain. ", "Under the MIT License, "]) + draw.choice(["SPDX-License-Identifier: ", "// spdx-license-identifier:\t"]) + tag + "\nend")
+    rows = {r.doc_id: r for r in L.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        found = descent([x.lower() for x in L._TOKEN.findall(t.lower().split("identifier:")[1].split("\n")[0])])
+        labels = {L.SAME.get(n, n) for n in found} | ({"mit"} if "MIT License" in t else set()) | ({"public-domain"} if "public domain" in t else set())
+        places = ("MIT License" in t) + ("public domain" in t)
+        assert rows[k].labels == ",".join(sorted(labels)), t
+        assert rows[k].score == (1.0 if found else 1 - 0.5 ** places) and (rows[k].expression is None) == (not found)
+
+
 def test_query(spark, sf_small):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
     rows = E.queries()["op7_license_scan"](spark, sf_small).collect()

@@ -38,6 +38,21 @@ def test_round_trip_equals_brute_force(spark, tmp_path):
     assert W.archive_round_trip(spark, df.limit(0)).count() == 0
 
 
+def test_one_large_page_shares_no_file(spark, tmp_path):
+    import glob
+
+    rows_ = [(k, f"u{k}", "small page " * 12 + str(k)) for k in range(400)] + [(900, "big", "x" * 30_000_000), (901, "copy", "small page " * 12 + "7")]
+    df = spark.createDataFrame(rows_, "page_id long, url string, html string").coalesce(1)
+    path = W.write_archive(spark, df, str(tmp_path / "a"))
+    assert len(glob.glob(f"{path}/size=*/*.gz")) == 2
+    assert rows(W.resolve(W.read_archive(spark, path))) == brute(rows_)
+    import gzip
+    text = b"".join(gzip.open(f).read(40_000_000) for f in glob.glob(f"{path}/size=0/*.gz"))
+    copy = [h for h, _ in W.parse_records(text) if h["warc-type"] == "revisit"]
+    assert [(h["warc-target-uri"], h["warc-refers-to-target-uri"]) for h in copy] == [("copy", "u7")]
+    assert not copy[0]["warc-date"].startswith("2000")
+
+
 def test_cut_or_changed_records_are_errors():
     record = b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc\r\n\r\n"
     with pytest.raises(ValueError):

@@ -51,13 +51,25 @@ MORE_PHRASES = {
     "all rights reserved": "all-rights-reserved",
 }
 
+# Families of licence identifiers. An identifier is a family with a version, a
+# number of clauses and a suffix, each optional; own references have a prefix.
+FAMILIES = ("0bsd aal afl agpl apache apsl artistic blueoak bsd bsl cc-by cc-by-nc cc-by-nc-nd cc-by-nc-sa cc-by-nd cc-by-sa cc0 "
+            "cddl cecill cecill-b cecill-c cpal cpl ecl efl epl eupl gfdl gpl hpnd icu ijg ipl isc lgpl libpng lppl mit mit-0 mpl "
+            "ms-pl ms-rl mulanpsl ncsa odbl odc-by ofl openssl osl pddl php postgresql psf python qpl ruby sissl sleepycat sspl "
+            "unicode unlicense upl vim w3c wtfpl x11 zlib zpl").split()
+# Labels of one licence under two names.
+SAME = {"apache-2.0": "apache-2", "cc0-1.0": "cc0"}
+
 PERMISSIVE = {"mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "cc0-1.0", "cc-by-4.0", "unlicense", "zlib"}
 
 OUT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
        "labels string, score double, expression string, permissive boolean")
 
 _TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:\-]+")
+_IDENTIFIER = re.compile(rf"(?:{'|'.join(sorted(FAMILIES, key=len, reverse=True))})(?:-v?\d+(?:\.\d+)*)?(?:-clause)?(?:-only|-or-later|\+)?")
+_REFERENCE = re.compile(r"(?:documentref-[a-z0-9.\-]+:)?licenseref-[a-z0-9.\-]+")
+_EXCEPTION = re.compile(r"[a-z0-9.\-]*(?:exception|linking|additionref-)[a-z0-9.\-]*")
 _WORD_BYTES = bytes(c if chr(c) in "0123456789abcdefghijklmnopqrstuvwxyz" or c >= 128
                     else ord(chr(c).lower()) if "A" <= chr(c) <= "Z" else 32 for c in range(256))
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
@@ -67,29 +79,33 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
 
+def is_licence(token: str) -> bool:
+    """Whether a lower-case token reads like a licence identifier."""
+    return bool(_IDENTIFIER.fullmatch(token) or _REFERENCE.fullmatch(token))
+
+
 def to_postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: the expression's tokens in postfix order, None if malformed.
+    """Shunting-yard: tokens of the longest well-formed start in postfix order, None without one.
 
-    Words after the longest well-formed start are taken as prose, so that a tag
-    inside a sentence still counts.
+    Operands are licence identifiers, or exceptions behind ``with``. What follows
+    the start is taken as prose, so that a tag inside a sentence still counts.
     """
     out: list[str] = []
     stack: list[str] = []
-    operand_next, depth = True, 0
+    whole, operand_next, depth = None, True, 0
     for token in _TOKEN.findall(expression):
         low = token.lower()
         if operand_next:
+            low = low.rstrip(".")
             if token == "(":
                 stack.append(token)
                 depth += 1
-            elif low in _PRECEDENCE or token == ")":
-                return None
-            else:
-                out.append(low.rstrip("."))
-                operand_next = False
-        elif token == ")":
-            if not depth:
+                continue
+            if not (_EXCEPTION.fullmatch(low) if stack and stack[-1] == "with" else is_licence(low)):
                 break
+            out.append(low)
+            operand_next = False
+        elif token == ")" and depth:
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
@@ -99,13 +115,12 @@ def to_postfix(expression: str) -> list[str] | None:
                 out.append(stack.pop())
             stack.append(low)
             operand_next = True
-        elif depth:
-            return None
+            continue
         else:
             break
-    if operand_next or depth:
-        return None
-    return out + stack[::-1]
+        if not depth:
+            whole = out + stack[::-1]
+    return whole
 
 
 def evaluate(postfix: list[str], allowed=PERMISSIVE) -> tuple[str, bool, list[str]]:
@@ -170,7 +185,7 @@ class Scanner:
                 postfix = to_postfix(tag.group(1))
                 if postfix:
                     normal, ok, names = evaluate(postfix)
-                    labels.update(n.replace(",", "") for n in names)
+                    labels.update(SAME.get(n, n) for n in names)
                     form, permissive = (normal, ok) if form is None else (form, permissive)
         score = 1.0 if form else 1.0 - 0.5 ** min(places, 50)
         return (len(words), n_base, first, last, ",".join(sorted(base)),

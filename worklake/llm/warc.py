@@ -28,6 +28,8 @@ from worklake.llm.common import folder, stage, text_or_empty
 #: Archive files hold at most about this many bytes, so that one fits a task.
 FILE_BYTES = 128 << 20
 MAX_RECORDS = 20_000
+#: Bounds of the payload sizes that share files; larger ones are the last group.
+SIZES = (64 << 10, 1 << 20, 16 << 20)
 
 CRLF = "\r\n"
 RECORD_SCHEMA = ("page_id long, record_type string, url string, payload_bytes long, "
@@ -47,12 +49,12 @@ def headers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 def revisits(heads: DataFrame, min_payload: int = 100) -> DataFrame:
-    """(page_id, payload_digest, refers_to) of the records that repeat an earlier payload."""
-    keys = heads.where(F.col("payload_bytes") >= min_payload).select("page_id", "payload_digest")
+    """(page_id, payload_digest, refers_to, refers_url) of the records that repeat an earlier payload."""
+    keys = heads.where(F.col("payload_bytes") >= min_payload).select("page_id", "url", "payload_digest")
     first = (keys.groupBy("payload_digest")
-             .agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+             .agg(F.min("page_id").alias("refers_to"), F.min_by("url", "page_id").alias("refers_url"), F.count(F.lit(1)).alias("n"))
              .where("n > 1 AND refers_to IS NOT NULL").drop("n"))
-    return (keys.join(first, "payload_digest")
+    return (keys.drop("url").join(first, "payload_digest")
             .where("page_id IS NULL OR page_id > refers_to").distinct())
 
 
@@ -62,6 +64,7 @@ def record_text(min_payload: int):
     optional = lambda name, value: F.coalesce(header(name, value), F.lit(""))
     http = F.concat(F.lit("HTTP/1.1 200 OK" + CRLF), F.lit("Content-Type: text/html; charset=utf-8" + CRLF),
                     header("Content-Length", F.col("payload_bytes").cast("string")), F.lit(CRLF))
+    one_line = lambda url: F.regexp_replace(url, "[\r\n]+", "%0A")
     is_copy = F.col("is_revisit")
     block = F.when(is_copy, http).otherwise(F.concat(http, F.col("payload")))
     record_id = lambda i, d: F.concat(F.lit("<urn:page:"), i, F.lit(":"), F.substring(d, 1, 16), F.lit(">"))
@@ -70,12 +73,13 @@ def record_text(min_payload: int):
         F.lit("WARC/1.1" + CRLF),
         header("WARC-Type", F.when(is_copy, "revisit").otherwise("response")),
         header("WARC-Record-ID", record_id(page, F.col("payload_digest"))),
-        header("WARC-Target-URI", F.regexp_replace("url", "[\r\n]+", "%0A")),
-        header("WARC-Date", F.lit("2000-01-01T00:00:00Z")),
+        header("WARC-Target-URI", one_line(F.col("url"))),
+        header("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         optional("WARC-Page-ID", F.col("page_id").cast("string")),
         optional("WARC-Refers-To-Page", F.when(is_copy, F.col("refers_to").cast("string"))),
         optional("WARC-Refers-To", F.when(is_copy, record_id(F.col("refers_to").cast("string"), F.col("payload_digest")))),
+        optional("WARC-Refers-To-Target-URI", F.when(is_copy, one_line(F.col("refers_url")))),
         F.when(is_copy, header("WARC-Profile", F.lit(
             "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(F.lit("")),
         F.lit("Content-Type: application/http; msgtype=response" + CRLF),
@@ -87,17 +91,20 @@ def write_archive(spark: SparkSession, pages: DataFrame, path: str, min_payload:
                   id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> str:
     """Write the deduplicated archive; a record's closing blank lines are the line separator."""
     heads = headers(pages, id_col, url_col, payload_col)
-    largest = heads.agg(F.max("payload_bytes")).first()[0] or 0
     # Kept as a table, its size is known: Spark then moves payloads only if it is large.
     copies = stage(revisits(heads, min_payload), "revisits").select(
-        F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), "refers_to")
+        F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), "refers_to", "refers_url")
     rows = heads.join(copies, F.col("page_id").eqNullSafe(F.col("r_id"))
                       & (F.col("payload_digest") == F.col("r_digest")), "left")
     rows = rows.withColumn("is_revisit", F.col("refers_to").isNotNull())
-    per_file = max(1, min(MAX_RECORDS, FILE_BYTES // (largest + 1024)))
-    (rows.select(record_text(min_payload).alias("value")).write
-     .option("lineSep", CRLF + CRLF).option("compression", "gzip")
-     .option("maxRecordsPerFile", per_file).text(path))
+    # Records of like size go to files of their own: a large page shares none with small ones.
+    size = F.lit(len(SIZES))
+    for k in range(len(SIZES) - 1, -1, -1):
+        size = F.when(F.col("payload_bytes") <= SIZES[k], F.lit(k)).otherwise(size)
+    for k, most in sorted(heads.groupBy(size.alias("size")).agg(F.max("payload_bytes")).collect()):
+        (rows.where(size == k).select(record_text(min_payload).alias("value")).write
+         .option("lineSep", CRLF + CRLF).option("compression", "gzip")
+         .option("maxRecordsPerFile", max(1, min(MAX_RECORDS, FILE_BYTES // (most + 1024)))).text(f"{path}/size={k}"))
     return path
 
 
@@ -151,8 +158,16 @@ def _parse_files(batches, with_payload: bool):
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+def _any_file(spark: SparkSession, path: str) -> bool:
+    """Whether the archive has a folder; one without records has none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_archive(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row per record of the archive's files."""
+    if not _any_file(spark, path):
+        return spark.createDataFrame([], PAYLOAD_SCHEMA if with_payload else RECORD_SCHEMA)
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
     return files.mapInArrow(lambda b: _parse_files(b, with_payload),
                             PAYLOAD_SCHEMA if with_payload else RECORD_SCHEMA)
@@ -171,4 +186,5 @@ def resolve(records: DataFrame) -> DataFrame:
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, min_payload: int = 100) -> DataFrame:
     path = write_archive(spark, pages, folder(spark, "warc"), min_payload)
-    return resolve(read_archive(spark, path))
+    # Headers alone are kept: the files are parsed and hashed once.
+    return resolve(stage(read_archive(spark, path), "records"))
