@@ -32,10 +32,11 @@ def main() -> None:
     from worklake.session import build_session
 
     spark = build_session("local[8]", 8, extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
-    from worklake.operators import dedup, dq, reports, upsert
+    from worklake.operators import dedup, dq, page, reports, upsert
     from worklake.operators.flatten import flatten
     from worklake.plans import derived as D
     from worklake.plans.queries import FULL
+    from worklake.sources import tables
 
     landing = f"{scratch}/landing"
     D.raw_works(spark, sf_dir).write.parquet(landing)
@@ -47,7 +48,7 @@ def main() -> None:
     checks = dq.default_checks(D.EXPECTED_SUBFIELD, D.AS_OF)
     runs = D.runs_of(raw)
     updates = dedup.batch_dedup(flatten(D.second_snapshot(D.in_window(raw, D.BATCH2))))
-    upsert.upsert_table(spark, table, updates, D.LOAD2_TS)
+    state_of_table = tables.table_state(spark, table)
     flows = {
         "binding: nested works from the test tables": D.raw_works(spark, sf_dir),
         "flatten + reject + first-wins (batch M2)": dedup.batch_dedup(flatten(raw)),
@@ -59,10 +60,16 @@ def main() -> None:
         "trend (J5 W1)": reports.trend(papers, FULL),
         "DQ summary (Q12, fused Q2-Q11 + Q1)": dq.summary(papers, runs, checks),
         "DQ samples (T5)": dq.samples(papers, checks),
-        "stored table after a second load (M3)": upsert.read_table(spark, table),
+        "all tables of a page (E5)": page.groupings(papers, FULL),
+        "date bounds from footers (A6)": page.stored_date_bounds(spark, table),
+        "every run against its window (J1)": dq.reconcile_runs(papers, runs),
+        "trend by topic (W1)": reports.topic_trend(papers, FULL),
     }
     for name, df in flows.items():
         print(f"### {name}\n\n```\n{tree(df)}\n```\n")
+    with upsert.bucketed(spark, tables.version_folder(table, state_of_table.version), state_of_table.buckets) as stored:
+        merged = upsert.merge(stored, upsert.with_ingested_at(updates, D.LOAD2_TS))
+        print(f"### merge of a batch into the stored table (M3, J6)\n\n```\n{tree(merged)}\n```\n")
     spark.stop()
 
 
