@@ -90,10 +90,11 @@ def test_unpartitioned_windows_only_over_bounded_rows(spark, sf_small):
         wins = _unpartitioned_windows(plan(fn(spark, sf_small)))
         if wins:
             found[key] = wins
-    assert set(found) == {"trend_7d", "recent_runs"}
-    assert all("publication_date" in w for w in found["trend_7d"])
+    calendar, years = {"trend_7d", "page_view", "page_view_filtered"}, {"recent_runs", "dq_reconcile_runs"}
+    assert set(found) == calendar | years
+    assert all("publication_date" in w for key in calendar for w in found[key])
     assert "Range" in plan(QUERIES["trend_7d"](spark, sf_small))  # the calendar
-    for key in ("recent_runs",):
+    for key in years:
         assert all(re.search(r"\[y#\d+ ASC", w) for w in found[key])  # one row per year
 
 
