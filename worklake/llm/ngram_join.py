@@ -397,9 +397,15 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "do
                text_col: str = "text") -> DataFrame:
     """One row of each component, all columns: that with the smallest id, null last.
 
-    Rows are linked, not ids: of rows that repeat a document with its id one stays, and rows without an
-    id are linked like others. Rows with an empty set all stay.
+    Of rows that repeat a document with its id one stays, and rows without an id are linked like
+    others: if there are any, rows are numbered and linked instead of ids. Rows with an empty set all stay.
     """
+    number = F.col(id_col).cast("long")
+    if docs.groupBy(number.alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").isEmpty():
+        key = fresh("copy_id", docs)
+        gone = (link_components(docs, n, percent, id_col, text_col).where("doc_id <> component_id")
+                .select(F.col("doc_id").alias(key)))
+        return docs.join(gone, number == F.col(key), "left_anti")
     row = fresh("row_number", docs)
     rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     linked = link_components(rows, n, percent, row, text_col).where("n_shingles > 0").withColumnsRenamed(

@@ -107,6 +107,29 @@ QUERIES = {f.__name__: f for f in (
 _CONTROL = r"\\|<(?:/?role>|/turn>|(?:text|image|audio|document)/>)"
 
 ORACLE_SQL: dict[str, str] = {
+    # Every pair that shares a shingle is counted, every link followed.
+    "op1_ngram_join": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w FROM documents),
+        sets AS (
+          SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                   ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FOR i IN range(1, len(w) - 2)] END) AS s FROM words),
+        members AS (SELECT doc_id, unnest(s) AS m FROM sets),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM members a JOIN members b ON a.m = b.m AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT x, y FROM pairs JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+                  WHERE 100 * n >= 85 * (len(a.s) + len(b.s) - n)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (SELECT x, y FROM both_ways UNION SELECT r.x, l.y FROM reach r JOIN both_ways l ON l.x = r.y)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id
+        FROM sets LEFT JOIN (SELECT x, min(y) AS first FROM reach GROUP BY x) ON x = doc_id""",
+    "op9_warc": """
+        WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+        originals AS (SELECT digest, min(page_id) AS original FROM payloads WHERE bytes >= 100 GROUP BY digest)
+        SELECT page_id, bytes::BIGINT AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN original < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original < page_id THEN original END AS refers_to
+        FROM payloads p LEFT JOIN originals o ON o.digest = p.digest""",
     "op11_chat_format": f"""
         WITH given AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
