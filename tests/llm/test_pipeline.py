@@ -74,5 +74,5 @@ def test_empty_documents(spark, folder, tmp_path):
 
 def test_names():
     ops = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in ops) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in ops) == list(range(1, 14)) and "pipeline" in E.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "ngram_join", "decontamination", "packing"]
