@@ -60,14 +60,15 @@ def sql_country_set(authorships: str) -> str:
     NULL authorship entries, NULL ``countries`` lists and NULL codes are
     skipped. Field access on the array (no lambda) keeps the projection in
     whole-stage codegen; ``array_except`` against a NULL element drops NULLs
-    before ``flatten`` (which is NULL as soon as one list is) and after it.
+    after ``flatten``, and before it if a list is NULL (as ``flatten`` then is).
     """
     lists = f"array_except({authorships}.countries, array(CAST(NULL AS ARRAY<STRING>)))"
-    return sql_empty_to_null(f"sort_array(array_except(flatten({lists}), array(CAST(NULL AS STRING))))")
+    codes = f"coalesce(flatten({authorships}.countries), flatten({lists}))"
+    return sql_empty_to_null(f"sort_array(array_except({codes}, array(CAST(NULL AS STRING))))")
 
 
 def sql_empty_to_null(arr: str) -> str:
-    return f"CASE WHEN size({arr}) > 0 THEN {arr} END"
+    return f"nullif({arr}, CAST(array() AS ARRAY<STRING>))"
 
 
 def work_url(short_id: Column) -> Column:

@@ -111,10 +111,12 @@ def _too_large(name: str, source: str) -> str:
 
     Stated on the source, not on the flat expression: the optimizer would
     rewrite each flat expression inside this condition by its column, in every
-    combination, when it infers constraints.
+    combination, when it infers constraints. Rounding goes through decimals, so only
+    numbers that may reach the bound by it (it adds less than 1) are rounded.
     """
     most, places = _HOLDS.get(name, _SMALL)
-    return f"abs(round(try_cast({source} AS DOUBLE), {places})) >= {most}"
+    number = f"try_cast({source} AS DOUBLE)"
+    return f"abs({number}) >= {most - 1} AND abs(round({number}, {places})) >= {most}"
 
 
 def reject_sql(flat: dict[str, str]) -> str:

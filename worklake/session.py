@@ -23,6 +23,8 @@ SESSION_DEFAULTS = {
     # The JVM never compiles methods above 8,000 bytes of code: stages that would
     # generate one run as separate, compiled projections (flatten: half the time).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Groups of rows that are sorted by their key already are read off in passing.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Static: skip capturing the Python call site of every Column (plan
@@ -84,8 +86,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Settings that the package's plans need in a session built elsewhere."""
     ensure_checkpoint_dir(spark)
-    spark.conf.set("spark.sql.constraintPropagation.enabled",
-                   SESSION_DEFAULTS["spark.sql.constraintPropagation.enabled"])
+    for key in ("spark.sql.constraintPropagation.enabled", "spark.sql.codegen.hugeMethodLimit",
+                "spark.sql.execution.replaceHashWithSortAgg"):
+        spark.conf.set(key, SESSION_DEFAULTS[key])
     return spark
 
 
