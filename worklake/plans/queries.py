@@ -355,14 +355,16 @@ def incremental_ingest(spark, sf):
     upserts, read the resulting table.
 
     Works are dealt to the files by their place, so that copies of a work lie in
-    different files and micro-batches, in any order.
+    different files and micro-batches, in any order. There are as many files as a shuffle
+    has partitions, in two micro-batches.
     """
     from worklake.streaming.incremental import incremental_ingest as run
 
     root = scratch(spark, "stream")
     header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"), "stamp": D.LOAD_TS.strftime("%Y%m%d_%H%M%S")}
-    W.write_export(D.raw_works(spark, sf).repartition(4, "_src", "_pos"), f"{root}/landing", header)
-    run(spark, f"{root}/landing/*/papers", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=2)
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    W.write_export(D.raw_works(spark, sf).repartition(files, "_src", "_pos"), f"{root}/landing", header)
+    run(spark, f"{root}/landing/*/papers", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=-(-files // 2))
     return arrays_as_text(upsert.read_table(spark, f"{root}/table"))
 
 
