@@ -2,7 +2,8 @@
 
 The stored version is bucketed and sorted by the key. It is joined with the
 batch on the key: only the batch is shuffled, to the stored buckets, and each
-task writes its bucket of the next version. A key that the batch holds takes ALL
+task writes its bucket of the next version. Of a table with fewer buckets than a shuffle
+has partitions, both sides are shuffled, and several tasks write a bucket, a file each. A key that the batch holds takes ALL
 columns of the batch (NULLs overwrite, no recency guard) and keeps its first
 ``ingested_at``; other stored rows pass through. A load that is repeated leaves the
 same rows, one that broke off leaves the version before in force.
@@ -91,6 +92,24 @@ def default_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_per_bucket(spark: SparkSession, buckets: int) -> int:
+    """How many tasks share a bucket, so that few buckets don't make large tasks.
+
+    The hash of a key modulo a multiple of ``buckets`` gives its bucket modulo ``buckets``.
+    """
+    return max(1, default_buckets(spark) // buckets)
+
+
+@contextmanager
+def stored_papers(spark: SparkSession, folder: str, buckets: int):
+    """The papers of a version: one task per bucket, unless several tasks share a bucket."""
+    if tasks_per_bucket(spark, buckets) > 1:
+        yield spark.read.schema(PAPERS_SCHEMA).parquet(folder)
+    else:
+        with bucketed(spark, folder, buckets) as stored:
+            yield stored
+
+
 def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: dict | Callable[[], dict] | None = None,
          buckets: int | None = None) -> tuple[int, int | None]:
     """Upsert accepted, de-duplicated rows into the table at ``path``: (rows sent, the run's id).
@@ -107,14 +126,14 @@ def load(spark: SparkSession, path: str, inc: DataFrame, loaded_at=None, run: di
     buckets = buckets or before.buckets or default_buckets(spark)
     counted = Observation(f"sent-{version}")
     batch = with_ingested_at(inc, loaded_at).observe(counted, F.count(F.lit(1)).alias("n"))
-    folder = tables.version_folder(path, version)
+    folder, share = tables.version_folder(path, version), tasks_per_bucket(spark, buckets)
     if before.version is None:
-        _write_version(batch.repartition(buckets, KEY), folder, buckets)
+        _write_version(batch.repartition(buckets * share, KEY), folder, buckets)
     else:
-        with bucketed(spark, tables.version_folder(path, before.version), before.buckets) as stored:
+        with stored_papers(spark, tables.version_folder(path, before.version), before.buckets) as stored:
             merged = merge(stored, batch)
-            if buckets != before.buckets:
-                merged = merged.repartition(buckets, KEY)
+            if buckets != before.buckets or share > 1:
+                merged = merged.repartition(buckets * share, KEY)
             _write_version(merged, folder, buckets)
     run_id = tables.append_log(spark, path, before, run() if callable(run) else run, version, buckets)
     if before.previous:  # the version before this one stays for readers under way
