@@ -112,7 +112,7 @@ def spoilt_lines(raw: DataFrame) -> DataFrame:
     from worklake.schema import ORDER_COLUMNS, WORK_SCHEMA
     from worklake.sources.works import json_line
 
-    k, line = F.col("_pos"), json_line([*ORDER_COLUMNS, *WORK_SCHEMA.fieldNames()])
+    k, line = F.col("_pos"), json_line(raw, [*ORDER_COLUMNS, *WORK_SCHEMA.fieldNames()])
     cited = lambda v: F.regexp_replace(line, '"cited_by_count":(null|-?[0-9]+)', f'"cited_by_count":{v}')
     flag = lambda v: F.regexp_replace(line, '"is_retracted":(true|false)', f'"is_retracted":"{v}"')
     date = F.regexp_replace(line, '"publication_date":"[^"]*"', '"publication_date":"1998-02-30"')

@@ -275,7 +275,7 @@ def _verdicts(raw: DataFrame) -> DataFrame:
 
 def _spoilt_landing(spark, sf) -> DataFrame:
     path = scratch(spark, "landing")
-    D.spoilt_lines(D.raw_works(spark, sf)).select("value").write.text(path)
+    D.spoilt_lines(D.raw_works(spark, sf)).select("value").write.options(**W.PACKED).text(path)
     return W.read_works(spark, path)
 
 
@@ -294,18 +294,19 @@ def envelope_verdicts(spark, sf):
         F.concat(F.lit('{"fetched_at": "2001-08-02T00:00:00", "papers": ['), F.array_join(F.collect_list("value"), ", "),
                  F.lit("]}")).alias("value"))
     # One line is one document: one file each.
-    papers.repartition(F.col("g")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    papers.select("value").write.option("maxRecordsPerFile", 1).options(**W.PACKED).text(path)
     return _verdicts(W.read_export(spark, path))
 
 
 def envelope_records(spark, sf):
     """Places of the papers in envelopes of a few thousand orders each, and the envelopes' own counts."""
     path = scratch(spark, "envelopes")
-    line = F.struct("_src", "_pos", W.json_line(WORK_SCHEMA.fieldNames()).alias("line"))
-    group = D.raw_works(spark, sf).groupBy(F.floor(F.col("_pos") / 2000).alias("g")).agg(F.array_sort(F.collect_list(line)).alias("w"))
+    raw = D.raw_works(spark, sf)
+    line = F.struct("_src", "_pos", W.json_line(raw, WORK_SCHEMA.fieldNames()).alias("line"))
+    group = raw.groupBy(F.floor(F.col("_pos") / 2000).alias("g")).agg(F.array_sort(F.collect_list(line)).alias("w"))
     document = F.concat(F.lit('{"papers": ['), F.array_join("w.line", ", "), F.lit('], "subfield": {"id": "'), "g",
                         F.lit('"}, "count": '), F.size("w"), F.lit("}"))
-    group.repartition(F.col("g")).select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    group.select(document.alias("value")).write.option("maxRecordsPerFile", 1).options(**W.PACKED).text(path)
     own = W.read_envelopes(spark, path).select("_src", F.col("subfield.id").cast("long").alias("envelope"), "count")
     return W.read_export(spark, path).join(own, "_src").select("envelope", "count", F.col("_pos").alias("place"), "id", "title")
 
