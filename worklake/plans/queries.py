@@ -21,7 +21,7 @@ from worklake.operators.runlog import append_run
 from worklake.plans import derived as D
 from worklake.plans import job
 from worklake.schema import KEY, WORK_SCHEMA
-from worklake.session import ensure_checkpoint_dir
+from worklake.session import ensure_checkpoint_dir, stage
 from worklake.sources import tables
 from worklake.sources import works as W
 from worklake.sources.testdata import SUBFIELD_BASE
@@ -228,7 +228,8 @@ def dq_summary(spark, sf):
 
 
 def dq_samples(spark, sf):
-    return dq.samples(D.papers(spark, sf), _checks(), runs=D.runs(spark, sf))
+    papers = stage(D.papers(spark, sf), "papers")  # read by three passes
+    return dq.samples(papers, _checks(), runs=D.runs(spark, sf))
 
 
 def dq_gate(spark, sf):
