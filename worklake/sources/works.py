@@ -28,7 +28,7 @@ CORRUPT = "_corrupt_record"
 LANDING_SCHEMA = T.StructType(
     [T.StructField("_src", T.StringType()), T.StructField("_pos", T.LongType())]
     + RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-#: How text is written: JSON lines shrink to a tenth, and packing them costs less than writing them plain.
+#: How JSON lines are written: packed, as lightly as gzip does.
 PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
