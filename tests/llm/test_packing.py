@@ -87,3 +87,12 @@ def test_fast_encoder_equals_the_vocabulary_file():
     pool = [chr(c) for c in range(0x250)] + list(" \n\t'  .,0aZ") * 12 + ["’", "—", "€", "中", "'ll", "'re", "  ", "　", "<|endoftext|>"]
     texts = ["".join(draw.choice(pool) for _ in range(draw.randint(0, 60))) for _ in range(3000)]
     assert exact(texts) == fast(texts)
+
+
+def test_texts_are_encoded_in_slices_of_bounded_size():
+    draw = random.Random(5)
+    for lengths in ([], [0], [70], [0, 70, 0], [draw.choice((0, 3, 9, 50)) for _ in range(300)]):
+        cuts = list(P.slices(lengths, 20))
+        assert [k for a, b in cuts for k in range(a, b)] == list(range(len(lengths)))
+        assert all(b > a and (sum(lengths[a:b]) <= 20 or sum(map(bool, lengths[a:b])) == 1) for a, b in cuts)
+    assert len(list(P.slices([4_000_000] * 512))) == 512  # were one slice

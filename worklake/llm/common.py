@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from worklake.session import ensure_checkpoint_dir, stage
 
-__all__ = ["ensure_checkpoint_dir", "folder", "fresh", "read_table", "release", "small_batches", "stage", "text_or_empty", "tree_sum"]
+__all__ = ["ensure_checkpoint_dir", "folder", "fresh", "give_back", "read_table", "release", "small_batches", "stage", "text_or_empty", "tree_sum"]
 
 #: Python source of the white space that separates words: space and 0x09-0x0D.
 #: ``bytes.split()`` splits at exactly these bytes.
@@ -46,6 +46,21 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return memory that a reused Python worker has freed, but still holds from earlier steps, to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 def fresh(name: str, df: DataFrame) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

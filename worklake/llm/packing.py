@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklake.llm.common import small_batches, stage, text_or_empty
+from worklake.llm.common import give_back, small_batches, stage, text_or_empty
 
 WINDOW = 1024
 #: Remainders in a shard: enough for full sequences, little memory.
@@ -31,6 +31,9 @@ SHARD_ROWS = 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, n_pieces long, salt long"
 PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
+#: Characters encoded at a time: their ids, as lists, take about ten times as many bytes.
+SLICE_CHARS = 500_000
+
 #: Beyond this range two regex engines might split texts differently.
 _RARE = re.compile("[^\x00-ɏ‐-‧€]")
 
@@ -119,27 +122,42 @@ def best_fit_decreasing(lengths, window: int = WINDOW) -> list[tuple[int, int]]:
     return placed
 
 
+def slices(lengths, most: int = SLICE_CHARS):
+    """(start, end) of consecutive texts of at most ``most`` characters together, or of one longer text."""
+    start = chars = 0
+    for at, n in enumerate(lengths):
+        if at > start and chars + n > most:
+            yield start, at
+            start, chars = at, 0
+        chars += n
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
 def cut_documents(docs: DataFrame, encode_with: tuple, window: int = WINDOW, end_id: int = 0,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents' pieces: full windows, then what remains."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
+        give_back()
         encode = encoder(*encode_with)
         names = [f.split()[0] for f in PIECES.split(", ")]
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch, out = whole.slice(at, 512), []
-                for doc, salt, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
-                                          encode(batch.column(1).to_pylist()), strict=True):
+        for batch in batches:
+            texts, out = batch.column(1), []
+            for start, end in slices(pc.utf8_length(texts).to_pylist()):
+                docs, salts = (batch.column(k).slice(start, end - start).to_pylist() for k in (0, 2))
+                for doc, salt, ids in zip(docs, salts, encode(texts.slice(start, end - start).to_pylist()), strict=True):
                     raw = np.asarray(ids + [end_id], dtype="<u4").tobytes()
                     n = len(raw) // 4
-                    for start in range(0, n, window):
-                        piece = raw[4 * start:4 * (start + window)]
-                        out.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, -(-n // window), salt))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names)
+                    for at in range(0, n, window):
+                        piece = raw[4 * at:4 * (at + window)]
+                        out.append((doc, at, len(piece) // 4, zlib.crc32(piece), n, -(-n // window), salt))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names)
+        give_back()
 
     return (small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
             .withColumn("salt", F.xxhash64("doc_id", "text")).mapInArrow(run, PIECES))
