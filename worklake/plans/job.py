@@ -122,8 +122,7 @@ def select_recent(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, dict,
     Besides the subfield list only the window is read, once: its records are
     staged, and all later steps read the staged copy.
     """
-    raw = W.read_works(spark, cfg.landing)
-    sub = W.resolve_subfield(W.subfields(raw), cfg.subfield_search)
+    sub = W.resolve_subfield(W.landed_subfields(spark, cfg.landing), cfg.subfield_search)
     start, end = cfg.date_range()
     found = Observation("selected")
     has_id = F.coalesce(F.col("id") != "", F.lit(False))

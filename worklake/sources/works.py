@@ -28,6 +28,9 @@ CORRUPT = "_corrupt_record"
 LANDING_SCHEMA = T.StructType(
     [T.StructField("_src", T.StringType()), T.StructField("_pos", T.LongType())]
     + RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
+#: The part of a record that names its subfield.
+SUBFIELD_SCHEMA = T.StructType([T.StructField("primary_topic", T.StructType([T.StructField(
+    "subfield", RAW_SCHEMA["primary_topic"].dataType["subfield"].dataType)]))])
 #: How JSON lines are written: packed, as lightly as gzip does.
 PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -192,6 +195,12 @@ def subfields(raw: DataFrame) -> DataFrame:
             .filter(F.col("id").isNotNull()).distinct())
 
 
+def landed_subfields(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``subfields`` of a landing, without reading the other fields' values from its lines."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return subfields(lines.select(parse_line(F.col("value"), SUBFIELD_SCHEMA).alias("w")).select("w.*"))
+
+
 class SubfieldLookupError(RuntimeError):
     """The searched subfield isn't in the dimension; ``similar`` names some that contain the term."""
 
