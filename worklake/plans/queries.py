@@ -223,8 +223,19 @@ def trend_by_topic(spark, sf):
     return reports.topic_trend(D.papers(spark, sf), FULL)
 
 
+#: Columns that the checks count by.
+COUNTED = (KEY, "publication_date", "publication_year", "is_oa", "oa_status", "primary_topic_name", "primary_topic_score",
+           "subfield_name", "field_name", "cited_by_count", "fwci", "citation_percentile", "is_top_1_percent", "is_top_10_percent",
+           "referenced_works_count", "author_count", "countries_count", "country_codes")
+
+
+def _dq_summary(spark, sf):
+    papers = stage(D.papers(spark, sf).select(*COUNTED), "papers")  # read by two passes
+    return dq.summary(papers, D.runs(spark, sf), _checks())
+
+
 def dq_summary(spark, sf):
-    return dq.summary(D.papers(spark, sf), D.runs(spark, sf), _checks())
+    return _dq_summary(spark, sf)
 
 
 def dq_samples(spark, sf):
@@ -233,7 +244,7 @@ def dq_samples(spark, sf):
 
 
 def dq_gate(spark, sf):
-    return dq.gate_frame(dq.summary(D.papers(spark, sf), D.runs(spark, sf), _checks()))
+    return dq.gate_frame(_dq_summary(spark, sf))
 
 
 # --- load ---------------------------------------------------------------------
