@@ -37,8 +37,9 @@ LOAD2_TS = dt.datetime(2026, 6, 16, 0, 0, 0)
 JOB_FROM, JOB_TO = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
 
 
-def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return works_from_testdata(spark, sf_dir)
+def raw_works(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The raw works; with ``files`` dealt by their place to so many partitions."""
+    return works_from_testdata(spark, sf_dir, files=files)
 
 
 def flat_works(spark: SparkSession, sf_dir: str) -> DataFrame:

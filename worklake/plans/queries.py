@@ -21,7 +21,7 @@ from worklake.operators.runlog import append_run
 from worklake.plans import derived as D
 from worklake.plans import job
 from worklake.schema import KEY, WORK_SCHEMA
-from worklake.session import ensure_checkpoint_dir, stage
+from worklake.session import ensure_checkpoint_dir, release, stage
 from worklake.sources import tables
 from worklake.sources import works as W
 from worklake.sources.testdata import SUBFIELD_BASE
@@ -376,7 +376,8 @@ def incremental_ingest(spark, sf):
     root = scratch(spark, "stream")
     header = {"fetched_at": D.LOAD_TS.isoformat(timespec="seconds"), "stamp": D.LOAD_TS.strftime("%Y%m%d_%H%M%S")}
     files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    W.write_export(D.raw_works(spark, sf).repartition(files, "_src", "_pos"), f"{root}/landing", header)
+    W.write_export(D.raw_works(spark, sf, files), f"{root}/landing", header)
+    release(spark)  # line items and orders as they were dealt
     run(spark, f"{root}/landing/*/papers", f"{root}/table", f"{root}/checkpoint", D.LOAD_TS, max_files_per_trigger=-(-files // 2))
     return arrays_as_text(upsert.read_table(spark, f"{root}/table"))
 

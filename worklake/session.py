@@ -92,6 +92,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of steps that are over.
+
+    They go when the driver collects its garbage, which a job of few steps
+    may reach only when it ends. Nothing that is in use goes.
+    """
+    import gc
+
+    gc.collect()
+    sc = _context(spark)
+    if sc is not None:
+        sc._jvm.System.gc()
+
+
 _dirs: dict[str, str] = {}
 
 

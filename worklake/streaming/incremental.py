@@ -12,8 +12,8 @@ are upserted by ``foreachBatch``.
 ``trigger(availableNow=True)`` processes what has landed and stops, so a
 scheduler can run it like a batch job. The checkpoint records which files are
 done and the state of each batch; a replayed micro-batch upserts the same rows again.
-The state holds one record per key, on disk (RocksDB) and in the checkpoint folder. A file belongs
-to one micro-batch; without ``places`` its lines are numbered, by one pass of Arrow batches.
+The state holds one record per key, on disk (RocksDB) and in the checkpoint folder; a run that stops keeps
+only the checkpoint's. A file belongs to one micro-batch; without ``places`` its lines are numbered, by one pass of Arrow batches.
 """
 
 from __future__ import annotations
@@ -31,8 +31,16 @@ from worklake.sources.works import works_of_lines
 
 #: Files of a micro-batch: each one is a load, so few large ones are better than many small.
 FILES_PER_TRIGGER = 256
-_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A record per key, lz4 in blocks of 4 KB unless set: twice as large.
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "32",
+    # A micro-batch's shuffle files go when it ends; the stream itself holds on to those of the one before.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+#: A run that ends keeps no local copy of the state beside the checkpoint's, but while a task works on its part.
+_SETTINGS_OF_A_RUN = {"spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
 
 def export_time(file: Column, modified: Column) -> Column:
@@ -80,12 +88,15 @@ def start_incremental_ingest(spark: SparkSession, landing: str, table: str, chec
 
     writer = first_records(source, places).writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    provider = spark.conf.get(_STATE_PROVIDER)
-    spark.conf.set(_STATE_PROVIDER, _ROCKS)  # a query keeps the settings it was started with
+    settings = _SETTINGS | (_SETTINGS_OF_A_RUN if available_now else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():  # a query keeps the settings it was started with
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(_STATE_PROVIDER, provider)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
